@@ -1,5 +1,13 @@
 """Ecosystem collapse-risk assessment as Spark jobs.
 
-Every public function takes and returns DataFrames (or Columns); nothing here
-runs an action unless its docstring says so.
+Public functions take and return DataFrames (or Columns). Those that run a job
+of their own, to settle a small table, say so.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so the package need
+# not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

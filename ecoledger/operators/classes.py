@@ -30,10 +30,10 @@ def number_in_order(rows: DataFrame, order: list, name: str = "index") -> DataFr
     )
     inside = Window.partitionBy("_slice").orderBy(*order)
     return (
-        ranged.withColumn("_place", F.row_number().over(inside))
+        ranged.withColumn("_within", F.row_number().over(inside))
         .join(F.broadcast(shifts), "_slice")
-        .withColumn(name, F.col("_place") + F.col("_shift"))
-        .drop("_slice", "_place", "_shift")
+        .withColumn(name, F.col("_within") + F.col("_shift"))
+        .drop("_slice", "_within", "_shift")
     )
 
 

@@ -29,8 +29,8 @@ def colour_groups(index: DataFrame, features: DataFrame | None = None) -> DataFr
 def group_colours(grouped: DataFrame) -> DataFrame:
     """(colour_group, rank, colour): groups ranked by their first class number."""
     firsts = grouped.groupBy("colour_group").agg(F.min("index").alias("first_index"))
-    ranked = number_in_order(firsts, ["first_index"], "_place")
-    return ranked.withColumn("rank", F.col("_place") - 1).select(
+    ranked = number_in_order(firsts, ["first_index"], "position")
+    return ranked.withColumn("rank", F.col("position") - 1).select(
         "colour_group", "first_index", "rank", class_colour(F.col("rank")).alias("colour")
     )
 

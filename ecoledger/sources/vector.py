@@ -9,10 +9,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ecoledger.functions.text import RASTER_SUFFIXES
 
 GEOMETRY_TYPE = "array<array<array<array<double>>>>"
+_GEOMETRY = T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
 
 
 @dataclass(frozen=True)
@@ -233,7 +235,7 @@ def _pack_wkb(parts: list) -> bytes:
     return b"".join(out)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _encode(geometry: pd.Series) -> pd.Series:
     return geometry.map(lambda g: None if g is None else _pack_wkb(g))
 
@@ -243,7 +245,7 @@ def encode_wkb(geometry: Column) -> Column:
     return _encode(geometry)
 
 
-@F.pandas_udf(GEOMETRY_TYPE)
+@F.pandas_udf(_GEOMETRY)
 def _decode(wkb: pd.Series) -> pd.Series:
     return wkb.map(lambda b: None if b is None else _parse_wkb(bytes(b)))
 
