@@ -121,17 +121,21 @@ AOO = """aoo AS (SELECT code, count(*) FILTER (cum_area / total_area > 0.01) AS
 
 
 def _hull(points: str) -> str:
-    """EOO of points(code, lon, lat): directed edges with every point on their left."""
-    return f"""spots AS (SELECT DISTINCT code, lon, lat FROM {points}),
-sides AS (SELECT a.code, a.lon AS ax, a.lat AS ay, b.lon AS bx, b.lat AS by
+    """EOO of points(code, lon, lat): directed edges with every point on their left.
+
+    Only the westmost and eastmost point of each latitude can be a corner.
+    """
+    return f"""spots AS (SELECT DISTINCT code, lat, unnest([lo, hi]) AS lon FROM
+  (SELECT code, lat, min(lon) AS lo, max(lon) AS hi FROM {points} GROUP BY code, lat)),
+sides AS (SELECT a.code, a.lon AS px, a.lat AS py, b.lon AS qx, b.lat AS qy
   FROM spots a JOIN spots b ON a.code = b.code AND (a.lon <> b.lon OR a.lat <> b.lat)),
-rejected AS (SELECT DISTINCT s.code, ax, ay, bx, by FROM sides s JOIN spots c ON c.code = s.code
-  WHERE (bx - ax) * (c.lat - ay) - (by - ay) * (c.lon - ax) < 0
-  OR ((bx - ax) * (c.lat - ay) - (by - ay) * (c.lon - ax) = 0
-    AND (c.lon - ax) * (c.lon - bx) + (c.lat - ay) * (c.lat - by) > 0)),
-rim AS (SELECT * FROM sides ANTI JOIN rejected USING (code, ax, ay, bx, by)),
-rim_xy AS (SELECT code, {_EASTING.replace('lon', 'ax')} AS x0, {_NORTHING.replace('lat', 'ay')} AS y0,
-  {_EASTING.replace('lon', 'bx')} AS x1, {_NORTHING.replace('lat', 'by')} AS y1 FROM rim),
+rejected AS (SELECT DISTINCT s.code, px, py, qx, qy FROM sides s JOIN spots c ON c.code = s.code
+  WHERE (qx - px) * (c.lat - py) - (qy - py) * (c.lon - px) < 0
+  OR ((qx - px) * (c.lat - py) - (qy - py) * (c.lon - px) = 0
+    AND (c.lon - px) * (c.lon - qx) + (c.lat - py) * (c.lat - qy) > 0)),
+rim AS (SELECT * FROM sides ANTI JOIN rejected USING (code, px, py, qx, qy)),
+rim_xy AS (SELECT code, {_EASTING.replace('lon', 'px')} AS x0, {_NORTHING.replace('lat', 'py')} AS y0,
+  {_EASTING.replace('lon', 'qx')} AS x1, {_NORTHING.replace('lat', 'qy')} AS y1 FROM rim),
 eoo AS (SELECT code, abs(sum(x0 * y1 - x1 * y0)) / 2e6 AS eoo_km2, count(*) AS n_corners
   FROM rim_xy GROUP BY code)"""
 
@@ -206,11 +210,11 @@ RANKS = """grouped AS (SELECT idx, class_index.code, class_index.name, {group} A
 ranks AS (SELECT colour_group, min(idx) AS first_index,
   row_number() OVER (ORDER BY min(idx)) - 1 AS rank FROM grouped GROUP BY colour_group)"""
 
-PALETTE = """SELECT CAST(g AS INTEGER) AS index, CAST(coalesce(r, 0) AS INTEGER) AS r,
+PALETTE = """SELECT CAST(slot AS INTEGER) AS index, CAST(coalesce(r, 0) AS INTEGER) AS r,
   CAST(coalesce(c.g, 0) AS INTEGER) AS g, CAST(coalesce(b, 0) AS INTEGER) AS b,
   CAST(coalesce(a, 0) AS INTEGER) AS a
-  FROM (SELECT unnest(generate_series(0, (SELECT max(idx) FROM grouped))) AS g) slots
-  LEFT JOIN grouped ON idx = slots.g LEFT JOIN colours c USING (colour_group)"""
+  FROM (SELECT unnest(generate_series(0, (SELECT max(idx) FROM grouped))) AS slot) slots
+  LEFT JOIN grouped ON idx = slot LEFT JOIN colours c USING (colour_group)"""
 
 # --- class index and lookups -------------------------------------------------
 
@@ -283,8 +287,8 @@ _SQL["aoo_cells"] = _with(CELLS) + (
     "SELECT code, grid_col, grid_row, round(frac, 6) AS frac, overlap FROM cells"
 )
 _SQL["aoo_cumulative"] = _with(CELLS, CUMULATIVE) + """SELECT code, grid_col, grid_row,
-round(cum_area, 5) AS cum_area, round(cum_area / total_area, 5) AS cum_prop,
-round(total_area, 5) AS total_area FROM cumulative"""
+round(cum_area, 3) AS cum_area, round(cum_area / total_area, 6) AS cum_prop,
+round(total_area, 3) AS total_area FROM cumulative"""
 for _name in ("aoo_by_class", "aoo_from_cell_table"):
     _SQL[_name] = _with(CELLS, CUMULATIVE, AOO) + """SELECT code, aoo_cells, n_cells,
 round(area_km2, 3) AS area_km2, overlap_cells FROM aoo"""
@@ -400,8 +404,8 @@ CASE WHEN idx IS NULL THEN '' ELSE idx || ' · ' END ||
 CASE WHEN code = name THEN name ELSE code || ' - ' || name END AS label,
 code || '/' || code || '.qmd ' || code || '/' || code || '_crit_b.qmd' AS pages FROM r"""
 
-# chr(10) is written as a backslash and n inside the script text, as in the Spark literal
-_SCRIPT = "'bundle ' || (page_id % 7) || repeat('; call(\"</script>\", ''' || chr(10) || ''')', 200)"
+# the script text holds a backslash and an n, not a line break
+_SCRIPT = r"""'bundle ' || (page_id % 7) || repeat('; call("</script>", ''\n'')', 200)"""
 BUNDLES = f"""scripts AS (SELECT page_id, {_SCRIPT} AS script, html FROM pages),
 bundles AS (SELECT page_id, 'js' AS ext, script AS body FROM scripts
   UNION ALL SELECT page_id, 'js', script FROM scripts

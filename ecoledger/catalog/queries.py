@@ -266,10 +266,8 @@ def aoo_cells(spark, sf):
 @_query
 def aoo_cumulative(spark, sf):
     cells = grid.cumulative_shares(_cells(spark, sf))
-    return _rounded(
-        cells.select("code", "grid_col", "grid_row", "cum_area", "cum_prop", "total_area"),
-        5, "cum_area", "cum_prop", "total_area",
-    )
+    shown = cells.select("code", "grid_col", "grid_row", "cum_area", "cum_prop", "total_area")
+    return _rounded(_rounded(shown, 3, "cum_area", "total_area"), 6, "cum_prop")
 
 
 @_query
