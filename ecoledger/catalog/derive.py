@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread narrow rows over all cores before they are made wide."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _geometry(key: Column, stretch: float) -> Column:
     """One polygon per key in a lattice slot of 0.4 degrees, 400 by 225 slots."""
     lon0 = (key % 400) * 0.4 - 80
@@ -63,7 +68,7 @@ def polygon_map(spark: SparkSession, sf: str, stretch: float = 1.0) -> DataFrame
         region, F.col("n_regionkey") == F.col("r_regionkey"), "left"
     )
     key = F.col("c_custkey")
-    return placed.select(
+    return _spread(placed.select("c_custkey", "c_nationkey", "n_name", "r_name"), "c_custkey").select(
         key.alias("fid"),
         F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("code"),
         F.col("n_name").alias("name"),
@@ -127,7 +132,7 @@ def rendered_widgets(spark: SparkSession, sf: str) -> DataFrame:
     Each page embeds one of seven large scripts twice, a small style and its
     own markup as a second style.
     """
-    pages = table(spark, sf, "pages")
+    pages = _spread(table(spark, sf, "pages"), "page_id")
     script = F.concat(
         F.lit("bundle "), (F.col("page_id") % 7).cast("string"),
         F.repeat(F.lit('; call("</script>", \'\\n\')'), 200),

@@ -41,19 +41,24 @@ def project_points(points: Column) -> Column:
 def twice_signed_area(ring: Column) -> Column:
     """Twice the signed area of an open ring ARRAY<STRUCT<x,y>>.
 
-    Coordinates are taken relative to the first vertex so that small rings far
-    from the origin keep their sign.
+    One walk over the ring, which is named only once: the optimizer copies
+    expressions into filters, and a second mention inside the walk would be
+    evaluated per vertex. Coordinates are taken relative to the first vertex so
+    that small rings far from the origin keep their sign.
     """
-    first = F.get(ring, F.lit(0))
-    pairs = F.arrays_zip(
-        F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0))).alias("a"),
-        F.slice(ring, F.lit(2), F.greatest(F.size(ring) - 1, F.lit(0))).alias("b"),
+    zero = F.lit(0.0)
+    start = F.struct(
+        F.lit(False).alias("on"), zero.alias("fx"), zero.alias("fy"),
+        zero.alias("dx"), zero.alias("dy"), zero.alias("sum"),
     )
 
-    def add(total, pair):
-        a, b = pair["a"], pair["b"]
-        return total + (a["x"] - first["x"]) * (b["y"] - first["y"]) - (
-            b["x"] - first["x"]
-        ) * (a["y"] - first["y"])
+    def step(seen, p):
+        fx = F.when(seen["on"], seen["fx"]).otherwise(p["x"])
+        fy = F.when(seen["on"], seen["fy"]).otherwise(p["y"])
+        dx, dy = p["x"] - fx, p["y"] - fy
+        return F.struct(
+            F.lit(True).alias("on"), fx.alias("fx"), fy.alias("fy"), dx.alias("dx"), dy.alias("dy"),
+            (seen["sum"] + seen["dx"] * dy - dx * seen["dy"]).alias("sum"),
+        )
 
-    return F.aggregate(pairs, F.lit(0.0), add)
+    return F.aggregate(ring, start, step, lambda seen: seen["sum"])

@@ -67,45 +67,43 @@ def feature_spans(edge_rows: DataFrame, resolution: float = PIXEL_METRES) -> Dat
 def raster_spans(edge_rows: DataFrame, resolution: float = PIXEL_METRES) -> DataFrame:
     """Disjoint spans (code, row, block, c0, c1); on overlaps the later feature wins.
 
-    Within a block, spans that meet others are cut at every start and end among
-    the run of overlapping spans they belong to; spans that overlap nothing,
-    which is all of them on a map that tiles, pass through.
+    Spans that meet no other, which is all of them on a map that tiles, stay as
+    they are. The rest are settled pixel by pixel and joined up again.
     """
     # copies of one shape collapse on the map side; what is left per block is at
-    # most one span per pair of its columns
+    # most one span per class and pair of columns
     spans = (
         feature_spans(edge_rows, resolution)
-        .groupBy("row", "block", "c0", "c1")
-        .agg(F.max(F.struct("src_ordinal", "code")).alias("_latest"))
-        .select("row", "block", "c0", "c1", "_latest.src_ordinal", "_latest.code")
+        .groupBy("row", "block", "c0", "c1", "code")
+        .agg(F.max("src_ordinal").alias("src_ordinal"))
     )
-    place = Window.partitionBy("row", "block").orderBy("c0", "c1", "src_ordinal")
-    before = place.rowsBetween(Window.unboundedPreceding, -1)
-    opened = spans.withColumn(
-        "_starts", F.coalesce(F.col("c0") > F.max("c1").over(before), F.lit(True))
-    ).withColumn(
-        "_run", F.sum(F.col("_starts").cast("int")).over(place.rowsBetween(Window.unboundedPreceding, 0))
+    place = Window.partitionBy("row", "block").orderBy("c0", "c1", "code")
+    reached = F.max("c1").over(place.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.withColumn("_clear", F.coalesce(F.col("c0") > reached, F.lit(True))).withColumn(
+        "_alone", F.col("_clear") & F.coalesce(F.lead("_clear").over(place), F.lit(True))
     )
-    run = Window.partitionBy("row", "block", "_run")
-    sized = opened.withColumn("_members", F.count("*").over(run))
-    alone = sized.where("_members = 1").select("code", "row", "block", "c0", "c1")
-
-    # at most BLOCK_COLUMNS distinct columns per group, so pixels are bounded too
-    pixels = (
-        sized.where("_members > 1")
-        .select("code", "src_ordinal", "row", "block", F.explode(F.sequence("c0", "c1")).alias("_c"))
-        .groupBy("row", "block", "_c")
-        .agg(F.max(F.struct("src_ordinal", "code")).alias("_latest"))
-        .select("row", "block", "_c", "_latest.code")
+    # one pass for both kinds: a lone span is one piece, any other is its pixels, of
+    # which a block has no more than BLOCK_COLUMNS after the latest feature is chosen
+    pieces = marked.select(
+        "row", "block", "_alone", F.struct("src_ordinal", "code").alias("_latest"),
+        F.explode(
+            F.when(F.col("_alone"), F.array(F.col("c0"))).otherwise(F.sequence("c0", "c1"))
+        ).alias("_c"),
+        F.when(F.col("_alone"), F.col("c1")).alias("_end"),
+    )
+    settled = (
+        pieces.groupBy("row", "block", "_alone", "_c", "_end")
+        .agg(F.max("_latest").alias("_latest"))
+        .select("row", "block", "_alone", "_c", "_end", "_latest.code")
     )
-    islands = pixels.withColumn(
-        "_island",
-        F.col("_c") - F.row_number().over(Window.partitionBy("row", "block", "code").orderBy("_c")),
+    along = Window.partitionBy("row", "block", "_alone", "code").orderBy("_c")
+    island = F.when(F.col("_alone"), F.col("_c")).otherwise(F.col("_c") - F.row_number().over(along))
+    return (
+        settled.withColumn("_island", island)
+        .groupBy("code", "row", "block", "_alone", "_island")
+        .agg(F.min("_c").alias("c0"), F.max(F.coalesce("_end", "_c")).alias("c1"))
+        .drop("_alone", "_island")
     )
-    resolved = islands.groupBy("code", "row", "block", "_island").agg(
-        F.min("_c").alias("c0"), F.max("_c").alias("c1")
-    ).drop("_island")
-    return alone.unionByName(resolved)
 
 
 def pixel_counts(spans: DataFrame, resolution: float = PIXEL_METRES) -> DataFrame:

@@ -32,14 +32,10 @@ def rings(features: DataFrame, geometry: str = "geometry") -> DataFrame:
         "fid", "code", "src_ordinal", "part", F.posexplode("_rings").alias("ring", "_points")
     )
     points = F.transform(
-        "_points",
-        lambda p: F.struct(
-            F.get(p, F.lit(0)).alias("lon"), F.get(p, F.lit(1)).alias("lat")
-        ),
-    )
-    return each.withColumn("_points", points).select(
-        "fid", "code", "src_ordinal", "part", "ring", _open(F.col("_points")).alias("points")
+        _open(F.col("_points")),
+        lambda p: F.struct(F.get(p, F.lit(0)).alias("lon"), F.get(p, F.lit(1)).alias("lat")),
     )
+    return each.select("fid", "code", "src_ordinal", "part", "ring", points.alias("points"))
 
 
 def rings_from_vertices(vertices: DataFrame) -> DataFrame:
@@ -80,23 +76,24 @@ def edges(ring_rows: DataFrame) -> DataFrame:
     ``turn`` is +1 where the interior lies to the left in x (a right-hand
     boundary) and -1 where it lies to the right, whatever the winding of the
     input: outer rings are read counter-clockwise and holes clockwise.
-    Horizontal edges bound no area in a row sweep and are left out.
+    Horizontal edges bound no area in a row sweep and are left out; rings without
+    area keep their edges with a ``turn`` of 0, because a filter on the winding
+    would be copied below the explode and walk every ring again.
     """
-    projected = ring_rows.withColumn("_p", project_points(F.col("points"))).where(
-        F.size("_p") > 2
-    )
+    projected = ring_rows.withColumn("_p", project_points(F.col("points")))
     winding = F.signum(twice_signed_area(F.col("_p"))) * F.when(
         F.col("ring") == 0, F.lit(1.0)
     ).otherwise(F.lit(-1.0))
     paired = projected.select(
         "fid", "code", "src_ordinal", winding.alias("_w"), "_p",
         F.concat(
-            F.slice("_p", F.lit(2), F.size("_p") - 1), F.slice("_p", F.lit(1), F.lit(1))
+            F.slice("_p", F.lit(2), F.greatest(F.size("_p") - 1, F.lit(0))),
+            F.slice("_p", F.lit(1), F.lit(1)),
         ).alias("_q"),
     )
     flat = paired.select(
         "fid", "code", "src_ordinal", "_w", F.explode(F.arrays_zip("_p", "_q")).alias("_e")
-    ).where("_e._p.y <> _e._q.y and _w <> 0")
+    ).where("_e._p.y <> _e._q.y")
     up = F.col("_e._p.y") < F.col("_e._q.y")
 
     def end(lower: bool, axis: str) -> Column:
