@@ -142,4 +142,6 @@ def fill_template(
 
 def metric_text(value: Column, decimals: int) -> Column:
     """Fixed decimals, or ``N/A`` for a missing metric."""
-    return F.coalesce(F.format_string(f"%.{decimals}f", value.cast("double")), F.lit("N/A"))
+    shown = F.format_string(f"%.{decimals}f", value.cast("double"))
+    # formatting a null gives text, so it has to be tested first
+    return F.when(value.isNull(), F.lit("N/A")).otherwise(shown)

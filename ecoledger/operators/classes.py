@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ecoledger.functions.text import natural_key
-from ecoledger.session import settle
+from ecoledger.session import broadcast_if_small, settle
 
 # A one-byte raster keeps 255 for nodata, so 254 is the last usable class.
 LAST_PIXEL_CLASS = 254
@@ -78,8 +78,12 @@ def first_classes(index: DataFrame, n: int) -> DataFrame:
 
 
 def with_index(rows: DataFrame, index: DataFrame) -> DataFrame:
-    """Add the class number by code; null for codes the index does not have."""
-    return rows.join(index.select("code", "index"), "code", "left")
+    """Add the class number by code; null for codes the index does not have.
+
+    Runs a small job that counts the index: while it is short it is broadcast,
+    so rows of a dominant code are not shuffled together.
+    """
+    return rows.join(broadcast_if_small(index.select("code", "index")), "code", "left")
 
 
 def class_sizes(features: DataFrame) -> DataFrame:

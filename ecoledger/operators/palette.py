@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ecoledger.functions.colour import CLEAR_RGBA, NODATA, class_colour, rgba
 from ecoledger.functions.text import legend_label
 from ecoledger.operators.classes import first_values, number_in_order
+from ecoledger.session import broadcast_if_small, settle
 
 
 def colour_groups(index: DataFrame, features: DataFrame | None = None) -> DataFrame:
@@ -63,8 +64,11 @@ def legend(grouped: DataFrame, by_group: bool = False) -> DataFrame:
 
 
 def paint(pixels: DataFrame, palette_rows: DataFrame) -> DataFrame:
-    """Categorical mode: colour by palette; nodata and unknown values are clear."""
-    known = palette_rows.where(F.col("index") != NODATA)
+    """Categorical mode: colour by palette; nodata and unknown values are clear.
+
+    Runs the small job that counts the palette before it is broadcast.
+    """
+    known = broadcast_if_small(settle(palette_rows.where(F.col("index") != NODATA)))
     return pixels.join(known, "index", "left").withColumn(
         "colour", F.coalesce("colour", rgba(*CLEAR_RGBA))
     )
