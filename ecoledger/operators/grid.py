@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ecoledger.functions.colour import ramp_colour, ramp_position
+from ecoledger.session import broadcast_if_small, settle
 
 # Cell size in metres and the share of area left out as a tail.
 CELL_METRES = 10_000.0
@@ -184,9 +185,15 @@ def grid_cell_count(cells: DataFrame) -> DataFrame:
 
 
 def share_ramp(cells: DataFrame) -> DataFrame:
-    """Cells with their position on the class's own min-max colour ramp."""
-    limits = cells.groupBy("code").agg(F.min("frac").alias("_low"), F.max("frac").alias("_high"))
-    placed = cells.join(limits, "code").withColumn(
+    """Cells with their position on the class's own min-max colour ramp.
+
+    Runs the job that finds the limits: one row per class, broadcast while that
+    is small, so the cells of a dominant class stay where they are.
+    """
+    limits = settle(
+        cells.groupBy("code").agg(F.min("frac").alias("_low"), F.max("frac").alias("_high"))
+    )
+    placed = cells.join(broadcast_if_small(limits), "code").withColumn(
         "ramp", ramp_position(F.col("frac"), F.col("_low"), F.col("_high"))
     )
     return placed.withColumn("colour", ramp_colour(F.col("ramp"))).drop("_low", "_high")

@@ -91,8 +91,10 @@ def footer_chunks(paths: DataFrame) -> DataFrame:
     ``paths`` has a column ``path``; files whose footer cannot be read give no
     rows. Ranges are given as text, and as numbers too where they are numbers.
     """
-    # one small read per file: spread the files, not their bytes
-    return paths.select("path").repartition("path").mapInPandas(_read_footers, _CHUNK_SCHEMA)
+    # one small read per file: a fixed number of partitions, because by their bytes
+    # all paths would be merged into one
+    parts = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return paths.select("path").repartition(parts, "path").mapInPandas(_read_footers, _CHUNK_SCHEMA)
 
 
 def footer_stats(chunks: DataFrame, ecosystem_column: str) -> DataFrame:

@@ -77,14 +77,33 @@ def has_groups(df: DataFrame, source: MapSource) -> bool:
     return source.group_column is not None and source.group_column in df.columns
 
 
+# Rows of one file stay below 2**40, files below 2**23.
+_ROW_BITS = 40
+
+
+def _file_key(path: Column) -> Column:
+    """File address with one spelling of its scheme; listings and scans differ there."""
+    return F.regexp_replace(path, "^([^:/]+):/+", "$1:/")
+
+
 def _numbered(df: DataFrame) -> DataFrame:
-    """Row order of the files: file path, then position in the file."""
-    return df.withColumn(
-        "src_ordinal",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-        ),
-    )
+    """Add ``src_ordinal``: position in file order, files by path.
+
+    A BIGINT stays small in shuffles and keeps aggregates on it hash-based. The
+    file ranks come from the listing the driver already holds, which bounds the
+    broadcast.
+    """
+    ranks = df.sparkSession.createDataFrame(
+        [(path, n) for n, path in enumerate(sorted(df.inputFiles()))], "_file string, _rank bigint"
+    ).withColumn("_file", _file_key(F.col("_file")))
+    placed = df.select(
+        "*", _file_key(F.col("_metadata.file_path")).alias("_file"),
+        F.col("_metadata.row_index").alias("_row"),
+    ).join(F.broadcast(ranks), "_file", "left")
+    rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), "_file")).cast("bigint"))
+    return placed.withColumn(
+        "src_ordinal", F.shiftleft(rank, _ROW_BITS) + F.col("_row")
+    ).drop("_file", "_row", "_rank")
 
 
 def load_map(spark: SparkSession, source: MapSource) -> DataFrame:
@@ -94,7 +113,7 @@ def load_map(spark: SparkSession, source: MapSource) -> DataFrame:
     """
     raw = spark.read.parquet(vector_address(source.preferred))
     kept = _numbered(raw).select(
-        F.xxhash64("src_ordinal").alias("fid"), *_role_columns(raw, source), "src_ordinal", "geometry"
+        F.col("src_ordinal").alias("fid"), *_role_columns(raw, source), "src_ordinal", "geometry"
     )
     if dict(raw.dtypes)["geometry"] == "binary":
         return decode_wkb(kept)

@@ -81,6 +81,17 @@ def test_one_class_is_pushed_down(spark, tmp_path, island):
     assert one.count() == 1
 
 
+def test_ordinals_follow_file_order(spark, tmp_path):
+    path = str(tmp_path / "odd dir é%20x+y")
+    for low in (0, 100):
+        part = spark.range(low, low + 100, 1, 1).select(F.col("id").cast("string").alias("c"))
+        part.write.mode("append").parquet(path)
+    rows = vector.load_attributes(spark, vector.MapSource(path, name_column="c")).orderBy("src_ordinal")
+    codes = [int(r.code) for r in rows.collect()]
+    assert sorted(codes) == list(range(200))
+    assert codes in (list(range(200)), list(range(100, 200)) + list(range(100)))
+
+
 def test_roles():
     assert vector.MapSource("d", name_column="n").key_column == "n"
     assert vector.MapSource("d", name_column="n", code_column="c").key_column == "c"
