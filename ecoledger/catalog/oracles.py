@@ -238,7 +238,7 @@ FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON
 _SQL["overview_counts"] = _with(PARTS) + f"""SELECT '{COUNTRY}' AS country, count(*) AS n_features,
 count(DISTINCT code) AS ecosystem_types, count(DISTINCT fg) AS functional_groups, true AS has_groups,
 'The {COUNTRY} ecosystem typology includes ' || count(DISTINCT code) || ' ecosystem types across ' ||
-count(DISTINCT fg) || ' functional groups.' AS sentence FROM parts"""
+count(DISTINCT fg) || ' functional groups.' AS sentence, CAST(NULL AS VARCHAR) AS note FROM parts"""
 _SQL["rejected_features"] = (
     "SELECT c_custkey AS fid, CAST(NULL AS VARCHAR) AS code FROM customer WHERE c_acctbal < 0"
 )
@@ -304,10 +304,18 @@ _SQL["criterion_b_assessment"] = _with(GRADED) + f"""SELECT code, idx AS index,
 round(eoo_km2, 3) AS eoo_km2, aoo_cells, n_cells, round(area_km2, 3) AS area_km2, overlap_cells, b1, b2,
 {_worse('b1', 'b2')} AS overall, 'spatial' AS basis, eoo_km2 IS NOT NULL AS has_data,
 {_label('(' + _worse('b1', 'b2') + ')')} AS overall_label FROM graded"""
-_SQL["criterion_b_summary"] = _with(GRADED) + f"""SELECT code, 1 AS line, 'B1' AS sub_criterion, 'EOO' AS metric,
-printf('%.0f', eoo_km2) || ' km²' AS value, {_label('b1')} AS category FROM graded
-UNION ALL SELECT code, 2, 'B2', 'AOO', aoo_cells || ' cells', {_label('b2')} FROM graded
-UNION ALL SELECT code, 3, 'Overall B', '—', '—', {_label('(' + _worse('b1', 'b2') + ')')} FROM graded"""
+_SQL["assessment_from_sorted_copy"] = _with(GRADED) + """SELECT code, round(eoo_km2, 3) AS eoo_km2,
+aoo_cells, n_cells, round(area_km2, 3) AS area_km2, overlap_cells FROM graded"""
+_SQL["criterion_b_summary"] = _with(
+    GRADED,
+    f"""report AS (SELECT code, 1 AS line, 'B1' AS sub_criterion, 'EOO' AS metric,
+  printf('%.0f', eoo_km2) || ' km²' AS value, b1 AS abbr FROM graded
+  UNION ALL SELECT code, 2, 'B2', 'AOO', aoo_cells || ' cells', b2 FROM graded
+  UNION ALL SELECT code, 3, 'Overall B', '—', '—', {_worse('b1', 'b2')} FROM graded)""",
+) + f"""SELECT code, line, sub_criterion, metric, value, {_label('abbr')} AS category,
+coalesce({_FILL.format('abbr')}, 'transparent') AS fill,
+CASE WHEN {_FILL.format('abbr')} IN ('yellow', 'green', 'lightgray', 'white') THEN '#000' ELSE '#fff' END AS text_colour
+FROM report"""
 _SQL["criterion_b_limits"] = f"""WITH m AS (SELECT o_orderkey AS code,
   CASE WHEN o_orderkey % 13 <> 0 THEN CAST(floor(o_totalprice / 10) AS BIGINT) END AS eoo_km2,
   CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey % 60 END AS aoo_cells FROM orders),

@@ -98,12 +98,14 @@ def criterion_b(metrics: DataFrame, thresholds: dict = THRESHOLDS) -> DataFrame:
 
 
 def criterion_b_summary(graded: DataFrame) -> DataFrame:
-    """Three report rows per class: B1 by EOO, B2 by AOO, overall."""
+    """Three report rows per class: B1 by EOO, B2 by AOO, overall, with badge colours."""
     def line(order, sub, metric, value, category):
+        fill = F.coalesce(category_fill(category), F.lit("transparent"))
         return F.struct(
             F.lit(order).alias("line"), F.lit(sub).alias("sub_criterion"),
             F.lit(metric).alias("metric"), value.alias("value"),
             category_label(category).alias("category"),
+            fill.alias("fill"), badge_text_colour(fill).alias("text_colour"),
         )
 
     lines = F.array(

@@ -27,6 +27,20 @@ def colour_groups(index: DataFrame, features: DataFrame | None = None) -> DataFr
     )
 
 
+def map_colouring(
+    index: DataFrame, features: DataFrame, color_by: str, groups_known: bool
+) -> DataFrame:
+    """Colour groups by ``ecosystem`` or ``functional_group``, with a ``note``.
+
+    Without a functional-group column the map falls back to one colour per
+    ecosystem and the note says so; otherwise the note is null.
+    """
+    wanted = color_by == "functional_group"
+    note = "no functional-group column: coloured by ecosystem" if wanted and not groups_known else None
+    grouped = colour_groups(index, features if wanted and groups_known else None)
+    return grouped.withColumn("note", F.lit(note).cast("string"))
+
+
 def group_colours(grouped: DataFrame) -> DataFrame:
     """(colour_group, rank, colour): groups ranked by their first class number."""
     firsts = grouped.groupBy("colour_group").agg(F.min("index").alias("first_index"))

@@ -50,6 +50,17 @@ def test_palette_slots_and_groups(spark):
     assert {r.label for r in palette.legend(grouped, by_group=True).collect()} == {"G1", "G2", "d"}
 
 
+def test_colouring_falls_back_with_a_note(spark):
+    features = spark.createDataFrame([("a", "A", "G", 0), ("b", "B", "G", 1)], SCHEMA)
+    index = classes.class_index(features)
+    for color_by, known, groups, noted in (
+        ("ecosystem", True, 2, False), ("functional_group", True, 1, False), ("functional_group", False, 2, True),
+    ):
+        rows = palette.map_colouring(index, features, color_by, known).collect()
+        assert len({r.colour_group for r in rows}) == groups
+        assert all((r.note is not None) == noted for r in rows)
+
+
 def test_palette_gap_is_transparent_and_unknown_pixels_are_clear(spark):
     index = spark.createDataFrame([(1, "a", "A"), (3, "c", "C")], "index int, code string, name string")
     colours = palette.palette(palette.colour_groups(index))
@@ -61,7 +72,7 @@ def test_palette_gap_is_transparent_and_unknown_pixels_are_clear(spark):
 def test_overview_without_groups(spark):
     rows = [("a", "A", "x", 0), ("b", "B", "x", 1)]
     facts = overview.overview(spark.createDataFrame(rows, SCHEMA), "Ruritania", groups_known=False).first()
-    assert facts.functional_groups is None
+    assert facts.functional_groups is None and "left out" in facts.note
     assert facts.sentence == "The Ruritania ecosystem typology includes 2 ecosystem types."
 
 

@@ -39,7 +39,9 @@ def test_summary_lines(spark):
     rows = {(r.code, r.line): (r.value, r.category) for r in criteria.criterion_b_summary(graded).collect()}
     assert rows["a", 1] == ("148 km²", "Critically Endangered (CR)")
     assert rows["a", 2] == ("4 cells", "Endangered (EN)")
-    assert rows["b", 3] == ("—", "N/A")
+    assert rows["b", 3] == ("—", "N/A") and rows["b", 1] == ("N/A km²", "N/A")
+    fills = {(r.code, r.line): (r.fill, r.text_colour) for r in criteria.criterion_b_summary(graded).collect()}
+    assert fills["a", 1] == ("red", "#fff") and fills["b", 3] == ("transparent", "#fff")
 
 
 def test_computed_categories_replace_authored_ones(spark):
