@@ -78,6 +78,17 @@ def polygon_map(spark: SparkSession, sf: str, stretch: float = 1.0) -> DataFrame
     )
 
 
+def order_map(spark: SparkSession, sf: str) -> DataFrame:
+    """One feature per order with its customer's polygon: most shapes are repeated."""
+    orders = _spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), "o_orderkey")
+    return orders.select(
+        F.col("o_orderkey").alias("fid"),
+        F.col("o_orderpriority").alias("code"),
+        F.col("o_orderkey").alias("src_ordinal"),
+        _geometry(F.col("o_custkey"), 1.0).alias("geometry"),
+    )
+
+
 def point_map(spark: SparkSession, sf: str) -> DataFrame:
     """(code, lon, lat): one wide-spread point per customer."""
     key = F.col("c_custkey")

@@ -49,7 +49,11 @@ MAP_INDEX = f"""map_index AS (SELECT CAST(row_number() OVER (ORDER BY {_natural(
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY 1))"""
 
 
-def _corners(stretch: float = 1.0) -> str:
+CUSTOMER_SHAPES = "SELECT c_custkey AS k, 'N' || c_nationkey AS code, c_custkey AS slot FROM customer"
+
+
+def _corners(stretch: float = 1.0, shapes: str = CUSTOMER_SHAPES) -> str:
+    """Vertices of the polygons laid out for (k, code, slot)."""
     rows = ", ".join(
         f"({shape}, {ring}, {i}, {dx * stretch!r}::DOUBLE, {dy * stretch!r}::DOUBLE)"
         for shape, rings in SHAPES.items()
@@ -57,11 +61,10 @@ def _corners(stretch: float = 1.0) -> str:
         for i, (dx, dy) in enumerate(points)
     )
     return f"""corners(shape, ring, i, dx, dy) AS (VALUES {rows}),
-slots AS (SELECT c_custkey AS k, 'N' || c_nationkey AS code,
-  (c_custkey % 400) * 0.4::DOUBLE - 80 AS lon0,
-  ((c_custkey // 400) % 225) * 0.4::DOUBLE - 30 AS lat0 FROM customer),
+slots AS (SELECT k, code, slot, (slot % 400) * 0.4::DOUBLE - 80 AS lon0,
+  ((slot // 400) % 225) * 0.4::DOUBLE - 30 AS lat0 FROM ({shapes})),
 verts AS (SELECT k, code, ring, i, lon0 + dx AS lon, lat0 + dy AS lat
-  FROM slots JOIN corners ON k % 3 = shape)"""
+  FROM slots JOIN corners ON slot % 3 = shape)"""
 
 
 _EASTING = f"radians(lon) * {SEMI_MAJOR!r}::DOUBLE"
@@ -85,8 +88,8 @@ lines AS (SELECT *, row_number() OVER () AS eid,
   CASE WHEN ring = 0 THEN 1 ELSE -1 END AS sgn FROM paired)"""
 
 
-CELLS = (
-    _corners() + ",\n" + _lines(10000.0) + """,
+OVERLAY = (
+    _lines(10000.0) + """,
 cuts AS (
   SELECT eid, 0::DOUBLE AS t FROM lines UNION SELECT eid, 1::DOUBLE FROM lines
   UNION SELECT eid, (g - x0) / (x1 - x0) FROM (SELECT eid, x0, x1,
@@ -110,6 +113,7 @@ shares AS (SELECT code, cx, cy, round(part + rc, 9) AS share FROM swept
 cells AS (SELECT code, cx AS grid_col, cy AS grid_row, least(share, 1) AS frac, share > 1 AS overlap
   FROM shares WHERE share > 0)"""
 )
+CELLS = _corners() + ",\n" + OVERLAY
 
 CUMULATIVE = """cumulative AS (SELECT *, sum(frac) OVER (PARTITION BY code ORDER BY frac, grid_row, grid_col
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_area,
@@ -238,7 +242,8 @@ FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON
 _SQL["overview_counts"] = _with(PARTS) + f"""SELECT '{COUNTRY}' AS country, count(*) AS n_features,
 count(DISTINCT code) AS ecosystem_types, count(DISTINCT fg) AS functional_groups, true AS has_groups,
 'The {COUNTRY} ecosystem typology includes ' || count(DISTINCT code) || ' ecosystem types across ' ||
-count(DISTINCT fg) || ' functional groups.' AS sentence, CAST(NULL AS VARCHAR) AS note FROM parts"""
+count(DISTINCT fg) || ' functional groups.' AS sentence, 'functional-group column ''functional_group'' not found, typology left out ' ||
+'(columns: p_partkey, p_name, p_brand, p_type, p_size, p_retailprice)' AS note FROM parts"""
 _SQL["rejected_features"] = (
     "SELECT c_custkey AS fid, CAST(NULL AS VARCHAR) AS code FROM customer WHERE c_acctbal < 0"
 )
@@ -254,6 +259,12 @@ _VERTICES = _with(_corners()) + """SELECT k AS fid, code, 0 AS part, ring, i,
 round(lon, 6) AS lon, round(lat, 6) AS lat FROM verts"""
 for _name in ("vertices", "geojson_vertices", "wkb_vertices"):
     _SQL[_name] = _VERTICES
+_ORDER_SHAPES = """SELECT o_orderpriority AS code, o_custkey AS slot, min(o_orderkey) AS k
+  FROM orders GROUP BY ALL"""
+_SQL["without_copies"] = f"SELECT k AS fid, code FROM ({_ORDER_SHAPES})"
+_SQL["aoo_of_repeated_shapes"] = _with(
+    _corners(shapes=_ORDER_SHAPES), OVERLAY, CUMULATIVE, AOO
+) + """SELECT code, aoo_cells, n_cells, round(area_km2, 3) AS area_km2, overlap_cells FROM aoo"""
 _SQL["map_bounds"] = _with(_corners()) + """SELECT round(min(lon), 6) AS west, round(min(lat), 6) AS south,
 round(max(lon), 6) AS east, round(max(lat), 6) AS north FROM verts"""
 _SQL["sorted_copy"] = """SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS quantity,

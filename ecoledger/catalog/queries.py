@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ecoledger.catalog.derive import (
-    COUNTRY, PROJECT, customer_records, group_names, part_features, point_map, polygon_map,
+    COUNTRY, PROJECT, customer_records, group_names, order_map, part_features, point_map, polygon_map,
     rendered_widgets, table,
 )
 from ecoledger.functions import text
@@ -123,7 +123,10 @@ def typology(spark, sf):
 
 @_query
 def overview_counts(spark, sf):
-    return overview.overview(part_features(spark, sf), COUNTRY, groups_known=True)
+    raw = table(spark, sf, "part")
+    source = vector.MapSource("", name_column="p_brand", group_column="functional_group")
+    note = vector.missing_group_note(raw, source)
+    return overview.overview(part_features(spark, sf), COUNTRY, groups_known=True, note=note)
 
 
 @_query
@@ -164,6 +167,17 @@ def vertices(spark, sf):
     )
 
 
+@_query
+def without_copies(spark, sf):
+    return ring_ops.without_copies(order_map(spark, sf)).select("fid", "code")
+
+
+@_query
+def aoo_of_repeated_shapes(spark, sf):
+    cells = layout.cells_cached(spark, order_map(spark, sf), None)
+    return _rounded(grid.occupancy(cells), 3, "area_km2")
+
+
 def _as_geojson(features: DataFrame) -> DataFrame:
     """Polygons and multipolygons as one GeoJSON feature per row."""
     lone = F.col("fid") % 2 == 0

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ecoledger.functions.projection import project_points, twice_signed_area
+from ecoledger.session import broadcast_if_small, settle
 
 
 def _open(points: Column) -> Column:
@@ -38,6 +39,31 @@ def rings(features: DataFrame, geometry: str = "geometry") -> DataFrame:
     return each.select("fid", "code", "src_ordinal", "part", "ring", points.alias("points"))
 
 
+def without_copies(features: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """Features with repeated shapes of a class dropped; the first in source order stays.
+
+    Shapes are compared by 128 bits of hash and counted on the map side, so a
+    shape that makes up much of the map is one row. Runs the job that finds the
+    repeated shapes; they are broadcast while they are few, and the map itself
+    is then not shuffled.
+    """
+    shape = ["code", "_shape", "_check"]
+    marked = features.withColumns(
+        {"_shape": F.xxhash64(geometry), "_check": F.xxhash64(F.lit(1), geometry)}
+    )
+    repeated = settle(
+        marked.groupBy(*shape)
+        .agg(F.count("*").alias("_copies"), F.min("src_ordinal").alias("_first"))
+        .where("_copies > 1")
+        .drop("_copies")
+    )
+    return (
+        marked.join(broadcast_if_small(repeated), shape, "left")
+        .where("_first is null or src_ordinal = _first")
+        .select(*features.columns)
+    )
+
+
 def rings_from_vertices(vertices: DataFrame) -> DataFrame:
     """Rebuild rings from long vertices (fid, code, src_ordinal, part, ring, i, lon, lat).
 

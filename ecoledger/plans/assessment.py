@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ecoledger.operators.criteria import THRESHOLDS, criterion_b
 from ecoledger.operators.grid import CELL_METRES, TAIL_SHARE, cell_shares, occupancy
 from ecoledger.operators.hull import extent
-from ecoledger.operators.rings import edges, outer_points, rings
+from ecoledger.operators.rings import edges, outer_points, rings, without_copies
 
 
 def metrics(
@@ -16,16 +16,19 @@ def metrics(
     size: float = CELL_METRES,
     tail: float = TAIL_SHARE,
     cells: DataFrame | None = None,
+    drop_copies: bool = True,
 ) -> DataFrame:
     """(code, eoo_km2, aoo_cells, n_cells, area_km2, overlap_cells) of every class.
 
     Pass ``cells`` to use a stored cell table instead of overlaying the map.
+    Shapes repeated within a class count once; ``drop_copies=False`` saves that
+    pass over a map known to have none.
     """
-    ring_rows = rings(features)
     if cells is None:
-        cells = cell_shares(edges(ring_rows), size)
+        single = without_copies(features) if drop_copies else features
+        cells = cell_shares(edges(rings(single)), size)
     aoo = occupancy(cells, tail, size)
-    eoo = extent(outer_points(ring_rows)).select("code", "eoo_km2")
+    eoo = extent(outer_points(rings(features))).select("code", "eoo_km2")
     return eoo.join(aoo, "code", "full_outer")
 
 

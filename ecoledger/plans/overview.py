@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from ecoledger.operators.classes import map_counts, type_list, typology
 
 
-def overview(features: DataFrame, country: str, groups_known: bool) -> DataFrame:
+def overview(
+    features: DataFrame, country: str, groups_known: bool, note: str | None = None
+) -> DataFrame:
     """One row of counts with the opening sentence of the overview.
 
     Counts of types and of functional groups are kept under their own names;
-    without a functional-group column the group count is null and ``note`` tells
-    that the typology is left out.
+    without a functional-group column the group count is null. ``note`` is passed on;
+    see ``vector.missing_group_note``.
     """
     counts = map_counts(features)
     groups = F.when(F.lit(groups_known), F.col("functional_groups"))
@@ -28,7 +30,7 @@ def overview(features: DataFrame, country: str, groups_known: bool) -> DataFrame
         F.lit(country).alias("country"), "n_features", "ecosystem_types",
         groups.alias("functional_groups"), F.lit(groups_known).alias("has_groups"),
         opening.alias("sentence"),
-        F.when(groups.isNull(), F.lit("no functional-group column: typology left out")).alias("note"),
+        F.lit(note).cast("string").alias("note"),
     )
 
 

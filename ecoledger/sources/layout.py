@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ecoledger.operators.grid import CELL_METRES, cell_shares
-from ecoledger.operators.rings import edges, rings
+from ecoledger.operators.rings import edges, rings, without_copies
 
 # Fixed value: rows per row group of a sorted copy.
 ROW_GROUP_ROWS = 10_000
@@ -64,7 +64,7 @@ def cells_cached(
     """The cell table at ``path`` when one is given, else computed from the map."""
     if path:
         return spark.read.parquet(path)
-    return cell_shares(edges(rings(features)), size)
+    return cell_shares(edges(rings(without_copies(features))), size)
 
 
 def write_index(index: DataFrame, path: str) -> str:

@@ -77,6 +77,16 @@ def has_groups(df: DataFrame, source: MapSource) -> bool:
     return source.group_column is not None and source.group_column in df.columns
 
 
+def missing_group_note(df: DataFrame, source: MapSource) -> str | None:
+    """What to tell the reader when a configured group column is not in the data."""
+    if source.group_column is None or has_groups(df, source):
+        return None
+    return (
+        f"functional-group column {source.group_column!r} not found, typology left out "
+        f"(columns: {', '.join(df.columns)})"
+    )
+
+
 # Rows of one file stay below 2**40, files below 2**23.
 _ROW_BITS = 40
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import ALPINE, WATER_BOX
 from ecoledger.functions.projection import easting, northing
 from ecoledger.operators import grid, rings
+from ecoledger.plans.assessment import metrics
 
 
 def cells_of(features, size=grid.CELL_METRES):
@@ -125,6 +126,17 @@ def test_overlap_is_flagged_and_clamped(make_features):
     assert cells_of(make_features(("a", [big]), ("a", [big]))).where("frac > 1").count() == 0
 
 
+def test_copies_count_once(make_features):
+    big = [[0.0, 0.0], [0.5, 0.0], [0.5, 0.5], [0.0, 0.5]]
+    other = [[1.0, 0.0], [1.5, 0.0], [1.5, 0.5]]
+    many = make_features(*[("a", [big])] * 30, ("b", [big]), ("a", [other]))
+    kept = rings.without_copies(many).collect()
+    assert [(r.code, r.fid) for r in sorted(kept, key=lambda r: r.fid)] == [("a", 0), ("b", 30), ("a", 31)]
+    got = {r.code: r for r in metrics(many).collect()}
+    once = {r.code: r for r in metrics(make_features(("a", [big]), ("b", [big]), ("a", [other]))).collect()}
+    assert got == once and got["a"].overlap_cells == 0
+
+
 def test_degenerate_rings_cover_nothing(make_features):
     features = make_features(
         ("line", [[[0.0, 0.0], [1.0, 1.0]]]), ("flat", [[[0.0, 5.0], [1.0, 5.0], [2.0, 5.0]]]),

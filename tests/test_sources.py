@@ -100,6 +100,13 @@ def test_roles():
         vector.MapSource("d").key_column
 
 
+def test_missing_group_column_is_noted(spark):
+    df = spark.createDataFrame([("a", "g")], "n string, g string")
+    assert vector.missing_group_note(df, vector.MapSource("d", "n", group_column="g")) is None
+    assert vector.missing_group_note(df, vector.MapSource("d", "n")) is None
+    assert "columns: n, g" in vector.missing_group_note(df, vector.MapSource("d", "n", group_column="h"))
+
+
 def test_missing_key_column_is_named(spark, tmp_path):
     spark.range(2).write.parquet(str(tmp_path / "m"))
     with pytest.raises(ValueError, match="columns: id"):
