@@ -11,13 +11,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ecoledger.functions.projection import project_points, twice_signed_area
+from ecoledger.functions.projection import project_points, rotated, twice_signed_area
 
 SALTS = 32
+ROWS_PER_FOLD = 200_000
 
 _COMPASS = np.array(
     [(1, 0), (1, 1), (0, 1), (-1, 1), (-1, 0), (-1, -1), (0, -1), (1, -1)], dtype=float
@@ -55,9 +57,11 @@ def _chain(points: list) -> list:
 
 def hull_points(points: np.ndarray) -> np.ndarray:
     """Corners of the convex hull, counter-clockwise from the lowest lon/lat."""
-    points = np.unique(points, axis=0)
     if len(points) > 64:
         points = _outside_octagon(points)
+    points = points[np.lexsort((points[:, 1], points[:, 0]))]
+    repeated = np.all(points[1:] == points[:-1], axis=1)
+    points = points[np.append(True, ~repeated)] if len(points) else points
     if len(points) < 3:
         return points
     walk = points.tolist()
@@ -65,27 +69,44 @@ def hull_points(points: np.ndarray) -> np.ndarray:
     return np.array(lower[:-1] + upper[:-1])
 
 
-def _frame(code, points: np.ndarray, **extra) -> pd.DataFrame:
-    return pd.DataFrame({"code": code, **extra, "lon": points[:, 0], "lat": points[:, 1]})
+def _absorb(held: dict, waiting: list[pa.RecordBatch]) -> None:
+    """Fold the waiting points into the hulls held per class."""
+    table = pa.Table.from_batches(waiting).combine_chunks()
+    coded = table["code"].combine_chunks().dictionary_encode()
+    of_row = coded.indices.to_numpy()
+    points = np.column_stack([table["lon"].to_numpy(), table["lat"].to_numpy()])
+    points = points[np.argsort(of_row, kind="stable")]
+    ends = np.cumsum(np.bincount(of_row, minlength=len(coded.dictionary)))
+    for code, mine in zip(coded.dictionary.to_pylist(), np.split(points, ends[:-1])):
+        held[code] = hull_points(np.vstack([held[code], mine]) if code in held else mine)
 
 
-def _task_hulls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _task_hulls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hull of each class within one task, carried from batch to batch."""
-    held: dict = {}
+    held: dict[str, np.ndarray] = {}
+    waiting: list[pa.RecordBatch] = []
     for batch in batches:
-        for code, rows in batch.groupby("code", sort=False):
-            points = rows[["lon", "lat"]].to_numpy()
-            if code in held:
-                points = np.vstack([held[code], points])
-            held[code] = hull_points(points)
+        waiting.append(batch)
+        if sum(b.num_rows for b in waiting) >= ROWS_PER_FOLD:
+            _absorb(held, waiting)
+            waiting = []
+    if waiting:
+        _absorb(held, waiting)
     context = TaskContext.get()
     salt = (context.partitionId() if context else 0) % SALTS
     for code, points in held.items():
-        yield _frame(code, points, salt=salt)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "code": pa.array([code] * len(points), pa.string()),
+                "salt": pa.array([salt] * len(points), pa.int32()),
+                "lon": points[:, 0], "lat": points[:, 1],
+            }
+        )
 
 
 def _merge_salted(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    return _frame(key[0], hull_points(rows[["lon", "lat"]].to_numpy()))
+    corners = hull_points(rows[["lon", "lat"]].to_numpy())
+    return pd.DataFrame({"code": key[0], "lon": corners[:, 0], "lat": corners[:, 1]})
 
 
 def _merge_class(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -97,7 +118,7 @@ def _merge_class(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 def hulls(points: DataFrame) -> DataFrame:
     """(code, hull ARRAY<STRUCT<lon,lat>>) of points (code, lon, lat)."""
     known = points.select("code", "lon", "lat").dropna()
-    local = known.mapInPandas(_task_hulls, "code string, salt int, lon double, lat double")
+    local = known.mapInArrow(_task_hulls, "code string, salt int, lon double, lat double")
     salted = local.groupBy("code", "salt").applyInPandas(
         _merge_salted, "code string, lon double, lat double"
     )
@@ -108,7 +129,8 @@ def hulls(points: DataFrame) -> DataFrame:
 
 def hull_area_km2(hull: Column) -> Column:
     """Planar area of a lon/lat hull after projecting its corners."""
-    return F.abs(twice_signed_area(project_points(hull))) / 2e6
+    corners = project_points(hull)
+    return F.abs(twice_signed_area(corners, rotated(corners))) / 2e6
 
 
 def extent(points: DataFrame) -> DataFrame:

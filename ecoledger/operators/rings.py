@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ecoledger.functions.projection import project_points, twice_signed_area
+from ecoledger.functions.projection import project_points, rotated, twice_signed_area
 from ecoledger.session import broadcast_if_small, settle
 
 
@@ -106,17 +106,13 @@ def edges(ring_rows: DataFrame) -> DataFrame:
     area keep their edges with a ``turn`` of 0, because a filter on the winding
     would be copied below the explode and walk every ring again.
     """
+    # each step is a projection of its own: merged, the ring would be projected per use
     projected = ring_rows.withColumn("_p", project_points(F.col("points")))
-    winding = F.signum(twice_signed_area(F.col("_p"))) * F.when(
+    paired = projected.withColumn("_q", rotated(F.col("_p")))
+    winding = F.signum(twice_signed_area(F.col("_p"), F.col("_q"))) * F.when(
         F.col("ring") == 0, F.lit(1.0)
     ).otherwise(F.lit(-1.0))
-    paired = projected.select(
-        "fid", "code", "src_ordinal", winding.alias("_w"), "_p",
-        F.concat(
-            F.slice("_p", F.lit(2), F.greatest(F.size("_p") - 1, F.lit(0))),
-            F.slice("_p", F.lit(1), F.lit(1)),
-        ).alias("_q"),
-    )
+    paired = paired.select("fid", "code", "src_ordinal", winding.alias("_w"), "_p", "_q")
     flat = paired.select(
         "fid", "code", "src_ordinal", "_w", F.explode(F.arrays_zip("_p", "_q")).alias("_e")
     ).where("_e._p.y <> _e._q.y")

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 
 from ecoledger.operators import hull, rings
@@ -41,12 +41,18 @@ def test_octagon_keeps_every_corner():
     assert {tuple(p) for p in hull.hull_points(points)} == brute_hull([tuple(p) for p in hull.hull_points(kept)])
 
 
-def test_hulls_merge_over_batches():
+def test_hulls_merge_over_batches(monkeypatch):
     rng = np.random.default_rng(1)
     points = rng.random((900, 2))
-    batches = [pd.DataFrame({"code": "a", "lon": p[:, 0], "lat": p[:, 1]}) for p in np.split(points, 9)]
-    out = pd.concat(hull._task_hulls(iter(batches)))
-    assert {tuple(p) for p in out[["lon", "lat"]].to_numpy()} == {tuple(p) for p in hull.hull_points(points)}
+    codes = ["a" if i % 3 else "b" for i in range(900)]
+    table = pa.table({"code": codes, "lon": points[:, 0], "lat": points[:, 1]})
+    for fold in (50, 10_000):
+        monkeypatch.setattr(hull, "ROWS_PER_FOLD", fold)
+        out = pa.Table.from_batches(hull._task_hulls(iter(table.to_batches(max_chunksize=100)))).to_pylist()
+        for code in "ab":
+            mine = points[[c == code for c in codes]]
+            got = [(r["lon"], r["lat"]) for r in out if r["code"] == code]
+            assert got == [tuple(p) for p in hull.hull_points(mine)]
 
 
 def test_island_extent(island):
