@@ -56,6 +56,10 @@ def _cells(spark: SparkSession, sf: str) -> DataFrame:
     return grid.cell_shares(_edges(spark, sf))
 
 
+def _file_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
 def _rgba_columns(df: DataFrame) -> DataFrame:
     return df.select("*", "colour.*").drop("colour")
 
@@ -217,18 +221,15 @@ def sorted_copy(spark, sf):
         table(spark, sf, "lineitem"), scratch_path(spark, "sorted"), "l_returnflag",
         tiebreak="l_orderkey",
     )
-    copy = spark.read.parquet(path)
     chunks = footers.footer_chunks(footers.object_listing(spark, path, "*.parquet"))
-    verdict = (
-        footers.footer_stats(chunks, "l_returnflag")
-        .agg(F.bool_and("ranges_sorted").alias("sorted"), F.max("max_rows_per_group").alias("_largest"))
-        .select("sorted", (F.col("_largest") <= layout.ROW_GROUP_ROWS).alias("small_groups"), F.lit(1).alias("_one"))
-    )
-    return (
-        copy.groupBy("l_returnflag")
-        .agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"), F.lit(1).alias("_one"))
-        .join(F.broadcast(verdict), "_one")
-        .drop("_one")
+    stats = footers.footer_stats(chunks, "l_returnflag").withColumn("file", _file_name(F.col("path")))
+    rows = spark.read.parquet(path).groupBy(
+        "l_returnflag", _file_name(F.col("_metadata.file_path")).alias("file")
+    ).agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+    return rows.join(stats, "file").groupBy("l_returnflag").agg(
+        F.sum("n").alias("n"), F.sum("quantity").alias("quantity"),
+        F.bool_and("ranges_sorted").alias("sorted"),
+        (F.max("max_rows_per_group") <= layout.ROW_GROUP_ROWS).alias("small_groups"),
     )
 
 
@@ -659,7 +660,7 @@ def footer_verdicts(spark, sf):
     listing = footers.object_listing(spark, sf, "*.parquet")
     stats = footers.footer_stats(footers.footer_chunks(listing), "p_brand")
     return readiness.layout_verdicts(listing.join(stats, "path")).withColumn(
-        "path", F.element_at(F.split("path", "/"), -1)
+        "path", _file_name(F.col("path"))
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,18 +24,19 @@ def build_gate(
     drifted source stops the build, then pages without a record, then records
     without a code; else the pages are regenerated.
     """
-    drift = source_drift(current, recorded, key, fields).agg(
-        F.count_if("drifted").alias("drifted_sources")
+    counted = {
+        "n_records": records,
+        "drifted_sources": source_drift(current, recorded, key, fields).where("drifted"),
+        "orphan_pages": missing_from(pages, records, "code"),
+        "invalid_records": invalid_records(records),
+    }
+    parts = [
+        rows.agg(F.count("*").alias("_n")).select(F.lit(name).alias("_what"), "_n")
+        for name, rows in counted.items()
+    ]
+    one = reduce(DataFrame.unionByName, parts).agg(
+        *[F.max(F.when(F.col("_what") == name, F.col("_n"))).alias(name) for name in counted]
     )
-    n_records = records.agg(F.count("*").alias("n_records"))
-    orphans = missing_from(pages, records, "code").agg(F.count("*").alias("orphan_pages"))
-    invalid = invalid_records(records).agg(F.count("*").alias("invalid_records"))
-    # four one-row tables side by side
-    one = n_records
-    for other in (drift, orphans, invalid):
-        one = one.withColumn("_one", F.lit(1)).join(
-            other.withColumn("_one", F.lit(1)), "_one"
-        ).drop("_one")
     action = (
         F.when(F.col("n_records") == 0, F.lit("scaffold"))
         .when(F.col("drifted_sources") > 0, F.lit("source drift"))

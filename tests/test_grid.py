@@ -179,6 +179,13 @@ def test_slots_equal_one_running_sum(spark):
         assert got[col, row] == pytest.approx(total, abs=1e-9)
 
 
+def test_occupancy_overlays_the_map_once(island):
+    occupancy = grid.occupancy(cells_of(island))
+    occupancy.collect()
+    final = occupancy._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("arrays_zip(_p") == 1
+
+
 def test_occupancy_ignores_scale(spark):
     fracs = [0.5, 0.2, 0.004, 0.003, 0.002, 0.9]
     for scale in (1.0, 0.1, 0.01):

@@ -41,6 +41,8 @@ def test_query_equals_its_twin(spark, duck, name):
     columns = [d[0] for d in result.description]
     kinds = {d[0]: str(d[1]) for d in result.description}
     assert {c: TYPES[t] for c, t in df.dtypes} == kinds
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     order = sorted(columns)
     assert rows_by(df.columns, order, df.collect()) == rows_by(columns, order, result.fetchall())
 
