@@ -7,11 +7,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ecoledger.functions.text import RASTER_SUFFIXES
+from ecoledger.session import BROADCAST_ROWS
 
 GEOMETRY_TYPE = "array<array<array<array<double>>>>"
 _GEOMETRY = T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
@@ -100,16 +102,19 @@ def _numbered(df: DataFrame) -> DataFrame:
     """Add ``src_ordinal``: position in file order, files by path.
 
     A BIGINT stays small in shuffles and keeps aggregates on it hash-based. The
-    file ranks come from the listing the driver already holds, which bounds the
-    broadcast.
+    file ranks come from the listing the driver already holds, and are broadcast
+    while it is short.
     """
+    files = sorted(df.inputFiles())
     ranks = df.sparkSession.createDataFrame(
-        [(path, n) for n, path in enumerate(sorted(df.inputFiles()))], "_file string, _rank bigint"
+        [(path, n) for n, path in enumerate(files)], "_file string, _rank bigint"
     ).withColumn("_file", _file_key(F.col("_file")))
+    if len(files) <= BROADCAST_ROWS:
+        ranks = F.broadcast(ranks)
     placed = df.select(
         "*", _file_key(F.col("_metadata.file_path")).alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
-    ).join(F.broadcast(ranks), "_file", "left")
+    ).join(ranks, "_file", "left")
     rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), "_file")).cast("bigint"))
     return placed.withColumn(
         "src_ordinal", F.shiftleft(rank, _ROW_BITS) + F.col("_row")
@@ -205,8 +210,8 @@ def load_geojson(spark: SparkSession, source: MapSource, lines: bool = False) ->
     return geojson_features(numbered, source)
 
 
-def _parse_wkb(data: bytes) -> list:
-    """Parts, rings and points of one WKB polygon or multipolygon."""
+def _parse_wkb(data: bytes) -> list[list[np.ndarray]]:
+    """Parts of one WKB polygon or multipolygon, as rings of (n, 2) coordinates."""
     view = np.frombuffer(data, dtype=np.uint8)
     at = 0
 
@@ -236,7 +241,7 @@ def _parse_wkb(data: bytes) -> list:
             n = count(order)
             flat = np.frombuffer(data, order + "f8", n * dims, at)
             at += 8 * n * dims
-            out.append(flat.reshape(n, dims)[:, :2].astype(float).tolist())
+            out.append(flat.reshape(n, dims)[:, :2].astype(float))
         return out
 
     order, kind, dims = header()
@@ -274,9 +279,24 @@ def encode_wkb(geometry: Column) -> Column:
     return _encode(geometry)
 
 
-@F.pandas_udf(_GEOMETRY)
-def _decode(wkb: pd.Series) -> pd.Series:
-    return wkb.map(lambda b: None if b is None else _parse_wkb(bytes(b)))
+def _offsets(lengths: list[int]) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+
+
+@F.arrow_udf(_GEOMETRY)
+def _decode(wkb: pa.Array) -> pa.Array:
+    """Parse ring by ring and hand the coordinates over as one flat buffer."""
+    features = [None if b is None else _parse_wkb(b) for b in wkb.to_pylist()]
+    parts = [part for f in features if f for part in f]
+    rings = [ring for part in parts for ring in part]
+    flat = np.concatenate(rings).ravel() if rings else np.empty(0)
+    points = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 2), pa.int32()), flat)
+    by_ring = pa.ListArray.from_arrays(_offsets([len(r) for r in rings]), points)
+    by_part = pa.ListArray.from_arrays(_offsets([len(p) for p in parts]), by_ring)
+    return pa.ListArray.from_arrays(
+        _offsets([len(f or []) for f in features]), by_part,
+        mask=pa.array([f is None for f in features], pa.bool_()),
+    )
 
 
 def decode_wkb(features: DataFrame, column: str = "geometry") -> DataFrame:

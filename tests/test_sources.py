@@ -139,7 +139,18 @@ def wkb(order, code, dims, points, srid=b""):
     ],
 )
 def test_wkb_forms(data):
-    assert vector._parse_wkb(data) == [[[[0, 0], [1, 0], [1, 1], [0, 0]]]]
+    (part,) = vector._parse_wkb(data)
+    assert [ring.tolist() for ring in part] == [[[0, 0], [1, 0], [1, 1], [0, 0]]]
+
+
+def test_wkb_nulls_and_empty_batches(spark):
+    rows = [(1, None), (2, bytearray(wkb(1, 3, 2, [(0, 0), (1, 0), (1, 1), (0, 0)])))]
+    df = spark.createDataFrame(rows, "id int, geometry binary")
+    got = {r.id: r.geometry for r in vector.decode_wkb(df).collect()}
+    assert got == {1: None, 2: [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]]]}
+    assert vector.decode_wkb(df.where("id > 5")).collect() == []
+    only_null = vector.decode_wkb(df.where("id = 1")).collect()
+    assert [r.geometry for r in only_null] == [None]
 
 
 def test_other_wkb_is_an_error():
