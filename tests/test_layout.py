@@ -117,6 +117,19 @@ def test_sorted_copy(spark, tmp_path):
     assert "EqualTo(code,c03)" in scan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_dominant_ecosystem_spreads_over_files(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 4).select(
+        F.when(F.col("id") % 10 == 0, F.lit("rare")).otherwise(F.lit("hot")).alias("code"), "id"
+    )
+    path = layout.write_sorted_copy(df, str(tmp_path / "copy"), "code", files=4)
+    files = sorted((tmp_path / "copy").glob("*.parquet"))
+    tables = [pq.read_table(f) for f in files]
+    assert sum("hot" in t["code"].to_pylist() for t in tables) >= 3
+    assert [c for t in tables for c in t["code"].to_pylist()] == ["hot"] * 3600 + ["rare"] * 400
+    assert sorted(i for t in tables for i in t["id"].to_pylist()) == list(range(4000))
+    assert tables[0].column_names == ["code", "id"]
+
+
 def test_sorted_copy_needs_its_column(spark, tmp_path):
     with pytest.raises(ValueError, match="columns: id"):
         layout.write_sorted_copy(spark.range(3), str(tmp_path / "x"), "code")
