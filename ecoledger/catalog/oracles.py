@@ -497,6 +497,7 @@ _SQL["layout_verdicts"] = """WITH o AS (SELECT CASE WHEN o_custkey % 2 = 0 THEN
 s AS (SELECT *, month < lag(month) OVER (PARTITION BY path ORDER BY o_orderkey) AS back FROM o),
 f AS (SELECT path, count(*) AS num_row_groups, CAST(sum(rows) AS BIGINT) AS num_rows, max(rows) AS max_rows_per_group,
   CAST(CASE WHEN any_value(o_custkey) % 3 = 0 THEN sum(geom) ELSE sum(note) END AS BIGINT) AS geometry_bytes,
+  CASE WHEN any_value(o_custkey) % 3 = 0 THEN 'geom' ELSE 'note' END AS geometry_column,
   CASE WHEN bool_and(ranged) THEN NOT coalesce(bool_or(back), false) END AS ranges_sorted FROM s GROUP BY path),
 v AS (SELECT *, coalesce(ranges_sorted, false) AND num_row_groups >= 2 AND max_rows_per_group <= 50000 AS optimized FROM f)
 SELECT *, NOT optimized AND starts_with(path, 'gs://') AND geometry_bytes >= 1073741824 AS refuse_load FROM v"""

@@ -98,7 +98,7 @@ def footer_chunks(paths: DataFrame) -> DataFrame:
 
 
 def footer_stats(chunks: DataFrame, ecosystem_column: str) -> DataFrame:
-    """Per file: row groups, rows, largest group, geometry bytes and sort order.
+    """Per file: row groups, rows, largest group, geometry column and bytes, sort order.
 
     ``ranges_sorted`` compares each row group's minimum with the maximum of the
     group before it; it is null when any range is unknown or the column is absent.
@@ -106,11 +106,18 @@ def footer_stats(chunks: DataFrame, ecosystem_column: str) -> DataFrame:
     per_column = chunks.groupBy("path", "column").agg(
         F.sum("uncompressed").alias("bytes"), F.first("geo_primary").alias("geo_primary")
     )
+    # the named primary column, else one called geometry, else the largest
+    rank = (
+        F.when(F.col("column") == F.col("geo_primary"), 3)
+        .when(F.col("column") == "geometry", 2)
+        .otherwise(1)
+    )
     geometry = per_column.groupBy("path").agg(
-        F.max(F.when(F.col("column") == F.col("geo_primary"), F.col("bytes"))).alias("_named"),
-        F.max(F.when(F.col("column") == "geometry", F.col("bytes"))).alias("_plain"),
-        F.max("bytes").alias("_largest"),
-    ).select("path", F.coalesce("_named", "_plain", "_largest").alias("geometry_bytes"))
+        F.max(F.struct(rank.alias("rank"), "bytes", "column")).alias("_chosen")
+    ).select(
+        "path", F.col("_chosen.column").alias("geometry_column"),
+        F.col("_chosen.bytes").alias("geometry_bytes"),
+    )
 
     sizes = (
         chunks.groupBy("path", "row_group").agg(F.first("group_rows").alias("_rows"))

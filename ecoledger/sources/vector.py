@@ -29,6 +29,7 @@ class MapSource:
     group_column: str | None = None
     optimized_data: str | None = None
     cell_table: str | None = None
+    geometry_column: str = "geometry"
 
     @property
     def key_column(self) -> str:
@@ -124,13 +125,15 @@ def _numbered(df: DataFrame) -> DataFrame:
 def load_map(spark: SparkSession, source: MapSource) -> DataFrame:
     """(fid, code, name, fg, src_ordinal, geometry) of a Parquet map.
 
-    ``geometry`` may be nested coordinates or WKB (binary), which is decoded.
+    The geometry may be nested coordinates or WKB (binary), which is decoded. Its
+    column name is part of the source; ``footers.footer_stats`` finds it.
     """
     raw = spark.read.parquet(vector_address(source.preferred))
     kept = _numbered(raw).select(
-        F.col("src_ordinal").alias("fid"), *_role_columns(raw, source), "src_ordinal", "geometry"
+        F.col("src_ordinal").alias("fid"), *_role_columns(raw, source), "src_ordinal",
+        F.col(source.geometry_column).alias("geometry"),
     )
-    if dict(raw.dtypes)["geometry"] == "binary":
+    if dict(raw.dtypes)[source.geometry_column] == "binary":
         return decode_wkb(kept)
     return kept
 

@@ -76,11 +76,23 @@ def test_missing_ecosystem_column_is_not_optimized(spark):
     assert row.ranges_sorted is None and row.optimized is False
 
 
-@pytest.mark.parametrize("primary, want", [("shape", 5), ("gone", 7), (None, 7)])
+@pytest.mark.parametrize(
+    "primary, want", [("shape", ("shape", 5)), ("gone", ("geometry", 7)), (None, ("geometry", 7))]
+)
 def test_geometry_column_choice(spark, primary, want):
     sizes = {"shape": 5, "geometry": 7, "note": 99}
     rows = [("f", 0, 1, c, n, False, None, None, None, None, primary) for c, n in sizes.items()]
-    assert footers.footer_stats(spark.createDataFrame(rows, CHUNKS), "x").first().geometry_bytes == want
+    row = footers.footer_stats(spark.createDataFrame(rows, CHUNKS), "x").first()
+    assert (row.geometry_column, row.geometry_bytes) == want
+
+
+def test_geo_metadata_names_the_column(spark, tmp_path):
+    table = pa.table({"shape": [b"x"], "note": ["long " * 100]}).replace_schema_metadata(
+        {"geo": '{"primary_column": "shape"}'}
+    )
+    pq.write_table(table, tmp_path / "m.parquet")
+    (row,) = verdict_of_file(spark, tmp_path)
+    assert row.geometry_column == "shape"
 
 
 def test_largest_column_stands_in_for_geometry(spark):

@@ -51,14 +51,18 @@ def test_geojson_lines(spark, tmp_path):
 
 
 def test_parquet_map_with_nested_and_wkb_geometry(spark, tmp_path, island):
-    plain = island.select(F.col("code").alias("c"), F.col("name").alias("n"), "geometry")
+    plain = island.select(
+        F.col("code").alias("c"), F.col("name").alias("n"), F.col("geometry").alias("shape")
+    )
     plain.coalesce(1).write.parquet(str(tmp_path / "nested"))
-    plain.withColumn("geometry", vector.encode_wkb(F.col("geometry"))).coalesce(1).write.parquet(
+    plain.withColumn("shape", vector.encode_wkb(F.col("shape"))).coalesce(1).write.parquet(
         str(tmp_path / "wkb")
     )
     seen = []
     for kind in ("nested", "wkb"):
-        source = vector.MapSource(str(tmp_path / kind), name_column="n", code_column="c", group_column="no")
+        source = vector.MapSource(
+            str(tmp_path / kind), name_column="n", code_column="c", group_column="no", geometry_column="shape"
+        )
         features = vector.load_map(spark, source)
         assert features.select("fg").distinct().collect()[0].fg is None
         seen.append(rings.rings(features).orderBy("code", "ring").select("code", "part", "ring", "points").collect())
