@@ -499,8 +499,11 @@ f AS (SELECT path, count(*) AS num_row_groups, CAST(sum(rows) AS BIGINT) AS num_
   CAST(CASE WHEN any_value(o_custkey) % 3 = 0 THEN sum(geom) ELSE sum(note) END AS BIGINT) AS geometry_bytes,
   CASE WHEN any_value(o_custkey) % 3 = 0 THEN 'geom' ELSE 'note' END AS geometry_column,
   CASE WHEN bool_and(ranged) THEN NOT coalesce(bool_or(back), false) END AS ranges_sorted FROM s GROUP BY path),
-v AS (SELECT *, coalesce(ranges_sorted, false) AND num_row_groups >= 2 AND max_rows_per_group <= 50000 AS optimized FROM f)
-SELECT *, NOT optimized AND starts_with(path, 'gs://') AND geometry_bytes >= 1073741824 AS refuse_load FROM v"""
+v AS (SELECT *, coalesce(ranges_sorted, false) AND num_row_groups >= 2 AND max_rows_per_group <= 50000 AS optimized FROM f),
+w AS (SELECT *, NOT optimized AND starts_with(path, 'gs://') AND geometry_bytes >= 1073741824 AS refuse_load FROM v)
+SELECT *, CASE WHEN refuse_load THEN 'large remote file that is not optimized: ' ||
+printf('%.1f', geometry_bytes / 1073741824) || ' GB geometry in ' || num_row_groups ||
+' row groups; write a sorted copy first' END AS refusal FROM w"""
 _SQL["cache_readiness"] = _with(
     _CACHES,
     """counts AS (SELECT source, count(*) AS n_configured, count(*) FILTER (path NOT IN (SELECT path FROM listing))

@@ -33,15 +33,22 @@ def is_optimized(row_group_rows: int = ROW_GROUP_ROWS) -> Column:
 
 
 def layout_verdicts(stats: DataFrame, row_group_rows: int = ROW_GROUP_ROWS) -> DataFrame:
-    """Add ``optimized`` and ``refuse_load`` to footer stats with a ``path``.
+    """Add ``optimized``, ``refuse_load`` and ``refusal`` to footer stats with a ``path``.
 
-    Loading is refused for a large remote file that is not optimized.
+    Loading is refused for a large remote file that is not optimized; the refusal
+    says why and is null otherwise.
     """
     judged = stats.withColumn("optimized", is_optimized(row_group_rows))
     large = F.coalesce(F.col("geometry_bytes") >= LARGE_LOAD_BYTES, F.lit(False))
-    return judged.withColumn(
+    refused = judged.withColumn(
         "refuse_load", ~F.col("optimized") & is_remote(F.col("path")) & large
     )
+    why = F.concat(
+        F.lit("large remote file that is not optimized: "), _gib(F.col("geometry_bytes")),
+        F.lit(" geometry in "), F.col("num_row_groups").cast("string"),
+        F.lit(" row groups; write a sorted copy first"),
+    )
+    return refused.withColumn("refusal", F.when(F.col("refuse_load"), why))
 
 
 def _gib(value: Column) -> Column:

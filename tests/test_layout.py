@@ -107,6 +107,8 @@ def test_large_remote_load_is_refused(spark):
         ("/local/c", False, 1, 10, GIB), ("gs://b/d", False, 1, 10, GIB - 1),
     ]
     judged = readiness.layout_verdicts(spark.createDataFrame(rows, schema)).orderBy("path")
+    assert "1.0 GB geometry in 1 row groups" in judged.where("path = 'gs://b/a'").first().refusal
+    assert judged.where("refusal is not null").count() == 1
     assert {r.path: r.refuse_load for r in judged.collect()} == {
         "gs://b/a": True, "gs://b/b": False, "/local/c": False, "gs://b/d": False,
     }
