@@ -83,7 +83,8 @@ def cell_shares(
         .groupBy("code", "grid_row", "grid_col")
         .agg(F.sum("cov").alias("cov"), F.sum("part").alias("part"))
     )
-    leftwards = Window.partitionBy("code", "grid_row").orderBy(F.desc("grid_col"))
+    # numbers first: they settle the sort before codes have to be compared
+    leftwards = Window.partitionBy("grid_row", "code").orderBy(F.desc("grid_col"))
     carried = sums.select(
         "code", "grid_row", "grid_col", "part",
         F.sum("cov").over(leftwards.rowsBetween(Window.unboundedPreceding, 0)).alias("_after"),
@@ -135,7 +136,7 @@ def cumulative_shares(cells: DataFrame) -> DataFrame:
     cells must be added one by one.
     """
     slotted = _slots(cells)
-    slots = slotted.groupBy("code", "_bin", "_line").agg(F.sum("frac").alias("_slot"))
+    slots = slotted.groupBy("_bin", "_line", "code").agg(F.sum("frac").alias("_slot"))
     per_class = Window.partitionBy("code").orderBy("_bin", "_line")
     starts = slots.select(
         "code", "_bin", "_line",
@@ -145,13 +146,13 @@ def cumulative_shares(cells: DataFrame) -> DataFrame:
         F.sum("_slot").over(Window.partitionBy("code")).alias("total_area"),
     )
     inside = (
-        Window.partitionBy("code", "_bin", "_line")
+        Window.partitionBy("_bin", "_line", "code")
         .orderBy("frac", "grid_row", "grid_col")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     running = slotted.withColumn("_inside", F.sum("frac").over(inside))
     return (
-        running.join(starts, ["code", "_bin", "_line"])
+        running.join(starts, ["_bin", "_line", "code"])
         .withColumn("cum_area", F.col("_start") + F.col("_inside"))
         .withColumn("cum_prop", F.col("cum_area") / F.col("total_area"))
         .drop("_bin", "_line", "_start", "_inside")

@@ -40,7 +40,8 @@ def feature_spans(edge_rows: DataFrame, resolution: float = PIXEL_METRES) -> Dat
     Gives (code, src_ordinal, row, block, c0, c1). The windows hold one pixel row
     of one feature.
     """
-    w = Window.partitionBy("code", "fid", "row").orderBy("x", F.desc("turn"))
+    # numbers first: they settle the sort before codes have to be compared
+    w = Window.partitionBy("row", "fid", "code").orderBy("x", F.desc("turn"))
     swept = crossings(edge_rows, resolution).select(
         "code", "src_ordinal", "row", "x",
         F.sum("turn").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_depth"),
