@@ -43,7 +43,7 @@ def main() -> None:
     run(registered["class_sizes"], spark, sf)  # start the JVM paths once
     seconds = {}
     for name in HEADLINE:
-        # median after the warm-up run of the query itself
+        # the median of three, so a slow first run does not count
         runs = sorted(run(registered[name], spark, sf) for _ in range(REPEATS))
         seconds[name] = round(runs[REPEATS // 2], 3)
     print(
