@@ -6,14 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
-from ecoledger.llm import packing
+from ecoledger.llm import icws, linechunks, mixing, packing, toxicity
+from ecoledger.llm.common import read, word_count
 from ecoledger.llm.queries import vocabulary
-from ecoledger.session import scratch_path
+from ecoledger.session import broadcast_if_small, scratch_path, settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the clause grammar, learned from the labels, does not call toxic."""
+    model = toxicity.learn(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def drop_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; chunks of lines that stand earlier in the corpus are gone from their texts."""
+    kept = linechunks.without_repeated_chunks(docs)
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicate texts, the one of the smallest id."""
+    groups = icws.near_texts(docs)
+    gone = settle(groups.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct())
+    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole copies of documents, so many that sources come near the weights 1, 2, 3 in turn.
+
+    A document is there as often as the mix takes it, rounded; repeats are rows of their own.
+    """
+    mixed = mixing.mix(docs.withColumn("size", word_count(F.col("text"))))
+    times = F.round(F.col("taken") / F.col("size")).cast("int")
+    return mixed.where(F.col("taken") * 2 >= F.col("size")).where("size > 0").withColumn(
+        "_copy", F.explode(F.array_repeat(F.lit(1), times))
+    ).select(*docs.columns)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, packed into sequences of at most 2048."""
     pieces = packing.token_pieces(docs, vocabulary("word_bpe_49k.json"), end_id=0, capacity=2048)
@@ -22,7 +55,13 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     )
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", pack_sequences)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", reject_toxic),
+    ("line_dedup", drop_repeated_chunks),
+    ("minhash", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
 # Tokenizers and learned scores are beyond SQL; tests hold each stage to a plain version.
 ORACLE_SQL: str | None = None

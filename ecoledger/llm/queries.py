@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoledger.llm import packing, tokenfiles
-from ecoledger.llm.common import read
+from ecoledger.llm import (
+    hnsw, icws, linechunks, mixing, multiprobe, packing, resharding, substrings, tokenfiles, toxicity,
+)
+from ecoledger.llm.common import read, word_count
 from ecoledger.session import scratch_path
 
+OLD_SHARDS = 12
+
 
 def vocabulary(name: str) -> str:
     """Place of a public vocabulary file."""
@@ -19,6 +23,43 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources to the weights 1, 2, 3 takes of each document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the clause grammar."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without passages of 50 words that stand before."""
+    return substrings.remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all embeddings at a cosine of 0.93 within a label."""
+    return hnsw.near_vectors(read(spark, sf_dir, "embeddings"), 0.93)
+
+
+def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without repeated chunks of lines."""
+    kept = linechunks.without_repeated_chunks(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "lines_removed", "chunks_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op6_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of near-duplicate texts of every document."""
+    return icws.near_texts(read(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written, indexed by key and read back by key."""
     folder = scratch_path(spark, "token-files")
@@ -38,6 +79,36 @@ def op8_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_flow_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents moved from 12 shards by text hash to 16 shards of equal bytes.
+
+    The shards are written, and the columns are read back from their files.
+    """
+    docs = read(spark, sf_dir, "documents")
+    keyed = resharding.keyed(docs)
+    rows = keyed.select(
+        "_id", "_th", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.pmod("_th", F.lit(OLD_SHARDS)).cast("int").alias("old_shard"), F.col("_th").alias("group"),
+    )
+    placed = resharding.place(rows, shards=16)
+    files = resharding.rewrite(docs, placed, scratch_path(spark, "shards"))
+    return files.select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"),
+        F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard",
+    )
+
+
+def op10_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return multiprobe.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries of this subpackage by name."""
-    return {f.__name__: f for f in (op7_token_files, op8_packed_sequences)}
+    found = (
+        op1_pareto_mix, op2_toxicity, op3_repeated_passages, op4_near_vectors, op5_line_chunks, op6_minhash_groups,
+        op7_token_files, op8_packed_sequences, op9_flow_shards, op10_multiprobe,
+    )
+    return {f.__name__: f for f in found}

@@ -16,8 +16,9 @@ import numpy as np
 
 from ecoledger.llm.common import worker_state
 
-# Pieces a worker keeps; past it the memory is emptied and filled again.
-KEPT_PIECES = 600_000
+# Pieces of each of two generations that a worker keeps: when the younger is full it
+# becomes the older, and the older goes. A piece in use stays.
+KEPT_PIECES = 300_000
 _ODD_SPACE = re.compile(r" (?![\w!-/:-@\[-`{-~])")
 _CUT = re.compile(r"[ \n\t\r]")
 _MARKS = frozenset(".,;:!?")
@@ -39,6 +40,8 @@ class _Pieces(dict):
         super().__init__()
         self.tokenizer, self.dtype, self.lead, self.whole_words = tokenizer, dtype, lead, whole_words
         self.letters = _byte_letters()
+        self.older: dict[str, bytes] = {}
+        self.line_starts = self
 
     def ids_of(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -54,17 +57,26 @@ class _Pieces(dict):
         return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], self.dtype).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KEPT_PIECES:
-            self.clear()
         # lower case beyond the Latin letters may depend on neighbours; those take the full path
-        simple = not self.whole_words or piece.isascii() or max(piece) < "İ"
-        if piece and simple and piece.isalpha():
-            ids = self._word(piece)
-        elif len(piece) > 1 and simple and piece[-1] in _MARKS and piece[:-1].isalpha():
-            ids = self[piece[:-1]] + self.ids_of(piece[-1])
-        else:
-            ids = self.ids_of(self.lead + piece)
-        self[piece] = ids
+        if not self.whole_words or piece.isascii() or max(piece) < "\u0130":
+            if piece.isalpha():
+                return self._keep(piece, self._word)
+            if len(piece) > 1 and piece[-1] in _MARKS and piece[:-1].isalpha():
+                return self[piece[:-1]] + self.line_starts._keep(piece[-1], self.ids_of)
+            # one line break between visible characters is a word of its own
+            left, newline, right = piece.partition("\n")
+            if left and right and not left[-1].isspace() and not right[0].isspace():
+                return self[left] + self.line_starts._keep(newline, self.ids_of) + self.line_starts[right]
+        return self._keep(piece, lambda p: self.ids_of(self.lead + p))
+
+    def _keep(self, piece: str, encode) -> bytes:
+        ids = self.get(piece)
+        if ids is None:
+            if len(self) >= KEPT_PIECES:
+                self.older = self.copy()
+                self.clear()
+            ids = self.older.get(piece)
+            self[piece] = ids = encode(piece) if ids is None else ids
         return ids
 
 
@@ -81,6 +93,7 @@ class Encoder:
         self.whole_words = bool(spec["model"].get("end_of_word_suffix"))
         self.first = _Pieces(tokenizer, self.dtype, "", self.whole_words)
         self.spaced = self.first if self.whole_words else _Pieces(tokenizer, self.dtype, " ", False)
+        self.spaced.line_starts = self.first
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text as little-endian bytes; nothing for null or empty."""
