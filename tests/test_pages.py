@@ -2,7 +2,6 @@ import hashlib
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from ecoledger.operators import blobs, pages
 from ecoledger.operators import checks
@@ -81,10 +80,27 @@ def test_rewriting_twice_changes_nothing(site):
     assert sorted(r.html for r in once.collect()) == sorted(r.html for r in twice.collect())
 
 
-def test_state_text_finds_the_body(spark):
-    df = spark.createDataFrame([(html,) for _, html in PAGES.values()], "html string")
-    got = [r[0] is not None for r in df.select(blobs.state_text(F.col("html"))).collect()]
-    assert got == [True, True, True, False, True, False, True, False, True, True, True]
+ODD = {
+    21: ("odd/text.html", page({"state": {"m0": "text", "m1": {"state": {"_esm": BIG}}}})),
+    22: ("odd/list.html", page({"state": {"m0": {"state": [1]}, "m1": {"state": {"_esm": BIG}}}})),
+    23: ("odd/twice.html", page('{"state": {"m": {"state": {"_esm": "small", "_esm": "' + "q" * 5000 + '"}}}}')),
+    24: ("odd/surrogate.html", page('{"state": {"m": {"state": {"_esm": "\\ud800' + "q" * 5000 + '"}}}}')),
+    25: ("odd/top.html", page("[1, 2]")),
+}
+
+
+def test_odd_models_do_not_lose_bundles(spark):
+    rows = [(k, path, html) for k, (path, html) in {**PAGES, **ODD}.items()] + [(26, "null.html", None)]
+    odd = spark.createDataFrame(rows, "page_id bigint, path string, html string")
+    done = blobs.rewrite_pages(odd)
+    got = {r.page_id: r for r in done.collect()}
+    assert [k for k in sorted(got) if k > 20 and got[k].changed] == [21, 22, 23]
+    assert got[24].problem == "a bundle is not valid Unicode" and got[24].html == ODD[24][1]
+    assert got[5].problem == "the state block is not JSON" and got[26].html is None
+    check = blobs.reference_integrity(done, blobs.shared_bundles(odd)).first()
+    assert (check.references, check.assets, check.dangling, check.unused) == (8, 3, 0, 0)
+    script = blobs.rewrite_pages(odd, script="resolve()").where("page_id = 21").first().html
+    assert f'{blobs.MARKER}="1">resolve()</script>' in script
 
 
 RECORDS = "code string, name string, record_text string"
