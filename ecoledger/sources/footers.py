@@ -8,14 +8,14 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CHUNK_SCHEMA = (
     "path string, row_group int, group_rows bigint, column string, uncompressed bigint, "
-    "has_range boolean, low string, high string, low_number double, high_number double, "
-    "geo_primary string"
+    "has_range boolean, steps_back boolean, low string, high string, geo_primary string, problem string"
 )
+_NAMES = [f.split()[0] for f in _CHUNK_SCHEMA.split(", ")]
 
 
 def object_listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -39,71 +39,81 @@ def _open_footer(path: str) -> pq.FileMetaData:
         return pq.ParquetFile(handle).metadata
 
 
-def _geo_primary(meta: pq.FileMetaData) -> str | None:
-    raw = (meta.metadata or {}).get(b"geo")
+def _primary_column(meta: pq.FileMetaData) -> str | None:
+    """The geometry column that the file's own geo metadata names, if it names one."""
     try:
-        return json.loads(raw).get("primary_column") if raw else None
-    except (ValueError, AttributeError):
+        described = json.loads((meta.metadata or {}).get(b"geo", b"{}"))
+    except ValueError:
         return None
+    return described.get("primary_column") if isinstance(described, dict) else None
 
 
-def _footer_rows(path: str) -> list[dict]:
+def _footer_rows(path: str, wanted: str | None) -> Iterator[dict]:
+    """A row for each row group and column; one row with the problem if there is none.
+
+    Ranges are compared as typed values, so decimals, dates and 64-bit numbers keep their
+    order: ``steps_back`` says that a group begins below the end of the group before it.
+    """
     try:
         meta = _open_footer(path)
-    except (OSError, ValueError):
-        return []
-    primary = _geo_primary(meta)
-    out = []
+    except Exception as error:  # any store, any format: the file is reported, not lost
+        yield {"path": path, "problem": f"{type(error).__name__}: {error}"[:300]}
+        return
+    primary, end = _primary_column(meta), None
+    if not meta.num_row_groups:
+        yield {"path": path, "geo_primary": primary}
     for g in range(meta.num_row_groups):
         group = meta.row_group(g)
         for c in range(group.num_columns):
             chunk = group.column(c)
-            stats = chunk.statistics
-            ranged = bool(stats and stats.has_min_max)
-            counted = ranged and isinstance(stats.min, (int, float))
-            out.append(
-                {
-                    "path": path, "row_group": g, "group_rows": group.num_rows,
-                    "column": chunk.path_in_schema, "uncompressed": chunk.total_uncompressed_size,
-                    "has_range": ranged,
-                    "low": str(stats.min) if ranged else None,
-                    "high": str(stats.max) if ranged else None,
-                    "low_number": float(stats.min) if counted else None,
-                    "high_number": float(stats.max) if counted else None,
-                    "geo_primary": primary,
-                }
-            )
-    return out
+            row = {
+                "path": path, "row_group": g, "group_rows": group.num_rows, "column": chunk.path_in_schema,
+                "uncompressed": chunk.total_uncompressed_size, "geo_primary": primary,
+            }
+            if chunk.path_in_schema == wanted:
+                stats = chunk.statistics
+                row["has_range"] = bool(stats and stats.has_min_max)
+                if row["has_range"]:
+                    row |= {
+                        "low": str(stats.min), "high": str(stats.max),
+                        "steps_back": end is not None and stats.min < end,
+                    }
+                    end = stats.max
+            yield row
 
 
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [f.split()[0] for f in _CHUNK_SCHEMA.split(", ")]
     for batch in batches:
-        for path in batch["path"]:
-            rows = _footer_rows(path)
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
+        for path, wanted in zip(batch["path"], batch["wanted"]):
+            rows = list(_footer_rows(path, wanted))
+            # objects, so that numbers that are not known stay null and not NaN
+            yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype=object) for n in _NAMES})
 
 
-def footer_chunks(paths: DataFrame) -> DataFrame:
+def footer_chunks(paths: DataFrame, wanted: str | Column | None = None) -> DataFrame:
     """One row per (file, row group, column) from footers alone.
 
-    ``paths`` has a column ``path``; files whose footer cannot be read give no
-    rows. Ranges are given as text, and as numbers too where they are numbers.
+    ``paths`` has a column ``path``. Every file gives rows: one that cannot be read gives
+    one row with the ``problem``, one without row groups a row without a group. Ranges
+    are given for the column ``wanted`` of each file alone (a name, or a Column of names).
     """
     # one small read per file: a fixed number of partitions, because by their bytes
     # all paths would be merged into one
     parts = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return paths.select("path").repartition(parts, "path").mapInPandas(_read_footers, _CHUNK_SCHEMA)
+    name = F.lit(wanted).cast("string") if wanted is None or isinstance(wanted, str) else wanted
+    return paths.select("path", name.alias("wanted")).repartition(parts, "path").mapInPandas(_read_footers, _CHUNK_SCHEMA)
 
 
-def footer_stats(chunks: DataFrame, ecosystem_column: str) -> DataFrame:
+def footer_stats(chunks: DataFrame, ecosystem_column: str | Column) -> DataFrame:
     """Per file: row groups, rows, largest group, geometry column and bytes, sort order.
 
-    ``ranges_sorted`` compares each row group's minimum with the maximum of the
-    group before it; it is null when any range is unknown or the column is absent.
+    Every file of ``chunks`` has a row; what its footer does not tell is null, and
+    ``problem`` says why a footer could not be read. ``ranges_sorted`` is null when any
+    range is unknown or the column is absent. ``ecosystem_column`` is a name, or a Column
+    over ``chunks`` that gives each file's.
     """
-    per_column = chunks.groupBy("path", "column").agg(
+    wanted = F.lit(ecosystem_column) if isinstance(ecosystem_column, str) else ecosystem_column
+    per_column = chunks.where("column is not null").groupBy("path", "column").agg(
         F.sum("uncompressed").alias("bytes"), F.first("geo_primary").alias("geo_primary")
     )
     # the named primary column, else one called geometry, else the largest
@@ -118,25 +128,20 @@ def footer_stats(chunks: DataFrame, ecosystem_column: str) -> DataFrame:
         "path", F.col("_chosen.column").alias("geometry_column"),
         F.col("_chosen.bytes").alias("geometry_bytes"),
     )
-
+    # null in a file without a footer, 0 in one without row groups
+    read = F.col("problem").isNull()
     sizes = (
-        chunks.groupBy("path", "row_group").agg(F.first("group_rows").alias("_rows"))
+        chunks.groupBy("path", "row_group").agg(F.first("group_rows").alias("_rows"), F.max("problem").alias("problem"))
         .groupBy("path").agg(
-            F.count("*").alias("num_row_groups"),
-            F.sum("_rows").alias("num_rows"),
+            F.when(F.bool_and(read), F.count("row_group")).alias("num_row_groups"),
+            F.when(F.bool_and(read), F.coalesce(F.sum("_rows"), F.lit(0))).alias("num_rows"),
             F.max("_rows").alias("max_rows_per_group"),
+            F.max("problem").alias("problem"),
         )
     )
-    in_file = Window.partitionBy("path").orderBy("row_group")
-    steps_back = F.coalesce(
-        F.col("low_number") < F.lag("high_number").over(in_file),
-        F.col("low") < F.lag("high").over(in_file),
-        F.lit(False),
-    )
-    ordered = chunks.where(F.col("column") == ecosystem_column).withColumn(
-        "_steps_back", steps_back
-    )
-    order = ordered.groupBy("path").agg(
-        F.when(F.bool_and("has_range"), ~F.bool_or("_steps_back")).alias("ranges_sorted")
+    order = chunks.where(F.col("column") == wanted).groupBy("path").agg(
+        F.when(
+            F.bool_and(F.coalesce("has_range", F.lit(False))), ~F.bool_or(F.coalesce("steps_back", F.lit(False)))
+        ).alias("ranges_sorted")
     )
-    return sizes.join(geometry, "path").join(order, "path", "left")
+    return sizes.join(geometry, "path", "left").join(order, "path", "left")

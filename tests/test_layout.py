@@ -1,3 +1,6 @@
+import datetime
+import decimal
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -9,7 +12,7 @@ from ecoledger.sources import footers, layout
 GIB = 1024**3
 CHUNKS = (
     "path string, row_group int, group_rows bigint, column string, uncompressed bigint, has_range boolean, "
-    "low string, high string, low_number double, high_number double, geo_primary string"
+    "steps_back boolean, low string, high string, geo_primary string, problem string"
 )
 
 
@@ -19,7 +22,7 @@ def codes(order):
 
 def verdict_of_file(spark, path, column="ecos_general"):
     listing = footers.object_listing(spark, str(path), "*.parquet")
-    stats = footers.footer_stats(footers.footer_chunks(listing), column)
+    stats = footers.footer_stats(footers.footer_chunks(listing, column), column)
     return readiness.layout_verdicts(stats).collect()
 
 
@@ -43,15 +46,46 @@ def test_numbers_are_compared_as_numbers(spark, tmp_path):
     assert row.optimized
 
 
-def test_other_files_have_no_footer(spark, tmp_path):
+def test_every_file_gets_a_verdict(spark, tmp_path):
     (tmp_path / "a.parquet").write_text("not parquet")
-    assert verdict_of_file(spark, tmp_path) == []
+    pq.write_table(codes(range(5)), tmp_path / "b.parquet")
+    pq.write_table(codes([]), tmp_path / "c.parquet")
+    a, b, c = sorted(verdict_of_file(spark, tmp_path), key=lambda r: r.path)
+    assert a.problem and a.optimized is False and a.num_rows is None and a.geometry_column is None
+    assert (b.problem, b.num_rows) == (None, 5)
+    assert (c.problem, c.num_rows, c.optimized) == (None, 0, False)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [decimal.Decimal(i) for i in range(100)],
+        [2**53 + i for i in range(100)],
+        [datetime.date(1990 + i, 1, 1) for i in range(100)],
+    ],
+)
+def test_ranges_are_compared_by_type(spark, tmp_path, values):
+    pq.write_table(pa.table({"x": values}), tmp_path / "up.parquet", row_group_size=10)
+    pq.write_table(pa.table({"x": values[50:] + values[:50]}), tmp_path / "down.parquet", row_group_size=10)
+    down, up = sorted(verdict_of_file(spark, tmp_path, "x"), key=lambda r: r.path)
+    assert up.optimized and not down.optimized
+
+
+def test_ranges_only_of_the_wanted_column(spark, tmp_path):
+    pq.write_table(codes(range(5)), tmp_path / "b.parquet")
+    rows = footers.footer_chunks(footers.object_listing(spark, str(tmp_path)), "x").collect()
+    assert {r.column: (r.low, r.high) for r in rows} == {"x": ("0", "4"), "ecos_general": (None, None)}
+    want = pq.ParquetFile(tmp_path / "b.parquet").metadata.row_group(0)
+    assert {r.column: r.uncompressed for r in rows} == {
+        want.column(k).path_in_schema: want.column(k).total_uncompressed_size for k in range(2)
+    }
 
 
 def chunk_rows(max_rows, *ranges):
+    before = [None, *ranges]
     return [
-        ("f", g, max_rows, "eco", 10, r is not None, r and r[0], r and r[1], None, None, None)
-        for g, r in enumerate(ranges)
+        ("f", g, max_rows, "eco", 10, r is not None, bool(r and b and r[0] < b[1]), r and r[0], r and r[1], None, None)
+        for g, (b, r) in enumerate(zip(before, ranges))
     ]
 
 
@@ -81,7 +115,7 @@ def test_missing_ecosystem_column_is_not_optimized(spark):
 )
 def test_geometry_column_choice(spark, primary, want):
     sizes = {"shape": 5, "geometry": 7, "note": 99}
-    rows = [("f", 0, 1, c, n, False, None, None, None, None, primary) for c, n in sizes.items()]
+    rows = [("f", 0, 1, c, n, False, None, None, None, primary, None) for c, n in sizes.items()]
     row = footers.footer_stats(spark.createDataFrame(rows, CHUNKS), "x").first()
     assert (row.geometry_column, row.geometry_bytes) == want
 
