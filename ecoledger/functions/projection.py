@@ -22,12 +22,17 @@ def easting(lon: Column) -> Column:
 
 
 def northing(lat: Column) -> Column:
-    """Metres north of the equator on the equal-area cylinder."""
+    """Metres north of the equator on the equal-area cylinder.
+
+    Fails for a latitude beyond the poles: such a map is not in degrees.
+    """
     s = F.sin(F.radians(lat))
     es = s * _E
-    return (SEMI_MAJOR / 2.0 * (1.0 - _E2)) * (
+    metres = (SEMI_MAJOR / 2.0 * (1.0 - _E2)) * (
         s / (F.lit(1.0) - es * es) - F.log((F.lit(1.0) - es) / (F.lit(1.0) + es)) / (2.0 * _E)
     )
+    told = F.concat(F.lit("latitude beyond the poles, the map is not in degrees: "), lat.cast("string"))
+    return F.when(F.abs(lat) > 90.0, F.raise_error(told).cast("double")).otherwise(metres)
 
 
 def project_points(points: Column) -> Column:

@@ -25,7 +25,7 @@ def natural_key(code: Column) -> Column:
         digits = F.regexp_replace(run, "^0+(?=[0-9])", "")
         return F.when(
             run.rlike("^[0-9]+$"),
-            F.concat(F.lit("\u0001"), F.lpad(F.length(digits).cast("string"), 4, "0"), digits),
+            F.concat(F.lit("\u0001"), F.lpad(F.length(digits).cast("string"), 10, "0"), digits),
         ).otherwise(run)
 
     return F.concat_ws("", F.transform(runs, encode))
@@ -69,9 +69,11 @@ def data_stem(url: Column) -> Column:
     return F.when(F.length(stem) > 0, stem).otherwise(F.lit("ecosystems"))
 
 
-def cache_addresses(project: Column, url: Column) -> dict[str, Column]:
-    """Where the sorted copy and the cell table of a source belong."""
-    base = F.concat(F.lit("gs://"), project, F.lit("-rle-cogs/cache/"), data_stem(url))
+def cache_addresses(project: Column, url: Column, root: str = "gs://{project}-caches/") -> dict[str, Column]:
+    """Where the sorted copy and the cell table of a source belong below ``root``."""
+    before, after = root.split("{project}") if "{project}" in root else (root, None)
+    place = F.lit(before) if after is None else F.concat(F.lit(before), project, F.lit(after))
+    base = F.concat(place, data_stem(url))
     return {
         "optimized_data": F.concat(base, F.lit("_sorted.parquet")),
         "aoo_grid_cache_url": F.concat(base, F.lit("_aoo_grid.parquet")),

@@ -52,14 +52,15 @@ def first_values(features: DataFrame, *columns: str) -> DataFrame:
 def class_index(features: DataFrame) -> DataFrame:
     """(index, code, name): distinct codes in natural order, numbered from 1.
 
-    The name is that of the code's first feature, else the code itself.
+    The name is that of the code's first feature, else the code itself. The result is
+    settled, so that those who join it do not number the classes again.
     """
     named = first_values(features, "name").withColumn("_key", natural_key(F.col("code")))
-    return number_in_order(named, ["_key", "code"]).select(
+    return settle(number_in_order(named, ["_key", "code"]).select(
         F.col("index").cast("int").alias("index"),
         "code",
         F.coalesce("name", "code").alias("name"),
-    )
+    ))
 
 
 def rejected_features(features: DataFrame) -> DataFrame:

@@ -18,9 +18,12 @@ from ecoledger.session import broadcast_if_small, settle
 CELL_METRES = 10_000.0
 TAIL_SHARE = 0.01
 
-# Digits kept of a share: 0.1 m2 of a 10 km cell.
+# A sum is zero if it is below this part of the summed sizes of its terms.
+_ZERO = 1e-12
+# Shares are rounded to these digits, so that sums in any order agree; smaller shares
+# than a thousand times the last digit stay as they are.
 SHARE_DIGITS = 9
-_NO_CARRY = 1e-9
+_UNROUNDED_BELOW = 1e-6
 _SHARE_BINS = 1024
 
 
@@ -62,8 +65,9 @@ def cell_shares(
     Gives (code, grid_col, grid_row, frac, overlap). Partial sums are combined on
     the map side, so a class or a cell that holds most of the boundary does not
     skew the shuffle. ``overlap`` marks cells whose features of one class add up
-    to more than the cell; their share is reported as 1. Shares are kept to 9
+    to more than the cell; their share is reported as 1. Shares are rounded to 9
     digits, which frees them from the order of summation: full cells are exactly 1.
+    Shares below 1e-6 keep all their digits, so no cell is lost however small its part.
     """
     pieces = _row_pieces(edge_rows, size, origin)
     first = F.floor("left")
@@ -81,31 +85,31 @@ def cell_shares(
             (((lo + hi) / 2.0 - F.col("grid_col")) * height).alias("part"),
         )
         .groupBy("code", "grid_row", "grid_col")
-        .agg(F.sum("cov").alias("cov"), F.sum("part").alias("part"))
+        .agg(F.sum("cov").alias("cov"), F.sum("part").alias("part"), F.sum(F.abs("cov")).alias("_size"))
     )
     # numbers first: they settle the sort before codes have to be compared
     leftwards = Window.partitionBy("grid_row", "code").orderBy(F.desc("grid_col"))
     carried = sums.select(
         "code", "grid_row", "grid_col", "part",
         F.sum("cov").over(leftwards.rowsBetween(Window.unboundedPreceding, 0)).alias("_after"),
+        F.sum("_size").over(leftwards.rowsBetween(Window.unboundedPreceding, 0)).alias("_size"),
         F.col("cov"),
         F.lead("grid_col").over(leftwards).alias("_next"),
     )
-    gap = F.col("_next").isNotNull() & (F.abs("_after") > _NO_CARRY)
+    gap = F.col("_next").isNotNull() & (F.abs("_after") > F.col("_size") * _ZERO)
     start = F.when(gap, F.col("_next") + 1).otherwise(F.col("grid_col"))
     filled = carried.select(
-        "code", "grid_row", "part", "cov", "_after", F.col("grid_col").alias("_own"),
+        "code", "grid_row", "part", "cov", "_after", "_size", F.col("grid_col").alias("_own"),
         F.explode(F.sequence(start, F.col("grid_col"))).alias("grid_col"),
     )
-    share = F.round(
-        F.when(
-            F.col("grid_col") == F.col("_own"), F.col("part") + F.col("_after") - F.col("cov")
-        ).otherwise(F.col("_after")),
-        SHARE_DIGITS,
-    )
+    exact = F.when(
+        F.col("grid_col") == F.col("_own"), F.col("part") + F.col("_after") - F.col("cov")
+    ).otherwise(F.col("_after"))
+    share = F.when(F.col("_exact") < _UNROUNDED_BELOW, F.col("_exact")).otherwise(F.round("_exact", SHARE_DIGITS))
     return (
-        filled.select("code", "grid_col", "grid_row", share.alias("_share"))
-        .where(F.col("_share") > 0)
+        filled.select("code", "grid_col", "grid_row", "_size", exact.alias("_exact"))
+        .where(F.col("_exact") > F.col("_size") * _ZERO)
+        .select("code", "grid_col", "grid_row", share.alias("_share"))
         .select(
             "code", "grid_col", "grid_row",
             F.least(F.col("_share"), F.lit(1.0)).alias("frac"),

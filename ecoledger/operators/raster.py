@@ -7,7 +7,7 @@ has some 10^10 pixels but far fewer spans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: default pixel size in metres.
@@ -69,7 +69,7 @@ def raster_spans(edge_rows: DataFrame, resolution: float = PIXEL_METRES) -> Data
     """Disjoint spans (code, row, block, c0, c1); on overlaps the later feature wins.
 
     Spans that meet no other, which is all of them on a map that tiles, stay as
-    they are. The rest are settled pixel by pixel and joined up again.
+    they are. The rest are settled between the ends of spans and joined up again.
     """
     # copies of one shape collapse on the map side; what is left per block is at
     # most one span per class and pair of columns
@@ -83,27 +83,37 @@ def raster_spans(edge_rows: DataFrame, resolution: float = PIXEL_METRES) -> Data
     marked = spans.withColumn("_clear", F.coalesce(F.col("c0") > reached, F.lit(True))).withColumn(
         "_alone", F.col("_clear") & F.coalesce(F.lead("_clear").over(place), F.lit(True))
     )
-    # one pass for both kinds: a lone span is one piece, any other is its pixels, of
-    # which a block has no more than BLOCK_COLUMNS after the latest feature is chosen
-    pieces = marked.select(
+    # spans that meet are cut where any of them begins or ends: a block has no more cuts
+    # than columns, and no more pieces of a span than ends of others within it
+    block = Window.partitionBy("row", "block")
+    ends = F.array_union(
+        F.collect_set(F.when(~F.col("_alone"), F.col("c0"))).over(block),
+        F.collect_set(F.when(~F.col("_alone"), F.col("c1") + 1)).over(block),
+    )
+
+    def pieces_of(cuts: Column) -> Column:
+        pairs = F.transform(cuts, lambda a, k: F.struct(a.alias("a"), (F.get(cuts, k + 1) - 1).alias("b")))
+        return F.filter(pairs, lambda p: (p["a"] >= F.col("c0")) & (p["a"] <= F.col("c1")))
+
+    whole = F.array(F.struct(F.col("c0").alias("a"), F.col("c1").alias("b")))
+    pieces = marked.withColumn("_cuts", F.array_sort(ends)).select(
         "row", "block", "_alone", F.struct("src_ordinal", "code").alias("_latest"),
-        F.explode(
-            F.when(F.col("_alone"), F.array(F.col("c0"))).otherwise(F.sequence("c0", "c1"))
-        ).alias("_c"),
-        F.when(F.col("_alone"), F.col("c1")).alias("_end"),
+        F.inline(F.when(F.col("_alone"), whole).otherwise(pieces_of(F.col("_cuts")))),
+    )
+    settled = pieces.groupBy("row", "block", "_alone", "a", "b").agg(F.max("_latest").alias("_latest")).select(
+        "row", "block", "_alone", "a", "b", "_latest.code"
+    )
+    along = Window.partitionBy("row", "block").orderBy("a")
+    begins = (
+        F.col("_alone") | F.lag("_alone", 1, True).over(along)
+        | (F.col("code") != F.lag("code").over(along)) | (F.col("a") != F.lag("b").over(along) + 1)
     )
-    settled = (
-        pieces.groupBy("row", "block", "_alone", "_c", "_end")
-        .agg(F.max("_latest").alias("_latest"))
-        .select("row", "block", "_alone", "_c", "_end", "_latest.code")
+    numbered = settled.withColumn("_begins", F.coalesce(begins, F.lit(True)).cast("int")).withColumn(
+        "_island", F.sum("_begins").over(along.rowsBetween(Window.unboundedPreceding, 0))
     )
-    along = Window.partitionBy("row", "block", "_alone", "code").orderBy("_c")
-    island = F.when(F.col("_alone"), F.col("_c")).otherwise(F.col("_c") - F.row_number().over(along))
     return (
-        settled.withColumn("_island", island)
-        .groupBy("code", "row", "block", "_alone", "_island")
-        .agg(F.min("_c").alias("c0"), F.max(F.coalesce("_end", "_c")).alias("c1"))
-        .drop("_alone", "_island")
+        numbered.groupBy("code", "row", "block", "_island")
+        .agg(F.min("a").alias("c0"), F.max("b").alias("c1")).drop("_island")
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ecoledger.functions.projection import project_points, rotated, twice_signed_area
-from ecoledger.session import broadcast_if_small, settle
+from ecoledger.session import BROADCAST_ROWS, settle
 
 
 def _open(points: Column) -> Column:
@@ -45,7 +45,7 @@ def without_copies(features: DataFrame, geometry: str = "geometry") -> DataFrame
     Shapes are compared by 128 bits of hash and counted on the map side, so a
     shape that makes up much of the map is one row. Runs the job that finds the
     repeated shapes; they are broadcast while they are few, and the map itself
-    is then not shuffled.
+    is then not shuffled. Beyond that the copies are found on rows without geometry.
     """
     shape = ["code", "_shape", "_check"]
     marked = features.withColumns(
@@ -57,11 +57,15 @@ def without_copies(features: DataFrame, geometry: str = "geometry") -> DataFrame
         .where("_copies > 1")
         .drop("_copies")
     )
-    return (
-        marked.join(broadcast_if_small(repeated), shape, "left")
-        .where("_first is null or src_ordinal = _first")
-        .select(*features.columns)
-    )
+    if repeated.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return (
+            marked.join(F.broadcast(repeated), shape, "left")
+            .where("_first is null or src_ordinal = _first")
+            .select(*features.columns)
+        )
+    # geometry moves by ordinal, so the copies of one shape do not meet in one task
+    later = marked.select(*shape, "src_ordinal").join(repeated, shape).where("src_ordinal <> _first")
+    return features.join(later.select("src_ordinal"), "src_ordinal", "left_anti").select(*features.columns)
 
 
 def rings_from_vertices(vertices: DataFrame) -> DataFrame:

@@ -32,9 +32,23 @@ def metrics(
     return eoo.join(aoo, "code", "full_outer")
 
 
+def flag_overlap(measured: DataFrame) -> DataFrame:
+    """Add ``overlap``: whether features of the class cover some ground more than once.
+
+    True when a cell is overfilled, and when the summed area exceeds the area of the hull,
+    which no map without overlap can do (to a millionth, for curved edges). Null when the
+    area is unknown. Such areas, and the 1 % line drawn from them, are too large.
+    """
+    beyond_hull = F.col("area_km2") > F.col("eoo_km2") * (1 + 1e-6)
+    return measured.withColumn(
+        "overlap", (F.col("overlap_cells") > 0) | beyond_hull
+    )
+
+
 def assess(
     index: DataFrame, measured: DataFrame, thresholds: dict = THRESHOLDS
 ) -> DataFrame:
     """Criterion B for every indexed class; classes without data have null metrics."""
     rows = index.select("index", "code", "name").join(measured, "code", "left")
-    return criterion_b(rows, thresholds).withColumn("has_data", F.col("eoo_km2").isNotNull())
+    graded = criterion_b(rows, thresholds).withColumn("has_data", F.col("eoo_km2").isNotNull())
+    return flag_overlap(graded)

@@ -13,6 +13,15 @@ ROW_GROUP_ROWS = 10_000
 
 INDEX_SCHEMA = "index INT, code STRING, name STRING"
 
+# Quotes are doubled, spaces and line breaks kept, and null told apart from empty.
+_CSV = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False, "nullValue": "\\N",
+}
+
+# Fixed value: rows per row group of a cell table, so that one class reads few of them.
+CELL_GROUP_ROWS = 10_000
+
 
 def write_sorted_copy(
     df: DataFrame,
@@ -55,11 +64,17 @@ def write_cells(cells: DataFrame, path: str) -> str:
     (
         cells.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .write.mode("errorifexists").option("compression", "zstd").parquet(path)
+        .write.mode("errorifexists").option("compression", "zstd")
+        .option("parquet.block.row.count.limit", CELL_GROUP_ROWS).parquet(path)
     )
     return path
 
 
+def cells_of_class(spark: SparkSession, path: str, code: str) -> DataFrame:
+    """The cells of one class from a stored cell table; row groups of others are skipped."""
+    return spark.read.parquet(path).where(F.col("code") == code)
+
+
 def cells_cached(
     spark: SparkSession, features: DataFrame, path: str | None, size: float = CELL_METRES
 ) -> DataFrame:
@@ -79,11 +94,11 @@ def write_index(index: DataFrame, path: str) -> str:
         index.select("index", "code", "name")
         .repartitionByRange("index")
         .sortWithinPartitions("index")
-        .write.mode("errorifexists").option("header", True).csv(path)
+        .write.mode("errorifexists").options(**_CSV, emptyValue='""').csv(path)
     )
     return path
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Read a class index; codes stay strings even when they look like numbers."""
-    return spark.read.schema(INDEX_SCHEMA).option("header", True).csv(path)
+    return spark.read.schema(INDEX_SCHEMA).options(**_CSV, emptyValue="", multiLine=True).csv(path)

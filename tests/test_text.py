@@ -37,8 +37,8 @@ def test_stems(spark):
 def test_cache_addresses(spark):
     made = text.cache_addresses(F.lit("proj"), F.lit("gs://b/map.parquet"))
     row = spark.range(1).select(*[c.alias(k) for k, c in made.items()]).first()
-    assert row.optimized_data == "gs://proj-rle-cogs/cache/map_sorted.parquet"
-    assert row.aoo_grid_cache_url == "gs://proj-rle-cogs/cache/map_aoo_grid.parquet"
+    assert row.optimized_data == "gs://proj-caches/map_sorted.parquet"
+    assert row.aoo_grid_cache_url == "gs://proj-caches/map_aoo_grid.parquet"
 
 
 def test_schemes(spark):
