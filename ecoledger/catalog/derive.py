@@ -161,3 +161,29 @@ def rendered_widgets(spark: SparkSession, sf: str) -> DataFrame:
             F.lit("</script>"), F.col("html"), F.lit("</html>"),
         ).alias("html"),
     )
+
+
+def odd_widgets(spark: SparkSession, sf: str) -> DataFrame:
+    """(page_id, path, html): the given pages with state blocks of many kinds, by page_id modulo 6.
+
+    0 a large script beside a model that is text, 1 the script field twice, 2 a lone
+    surrogate, 3 no JSON, 4 a model whose state is a list, 5 a script as it should be.
+    """
+    pages = _spread(table(spark, sf, "pages"), "page_id")
+    kind = F.col("page_id") % 6
+    large = F.concat(F.lit("bundle "), (F.col("page_id") % 5).cast("string"), F.repeat(F.lit(" x"), 3000))
+    block = (
+        F.when(kind == 0, F.concat(F.lit('{"state":{"m0":"text","m1":{"state":{"_esm":"'), large, F.lit('"}}}}')))
+        .when(kind == 1, F.concat(F.lit('{"state":{"m":{"state":{"_esm":"a","_esm":"'), large, F.lit('"}}}}')))
+        .when(kind == 2, F.concat(F.lit('{"state":{"m":{"state":{"_esm":"\\ud800'), large, F.lit('"}}}}')))
+        .when(kind == 3, F.concat(F.lit('{"state":{"m":{"state":{"_esm":"'), large))
+        .when(kind == 4, F.concat(F.lit('{"state":{"m0":{"state":[1]},"m1":{"state":{"_css":"'), large, F.lit('"}}}}')))
+        .otherwise(F.concat(F.lit('{"state":{"m":{"state":{"_esm":"'), large, F.lit('"}}}}')))
+    )
+    return pages.select(
+        "page_id", F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"),
+        F.concat(
+            F.lit('<html><script type="application/vnd.jupyter.widget-state+json">'), block,
+            F.lit("</script>"), F.lit("</html>"),
+        ).alias("html"),
+    )

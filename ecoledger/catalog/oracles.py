@@ -102,16 +102,17 @@ runs AS (SELECT eid, t AS t0, lead(t) OVER (PARTITION BY eid ORDER BY t) AS t1 F
 pieces AS (SELECT code, x0 + (x1 - x0) * (t0 + t1) / 2 AS mx, y0 + (y1 - y0) * (t0 + t1) / 2 AS my,
   sgn * (y1 - y0) * (t1 - t0) AS dy FROM runs JOIN lines USING (eid) WHERE t1 IS NOT NULL),
 touched AS (SELECT code, CAST(floor(mx) AS BIGINT) AS cx, CAST(floor(my) AS BIGINT) AS cy,
-  sum((mx - floor(mx)) * dy) AS part, sum(dy) AS cov FROM pieces GROUP BY ALL),
+  sum((mx - floor(mx)) * dy) AS part, sum(dy) AS cov, sum(abs(dy)) AS size FROM pieces GROUP BY ALL),
 swept AS (SELECT code, cx, cy, part,
   coalesce(sum(cov) OVER (PARTITION BY code, cy ORDER BY cx DESC
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rc,
+  sum(size) OVER (PARTITION BY code, cy ORDER BY cx DESC ROWS UNBOUNDED PRECEDING) AS size,
   lag(cx) OVER (PARTITION BY code, cy ORDER BY cx DESC) AS upper FROM touched),
-shares AS (SELECT code, cx, cy, round(part + rc, 9) AS share FROM swept
-  UNION ALL SELECT code, unnest(generate_series(cx + 1, upper - 1)), cy, round(rc, 9)
-  FROM swept WHERE upper - cx > 1 AND abs(rc) > 1e-9),
-cells AS (SELECT code, cx AS grid_col, cy AS grid_row, least(share, 1) AS frac, share > 1 AS overlap
-  FROM shares WHERE share > 0)"""
+parts AS (SELECT code, cx, cy, part + rc AS share, size FROM swept
+  UNION ALL SELECT code, unnest(generate_series(cx + 1, upper - 1)), cy, rc, size FROM swept WHERE upper - cx > 1),
+shares AS (SELECT code, cx, cy, CASE WHEN share < 1e-6 THEN share ELSE round(share, 9) END AS share
+  FROM parts WHERE share > 1e-12 * size),
+cells AS (SELECT code, cx AS grid_col, cy AS grid_row, least(share, 1) AS frac, share > 1 AS overlap FROM shares)"""
 )
 CELLS = _corners() + ",\n" + OVERLAY
 
@@ -225,6 +226,10 @@ PALETTE = """SELECT CAST(slot AS INTEGER) AS index, CAST(coalesce(r, 0) AS INTEG
 _CLASS_INDEX = _with(PARTS, FIRSTS, INDEX) + "SELECT idx AS index, code, name FROM class_index"
 _SQL["class_index"] = _CLASS_INDEX
 _SQL["index_file"] = _CLASS_INDEX
+_SQL["index_round_trip"] = """SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS index,
+list_extract([' A1 ', '"q"', 'a,b', '007', ''], c_custkey % 5 + 1) || c_custkey AS code,
+list_extract(['', ' lead', 'line' || chr(10) || 'break', 'say "hi", bye', 'tab' || chr(9), 'back' || chr(92) || 'slash'], c_custkey % 6 + 1)
+AS name FROM customer"""
 _SQL["first_classes"] = _CLASS_INDEX + " WHERE idx <= 10"
 _SQL["feature_index"] = _with(MAP_INDEX) + """SELECT c_custkey AS fid, code, idx AS index
 FROM customer LEFT JOIN map_index ON code = 'N' || c_nationkey"""
@@ -281,8 +286,14 @@ lower(bare) LIKE '%.parquet' AS is_parquet,
 regexp_matches(address, '^(http|https|gs|s3|az)://') AS is_remote,
 CASE WHEN starts_with(address, 'gs://') THEN 'https://storage.googleapis.com/' || address[6:] ELSE address END
   AS public_address, stem,
-'gs://{PROJECT}-rle-cogs/cache/' || stem || '_sorted.parquet' AS optimized_data,
-'gs://{PROJECT}-rle-cogs/cache/' || stem || '_aoo_grid.parquet' AS aoo_grid_cache_url FROM d"""
+'gs://{PROJECT}-caches/' || stem || '_sorted.parquet' AS optimized_data,
+'gs://{PROJECT}-caches/' || stem || '_aoo_grid.parquet' AS aoo_grid_cache_url FROM d"""
+
+_SQL["geojson_rejects"] = """SELECT c_custkey AS fid, list_extract(['unsupported geometry type Point',
+'not a JSON feature', 'no geometry', 'coordinates cannot be read'], c_custkey % 5) AS reason
+FROM customer WHERE c_custkey % 5 > 0"""
+_SQL["geojson_accepted"] = """SELECT c_custkey AS fid, 'C' || c_custkey AS code, CAST(4 AS INTEGER) AS points
+FROM customer WHERE c_custkey % 5 = 0"""
 
 # --- extent and occupancy ----------------------------------------------------
 
@@ -297,6 +308,7 @@ _SQL["eoo_by_class"] = _with(
 _SQL["aoo_cells"] = _with(CELLS) + (
     "SELECT code, grid_col, grid_row, round(frac, 6) AS frac, overlap FROM cells"
 )
+_SQL["cells_of_one_class"] = _with(CELLS) + "SELECT grid_col, grid_row, round(frac, 6) AS frac FROM cells WHERE code = 'N3'"
 _SQL["aoo_cumulative"] = _with(CELLS, CUMULATIVE) + """SELECT code, grid_col, grid_row,
 round(cum_area, 3) AS cum_area, round(cum_area / total_area, 6) AS cum_prop,
 round(total_area, 3) AS total_area FROM cumulative"""
@@ -314,9 +326,13 @@ FROM cells WINDOW w AS (PARTITION BY code)"""
 _SQL["criterion_b_assessment"] = _with(GRADED) + f"""SELECT code, idx AS index, name,
 round(eoo_km2, 3) AS eoo_km2, aoo_cells, n_cells, round(area_km2, 3) AS area_km2, overlap_cells, b1, b2,
 {_worse('b1', 'b2')} AS overall, 'spatial' AS basis, eoo_km2 IS NOT NULL AS has_data,
+overlap_cells > 0 OR area_km2 > eoo_km2 * 1.000001 AS overlap,
 {_label('(' + _worse('b1', 'b2') + ')')} AS overall_label FROM graded"""
 _SQL["assessment_from_sorted_copy"] = _with(GRADED) + """SELECT code, round(eoo_km2, 3) AS eoo_km2,
 aoo_cells, n_cells, round(area_km2, 3) AS area_km2, overlap_cells FROM graded"""
+_SQL["overlap_flags"] = """WITH m AS (SELECT o_orderkey AS code, floor(o_totalprice / 10) AS eoo,
+  o_custkey * 7 AS area, o_orderkey % 5 AS cells FROM orders)
+SELECT code, (cells = 1) OR (area > eoo * 1.000001) AS overlap FROM m"""
 _SQL["criterion_b_summary"] = _with(
     GRADED,
     f"""report AS (SELECT code, 1 AS line, 'B1' AS sub_criterion, 'EOO' AS metric,
@@ -439,6 +455,14 @@ repeat('d/', page_id % 4) || 'p' || page_id || '.html' AS path, true AS changed,
 'anywidget-ref:' || repeat('../', page_id % 4) || 'site_libs/anywidget-assets/' ||
 substr(sha256(script), 1, 32) || '.js' AS script_reference, 'p{}' AS small_style, true AS marked FROM scripts"""
 
+_SQL["page_problems"] = """SELECT page_id, page_id % 6 NOT IN (2, 3) AS changed,
+CASE page_id % 6 WHEN 2 THEN 'a bundle is not valid Unicode' WHEN 3 THEN 'the state block is not JSON' END AS problem
+FROM pages"""
+_SQL["reference_integrity"] = """WITH used AS (SELECT page_id % 5 AS body, CASE WHEN page_id % 6 = 4 THEN 'css' ELSE 'js' END AS ext
+  FROM pages WHERE page_id % 6 NOT IN (2, 3))
+SELECT count(*) AS "references", count(DISTINCT body || ext) AS assets, CAST(0 AS BIGINT) AS dangling,
+CAST(0 AS BIGINT) AS unused FROM used"""
+
 # --- checks ------------------------------------------------------------------
 
 _SQL["orphan_pages"] = """SELECT DISTINCT 'C' || o_custkey AS code FROM orders
@@ -477,25 +501,47 @@ _DRIFT = """drift AS (SELECT c_custkey AS source, c_mktsegment || '.parquet' AS
   CASE WHEN c_nationkey % 4 <> 0 THEN 'EFG1' END AS group_column,
   c_acctbal < 0 OR c_acctbal > 8000 OR (c_acctbal >= 7000 AND c_nationkey % 4 <> 0) AS drifted FROM customer)"""
 _SQL["source_drift"] = _with(_DRIFT) + "SELECT * FROM drift"
-_SQL["build_gate_status"] = _with(_DRIFT) + """SELECT (SELECT count(*) FROM customer) AS n_records,
-(SELECT count(*) FROM drift WHERE drifted) AS drifted_sources,
-(SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey NOT IN
-  (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)) AS orphan_pages,
-(SELECT count(*) FROM customer WHERE c_acctbal < 0) AS invalid_records, 'source drift' AS action"""
+_GATE = """n AS (SELECT count(*) AS n_records, count(*) FILTER (c_acctbal < 0) AS bad, count(*) FILTER (c_acctbal >= 0) AS good
+  FROM customer),
+d AS (SELECT count(*) FILTER (drifted) AS drifted FROM drift),
+p AS (SELECT count(DISTINCT o_custkey) AS pages, count(DISTINCT o_custkey) FILTER (o_custkey NOT IN
+  (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)) AS orphans FROM orders),
+rows AS (SELECT 'as recorded' AS scenario, n_records, drifted AS drifted_sources, orphans AS orphan_pages, bad AS invalid_records FROM n, d, p
+  UNION ALL SELECT 'no drift', n_records, 0, orphans, bad FROM n, p
+  UNION ALL SELECT 'no orphans', n_records, 0, 0, bad FROM n
+  UNION ALL SELECT 'all well', good, 0, 0, 0 FROM n
+  UNION ALL SELECT 'no records', 0, 0, pages, 0 FROM p),
+judged AS (SELECT *, CASE WHEN n_records = 0 THEN 'scaffold' WHEN drifted_sources > 0 THEN 'source drift'
+  WHEN orphan_pages > 0 THEN 'orphan pages' WHEN invalid_records > 0 THEN 'invalid records' ELSE 'regenerate' END AS action FROM rows)"""
+_SQL["build_gate_actions"] = _with(_DRIFT, _GATE) + """SELECT scenario, CAST(n_records AS BIGINT) AS n_records,
+CAST(drifted_sources AS BIGINT) AS drifted_sources, CAST(orphan_pages AS BIGINT) AS orphan_pages,
+CAST(invalid_records AS BIGINT) AS invalid_records, action FROM judged"""
+_SQL["build_gate_status"] = _with(_DRIFT, _GATE) + """SELECT n_records, drifted_sources, orphan_pages, invalid_records, action
+FROM judged WHERE scenario = 'as recorded'"""
 _SQL["invalid_records"] = "SELECT c_name AS name FROM customer WHERE c_acctbal < 0"
 
 # --- layout and readiness ----------------------------------------------------
 
 _SQL["footer_ranges"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS num_rows, min({c}) AS low, max({c}) AS high FROM {t}"
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS num_rows, "
+    f"CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high FROM {t}"
     for t, c in ECOSYSTEM_COLUMNS.items()
 )
+_SQL["footer_verdicts"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS num_rows, false AS refuse_load, CAST(0 AS BIGINT) AS problems, "
+    f"true AS has_bytes, false AS inconsistent FROM {t}"
+    for t in ECOSYSTEM_COLUMNS
+)
+_SQL["unreadable_footers"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(3 AS BIGINT) AS files, CAST(2 AS BIGINT) AS unreadable, count(*) AS num_rows FROM {t}"
+    for t in ECOSYSTEM_COLUMNS
+)
 _SQL["layout_verdicts"] = """WITH o AS (SELECT CASE WHEN o_custkey % 2 = 0 THEN 'gs://b/C' ELSE '/data/C' END || o_custkey
   AS path, o_custkey, o_orderkey, CAST(trunc(o_totalprice / 5) AS BIGINT) AS rows,
   strftime(o_orderdate, '%Y-%m') AS month, o_orderkey % 29 <> 0 AS ranged,
   CAST(trunc(o_totalprice * 4000) AS BIGINT) AS geom, CAST(trunc(o_totalprice * 5000) AS BIGINT) AS note FROM orders),
 s AS (SELECT *, month < lag(month) OVER (PARTITION BY path ORDER BY o_orderkey) AS back FROM o),
-f AS (SELECT path, count(*) AS num_row_groups, CAST(sum(rows) AS BIGINT) AS num_rows, max(rows) AS max_rows_per_group,
+f AS (SELECT path, CAST(NULL AS VARCHAR) AS problem, count(*) AS num_row_groups, CAST(sum(rows) AS BIGINT) AS num_rows, max(rows) AS max_rows_per_group,
   CAST(CASE WHEN any_value(o_custkey) % 3 = 0 THEN sum(geom) ELSE sum(note) END AS BIGINT) AS geometry_bytes,
   CASE WHEN any_value(o_custkey) % 3 = 0 THEN 'geom' ELSE 'note' END AS geometry_column,
   CASE WHEN bool_and(ranged) THEN NOT coalesce(bool_or(back), false) END AS ranges_sorted FROM s GROUP BY path),
@@ -504,6 +550,11 @@ w AS (SELECT *, NOT optimized AND starts_with(path, 'gs://') AND geometry_bytes
 SELECT *, CASE WHEN refuse_load THEN 'large remote file that is not optimized: ' ||
 printf('%.1f', geometry_bytes / 1073741824) || ' GB geometry in ' || num_row_groups ||
 ' row groups; write a sorted copy first' END AS refusal FROM w"""
+_SQL["source_readiness"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS source, count(*) >= 1000 AS refused, count(*) >= 1000 AS named_rows, CAST(NULL AS VARCHAR) AS problem FROM {t}"
+    for t in ECOSYSTEM_COLUMNS
+) + """ UNION ALL SELECT 'cached', false, false, NULL UNION ALL SELECT 'half cached', true, false, NULL
+UNION ALL SELECT 'absent', false, false, 'the source is not in the listing'"""
 _SQL["cache_readiness"] = _with(
     _CACHES,
     """counts AS (SELECT source, count(*) AS n_configured, count(*) FILTER (path NOT IN (SELECT path FROM listing))

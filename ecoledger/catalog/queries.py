@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ecoledger.catalog.derive import (
     COUNTRY, PROJECT, customer_records, group_names, order_map, part_features, point_map, polygon_map,
-    rendered_widgets, table,
+    odd_widgets, rendered_widgets, table,
 )
 from ecoledger.functions import text
 from ecoledger.functions.colour import highlight_colour
 from ecoledger.operators import blobs, checks, classes, criteria, grid, hull, pages, palette, raster
 from ecoledger.operators import rings as ring_ops
-from ecoledger.plans import assessment, build_gate, overview, readiness
+from ecoledger.plans import assessment, build_gate, caches, overview, readiness
 from ecoledger.session import scratch_path
 from ecoledger.sources import footers, layout, vector
 
@@ -85,6 +86,23 @@ def index_file(spark, sf):
     return layout.read_index(spark, path)
 
 
+@_query
+def index_round_trip(spark, sf):
+    """An index of awkward codes and names, written and read again."""
+    key = F.col("c_custkey")
+
+    def nth(values: list[str], k: Column) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), k.cast("int"))
+
+    order = Window.orderBy("c_custkey")
+    rows = table(spark, sf, "customer").select(
+        F.row_number().over(order).alias("index"),
+        F.concat(nth([" A1 ", '"q"', "a,b", "007", ""], key % 5), key.cast("string")).alias("code"),
+        nth(["", " lead", "line\nbreak", 'say "hi", bye', "tab\t", "back\\slash"], key % 6).alias("name"),
+    )
+    return layout.read_index(spark, layout.write_index(rows, scratch_path(spark, "index")))
+
+
 @_query
 def feature_index(spark, sf):
     features = polygon_map(spark, sf).select("fid", "code", "name", "src_ordinal")
@@ -209,6 +227,36 @@ def geojson_vertices(spark, sf):
     return _rounded(ring_ops.vertices(ring_ops.rings(features)), 6, "lon", "lat").drop("src_ordinal")
 
 
+def _spoiled_features(spark: SparkSession, sf: str) -> DataFrame:
+    """A feature a customer: one in five a point, broken, without geometry or with odd coordinates."""
+    kind = F.col("c_custkey") % 5
+    head = F.concat(F.lit('{"type":"Feature","properties":{"ECO_CODE":"C'), F.col("c_custkey").cast("string"), F.lit('"},"geometry":'))
+    ring = F.lit("[[0,0],[1,0],[1,1],[0,0]]")
+    value = (
+        F.when(kind == 1, F.concat(head, F.lit('{"type":"Point","coordinates":[1,2]}}')))
+        .when(kind == 2, F.concat(head, F.lit('{"type":"Polygon","coordinates":[')))
+        .when(kind == 3, F.concat(head, F.lit("null}")))
+        .when(kind == 4, F.concat(head, F.lit('{"type":"Polygon","coordinates":"x"}}')))
+        .otherwise(F.concat(head, F.lit('{"type":"Polygon","coordinates":['), ring, F.lit("]}}")))
+    )
+    rows = table(spark, sf, "customer")
+    return rows.select(F.col("c_custkey").alias("fid"), F.col("c_custkey").alias("src_ordinal"), value.alias("value"))
+
+
+_SPOILED = vector.MapSource("", code_column="ECO_CODE")
+
+
+@_query
+def geojson_rejects(spark, sf):
+    return vector.geojson_rejects(_spoiled_features(spark, sf), _SPOILED).select("fid", "reason")
+
+
+@_query
+def geojson_accepted(spark, sf):
+    kept = vector.geojson_features(_spoiled_features(spark, sf), _SPOILED, strict=False)
+    return kept.select("fid", "code", F.size(F.col("geometry")[0][0]).alias("points"))
+
+
 @_query
 def map_bounds(spark, sf):
     limits = ring_ops.bounds(ring_ops.rings(polygon_map(spark, sf)))
@@ -221,7 +269,7 @@ def sorted_copy(spark, sf):
         table(spark, sf, "lineitem"), scratch_path(spark, "sorted"), "l_returnflag",
         tiebreak="l_orderkey",
     )
-    chunks = footers.footer_chunks(footers.object_listing(spark, path, "*.parquet"))
+    chunks = footers.footer_chunks(footers.object_listing(spark, path, "*.parquet"), "l_returnflag")
     stats = footers.footer_stats(chunks, "l_returnflag").withColumn("file", _file_name(F.col("path")))
     rows = spark.read.parquet(path).groupBy(
         "l_returnflag", _file_name(F.col("_metadata.file_path")).alias("file")
@@ -297,6 +345,13 @@ def aoo_from_cell_table(spark, sf):
     return _rounded(grid.occupancy(cells), 3, "area_km2")
 
 
+@_query
+def cells_of_one_class(spark, sf):
+    path = layout.write_cells(_cells(spark, sf), scratch_path(spark, "cells"))
+    cells = layout.cells_of_class(spark, path, "N3")
+    return _rounded(cells.select("grid_col", "grid_row", "frac"), 6, "frac")
+
+
 @_query
 def grid_cell_count(spark, sf):
     return grid.grid_cell_count(_cells(spark, sf))
@@ -352,6 +407,17 @@ def criterion_b_limits(spark, sf):
     return criteria.criterion_b(orders)
 
 
+@_query
+def overlap_flags(spark, sf):
+    """Every order as a made-up measurement, so that the flag is met from both sides."""
+    measured = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("code"), F.floor(F.col("o_totalprice") / 10).alias("eoo_km2"),
+        (F.col("o_custkey") * 7).alias("area_km2"),
+        F.when(F.col("o_orderkey") % 5 == 1, 1).otherwise(0).alias("overlap_cells"),
+    )
+    return assessment.flag_overlap(measured).select("code", "overlap")
+
+
 def _authored_records(spark: SparkSession, sf: str) -> DataFrame:
     """A record per class with authored status; B rows partly present."""
     codes = polygon_map(spark, sf).select("code").distinct()
@@ -514,6 +580,19 @@ def rewritten_pages(spark, sf):
     )
 
 
+@_query
+def reference_integrity(spark, sf):
+    """Every reference of the rewritten pages, odd ones among them, against the stored bundles."""
+    given = odd_widgets(spark, sf)
+    return blobs.reference_integrity(blobs.rewrite_pages(given), blobs.shared_bundles(given))
+
+
+@_query
+def page_problems(spark, sf):
+    rewritten = blobs.rewrite_pages(odd_widgets(spark, sf))
+    return rewritten.select("page_id", "changed", "problem")
+
+
 # --- checks ------------------------------------------------------------------
 
 
@@ -613,13 +692,38 @@ def source_drift(spark, sf):
 @_query
 def build_gate_status(spark, sf):
     current, recorded = _sources(spark, sf)
+    records, made = _gate_inputs(spark, sf)
+    return build_gate.build_gate(
+        records, made, current, recorded, "source", ["data", "group_column"]
+    )
+
+
+def _gate_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Records, some without a code, and pages, some without a record."""
     records = customer_records(spark, sf).select(F.when(F.col("c_acctbal") >= 0, F.col("code")).alias("code"))
     made = table(spark, sf, "orders").select(
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("code")
     )
-    return build_gate.build_gate(
-        records, made, current, recorded, "source", ["data", "group_column"]
-    )
+    return records, made
+
+
+@_query
+def build_gate_actions(spark, sf):
+    """The gate in five states of the same report, so that each of its actions is taken."""
+    current, recorded = _sources(spark, sf)
+    records, made = _gate_inputs(spark, sf)
+    coded = records.where("code is not null")
+    states = {
+        "as recorded": (records, made, recorded), "no drift": (records, made, current),
+        "no orphans": (records, coded, current), "all well": (coded, coded, current),
+        "no records": (coded.where("code = ''"), made, current),
+    }
+    rows = [
+        build_gate.build_gate(held, pages_made, current, then, "source", ["data", "group_column"])
+        .select(F.lit(state).alias("scenario"), "*")
+        for state, (held, pages_made, then) in states.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @_query
@@ -637,30 +741,62 @@ ECOSYSTEM_COLUMNS = {
     "region": "r_name", "nation": "n_name", "customer": "c_mktsegment", "supplier": "s_name",
     "part": "p_brand", "orders": "o_orderpriority", "lineitem": "l_returnflag",
     "events": "event_type", "documents": "lang", "pages": "url", "conversations": "role",
+    "embeddings": "label", "labels": "toxic", "benchmark": "text",
 }
 
 
-@_query
-def footer_ranges(spark, sf):
-    chunks = footers.footer_chunks(footers.object_listing(spark, sf, "*.parquet"))
-    name = F.regexp_extract("path", r"([^/]+)\.parquet$", 1)
+def _wanted_column() -> Column:
+    """The ecosystem column of the table that a path's file holds."""
     wanted = F.map_from_arrays(
         F.array(*[F.lit(t) for t in ECOSYSTEM_COLUMNS]), F.array(*[F.lit(c) for c in ECOSYSTEM_COLUMNS.values()])
     )
+    return F.try_element_at(wanted, _table_name())
+
+
+def _table_name() -> Column:
+    return F.regexp_extract("path", r"([^/]+)\.parquet(/[^/]*)?$", 1)
+
+
+@_query
+def footer_ranges(spark, sf):
+    chunks = footers.footer_chunks(footers.object_listing(spark, sf, "*.parquet"), _wanted_column())
+    numeric = F.col("column").isin("label", "toxic")
     return (
-        chunks.withColumn("table_name", name)
-        .where(F.col("column") == F.try_element_at(wanted, F.col("table_name")))
+        chunks.withColumn("table_name", _table_name())
+        .where(F.col("column") == _wanted_column())
         .groupBy("table_name", F.col("column").alias("column_name"))
-        .agg(F.sum("group_rows").alias("num_rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .agg(
+            F.sum("group_rows").alias("num_rows"),
+            # the ranges of numbers are told as text: their order is that of the numbers
+            F.when(F.bool_or(numeric), F.min(F.try_to_number("low", F.lit("S999999999"))).cast("string")).otherwise(F.min("low")).alias("low"),
+            F.when(F.bool_or(numeric), F.max(F.try_to_number("high", F.lit("S999999999"))).cast("string")).otherwise(F.max("high")).alias("high"),
+        )
     )
 
 
 @_query
 def footer_verdicts(spark, sf):
     listing = footers.object_listing(spark, sf, "*.parquet")
-    stats = footers.footer_stats(footers.footer_chunks(listing), "p_brand")
-    return readiness.layout_verdicts(listing.join(stats, "path")).withColumn(
-        "path", _file_name(F.col("path"))
+    stats = footers.footer_stats(footers.footer_chunks(listing, _wanted_column()), _wanted_column())
+    judged = readiness.layout_verdicts(listing.join(stats, "path", "left"))
+    return judged.groupBy(_table_name().alias("table_name")).agg(
+        F.sum("num_rows").alias("num_rows"), F.bool_or("refuse_load").alias("refuse_load"),
+        F.count("problem").alias("problems"), (F.min("geometry_bytes") > 0).alias("has_bytes"),
+        F.bool_or(F.col("num_row_groups") * F.col("max_rows_per_group") < F.col("num_rows")).alias("inconsistent"),
+    )
+
+
+@_query
+def unreadable_footers(spark, sf):
+    """A footer reader over addresses of which two thirds do not exist: each gives its reason."""
+    listing = footers.object_listing(spark, sf, "*.parquet").select("path")
+    three = listing.select(
+        F.explode(F.array("path", F.concat("path", F.lit(".gone")), F.concat(F.lit("none://"), "path"))).alias("path")
+    )
+    stats = footers.footer_stats(footers.footer_chunks(three), "x")
+    name = F.regexp_extract("path", r"([^/]+)\.parquet", 1)
+    return stats.groupBy(name.alias("table_name")).agg(
+        F.count("*").alias("files"), F.count("problem").alias("unreadable"), F.sum("num_rows").alias("num_rows")
     )
 
 
@@ -668,13 +804,13 @@ def _order_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Footer rows of the shape a reader gives: a customer is a file, an order a row group."""
     orders = table(spark, sf, "orders")
     columns = F.array(
-        F.struct(F.lit("eco").alias("column"), (F.col("o_totalprice") * 10).cast("bigint").alias("uncompressed")),
-        F.struct(F.lit("geom").alias("column"), (F.col("o_totalprice") * 4000).cast("bigint").alias("uncompressed")),
-        F.struct(F.lit("note").alias("column"), (F.col("o_totalprice") * 5000).cast("bigint").alias("uncompressed")),
+        F.struct(F.lit("eco").alias("column"), (F.col("_price") * 10).cast("bigint").alias("uncompressed")),
+        F.struct(F.lit("geom").alias("column"), (F.col("_price") * 4000).cast("bigint").alias("uncompressed")),
+        F.struct(F.lit("note").alias("column"), (F.col("_price") * 5000).cast("bigint").alias("uncompressed")),
     )
     ranged = F.col("o_orderkey") % 29 != 0
     month = F.date_format("o_orderdate", "yyyy-MM")
-    none = F.lit(None).cast("double")
+    in_file = Window.partitionBy("o_custkey").orderBy("o_orderkey")
     return orders.select(
         F.concat(
             F.when(F.col("o_custkey") % 2 == 0, F.lit("gs://b/C")).otherwise(F.lit("/data/C")),
@@ -682,12 +818,13 @@ def _order_chunks(spark: SparkSession, sf: str) -> DataFrame:
         ).alias("path"),
         F.col("o_orderkey").cast("int").alias("row_group"),
         (F.col("o_totalprice") / 5).cast("bigint").alias("group_rows"),
-        F.inline(columns),
+        F.col("o_totalprice").alias("_price"),
         ranged.alias("has_range"),
+        F.when(ranged, month < F.lag(F.when(ranged, month)).over(in_file)).alias("steps_back"),
         F.when(ranged, month).alias("low"), F.when(ranged, month).alias("high"),
-        none.alias("low_number"), none.alias("high_number"),
         F.when(F.col("o_custkey") % 3 == 0, F.lit("geom")).alias("geo_primary"),
-    )
+        F.lit(None).cast("string").alias("problem"),
+    ).select("*", F.inline(columns)).drop("_price")
 
 
 @_query
@@ -715,6 +852,27 @@ def cache_readiness(spark, sf):
     )
 
 
+@_query
+def source_readiness(spark, sf):
+    """The given files as map sources, with a limit of 1,000 features, and three sources of odd state."""
+    listing = footers.object_listing(spark, sf, "*.parquet")
+    none = F.lit(None).cast("string")
+    files = listing.groupBy(_table_name().alias("source")).agg(F.min("path").alias("data"))
+    a_file = F.concat(F.lit(sf.rstrip("/")), F.lit("/gone.parquet"))
+    odd = files.where("source in ('region', 'nation', 'part')").select(
+        F.when(F.col("source") == "region", "cached").when(F.col("source") == "nation", "half cached").otherwise("absent").alias("source"),
+        F.when(F.col("source") == "part", a_file).otherwise(F.col("data")).alias("data"),
+        F.when(F.col("source") != "part", F.col("data")).alias("optimized_data"),
+        F.when(F.col("source") == "nation", a_file).alias("aoo_grid_cache_url"),
+    )
+    sources = files.select("source", "data", none.alias("optimized_data"), none.alias("aoo_grid_cache_url")).unionByName(odd)
+    judged = caches.source_readiness(sources, listing, max_features=1000)
+    return judged.select(
+        "source", (~F.col("ok")).alias("refused"),
+        F.exists("reasons", lambda r: r.contains(" features")).alias("named_rows"), "problem",
+    )
+
+
 @_query
 def wkb_vertices(spark, sf):
     encoded = polygon_map(spark, sf).withColumn("geometry", vector.encode_wkb(F.col("geometry")))

@@ -156,37 +156,70 @@ def coordinates(kind: Column, text: Column) -> Column:
     return F.when(kind == "MultiPolygon", multi).when(kind == "Polygon", F.array(single))
 
 
-def geojson_features(features_text: DataFrame, source: MapSource) -> DataFrame:
-    """Features of GeoJSON text, one feature object per row (column ``value``).
+_FEATURE = "type string, properties map<string,string>, geometry struct<type:string,coordinates:string>, _bad string"
 
-    ``src_ordinal`` and ``fid`` must already number the rows.
-    """
-    props = "map<string,string>"
+
+def _parsed(features_text: DataFrame) -> DataFrame:
+    """Feature rows with the parsed feature, its geometry and the reason if there is none."""
     parsed = features_text.select(
         "fid", "src_ordinal",
-        F.from_json(
-            "value", f"properties {props}, geometry struct<type:string,coordinates:string>"
-        ).alias("_f"),
+        F.from_json("value", _FEATURE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("_f"),
     )
+    kind, text = F.col("_f.geometry.type"), F.col("_f.geometry.coordinates")
+    shaped = parsed.withColumn("geometry", coordinates(kind, text))
+    reason = (
+        F.when(F.col("_f").isNull() | F.col("_f._bad").isNotNull(), "not a JSON feature")
+        .when(F.col("_f.geometry").isNull() | kind.isNull(), "no geometry")
+        .when(~kind.isin("Polygon", "MultiPolygon"), F.concat(F.lit("unsupported geometry type "), kind))
+        .when(
+            F.col("geometry").isNull() | F.exists("geometry", lambda part: part.isNull() | F.exists(part, lambda r: r.isNull())),
+            "coordinates cannot be read",
+        )
+    )
+    return shaped.withColumn("reason", reason)
 
-    def role(column: str | None, alias: str) -> Column:
-        value = F.try_element_at("_f.properties", F.lit(column)) if column else F.lit(None)
-        return value.cast("string").alias(alias)
 
+def _feature_role(column: str | None, alias: str) -> Column:
+    value = F.try_element_at("_f.properties", F.lit(column)) if column else F.lit(None)
+    return value.cast("string").alias(alias)
+
+
+def geojson_rejects(features_text: DataFrame, source: MapSource) -> DataFrame:
+    """(fid, code, src_ordinal, reason): features that give no polygon, each with its reason."""
+    return _parsed(features_text).where("reason is not null").select(
+        "fid", _feature_role(source.key_column, "code"), "src_ordinal", "reason"
+    )
+
+
+def geojson_features(features_text: DataFrame, source: MapSource, strict: bool = True) -> DataFrame:
+    """Features of GeoJSON text, one feature object per row (column ``value``).
+
+    ``src_ordinal`` and ``fid`` must already number the rows. A feature without a usable
+    polygon fails the job; unless ``strict`` it is left out, and ``geojson_rejects`` lists it.
+    """
+    parsed = _parsed(features_text)
+    if strict:
+        told = F.concat(F.lit("feature "), F.col("src_ordinal").cast("string"), F.lit(": "), F.col("reason"))
+        # part of the geometry column, so that it is evaluated wherever geometry is used
+        parsed = parsed.withColumn(
+            "geometry", F.when(F.col("reason").isNull(), F.col("geometry")).otherwise(F.raise_error(told).cast(GEOMETRY_TYPE))
+        )
+    else:
+        parsed = parsed.where("reason is null")
     return parsed.select(
         "fid",
-        role(source.key_column, "code"), role(source.name_column, "name"),
-        role(source.group_column, "fg"),
-        "src_ordinal",
-        coordinates(F.col("_f.geometry.type"), F.col("_f.geometry.coordinates")).alias("geometry"),
+        _feature_role(source.key_column, "code"), _feature_role(source.name_column, "name"),
+        _feature_role(source.group_column, "fg"),
+        "src_ordinal", "geometry",
     )
 
 
-def load_geojson(spark: SparkSession, source: MapSource, lines: bool = False) -> DataFrame:
-    """Features of GeoJSON files.
+def geojson_text(spark: SparkSession, source: MapSource, lines: bool = False) -> DataFrame:
+    """(fid, src_ordinal, value): the features of GeoJSON files as text.
 
     A feature collection is one JSON document and so one task per file; for
-    large maps write one feature per line and pass ``lines``, which splits.
+    large maps write one feature per line and pass ``lines``, which splits. Features are
+    identified by their ordinal.
     """
     path = vector_address(source.preferred)
     if lines:
@@ -198,19 +231,21 @@ def load_geojson(spark: SparkSession, source: MapSource, lines: bool = False) ->
                 F.monotonically_increasing_id().alias("row"),
             ).alias("src_ordinal"),
             "value",
-        )
-        numbered = rows.select(F.xxhash64("src_ordinal").alias("fid"), "src_ordinal", "value")
+        ).where(F.trim("value") != "")
     else:
         documents = spark.read.schema("features array<string>").option("multiLine", True).json(path)
         exploded = documents.select(
             F.col("_metadata.file_path").alias("file"), F.posexplode("features").alias("pos", "value")
         )
-        numbered = exploded.select(
-            F.xxhash64("file", "pos").alias("fid"),
-            F.struct("file", F.col("pos").cast("bigint").alias("row")).alias("src_ordinal"),
-            "value",
+        rows = exploded.select(
+            F.struct("file", F.col("pos").cast("bigint").alias("row")).alias("src_ordinal"), "value"
         )
-    return geojson_features(numbered, source)
+    return rows.select(F.col("src_ordinal").alias("fid"), "src_ordinal", "value")
+
+
+def load_geojson(spark: SparkSession, source: MapSource, lines: bool = False, strict: bool = True) -> DataFrame:
+    """Features of GeoJSON files; see ``geojson_text`` and ``geojson_features``."""
+    return geojson_features(geojson_text(spark, source, lines), source, strict)
 
 
 def _parse_wkb(data: bytes) -> list[list[np.ndarray]]:

@@ -51,7 +51,3 @@ def test_entry_runs(spark):
     df = contract.entry(spark)
     assert df.count() == 25 and "overall" in df.columns
 
-
-def test_footer_verdicts_cover_every_file(spark):
-    rows = contract.queries()["footer_verdicts"](spark, SF).collect()
-    assert len(rows) == len(TABLES) and not any(r.optimized for r in rows)
