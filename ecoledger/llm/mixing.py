@@ -70,31 +70,31 @@ def _favour(size: Column, mean: Column) -> Column:
 
 
 def _levels(sizes: DataFrame, goals: DataFrame, most: int) -> DataFrame:
-    """``goals`` with ``mean`` and ``level``: a document is expected level * favour times.
+    """``goals`` with ``_mean`` and ``_level``: a document is expected level * favour times.
 
     Documents expected more often than ``most`` times are held there and the level of the
     others rises, until none is above. ``sizes`` counts documents by (source, size).
     """
     mean = sizes.groupBy("source").agg(
-        (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"), F.sum("n").alias("docs")
+        (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("_mean"), F.sum("n").alias("_docs")
     )
-    known = settle(_same_source(goals, mean).withColumn("level", F.lit(-1.0)))
+    known = settle(_same_source(goals, mean).withColumn("_level", F.lit(-1.0)))
     while True:
-        rows = _same_source(sizes, known.select("source", "mean", "level"))
-        favour = _favour(F.col("size"), F.col("mean"))
-        held = (F.col("level") >= 0) & (F.col("level") * favour > most)
+        rows = _same_source(sizes, known.select("source", "_mean", "_level"))
+        favour = _favour(F.col("size"), F.col("_mean"))
+        held = (F.col("_level") >= 0) & (F.col("_level") * favour > most)
         words = (F.col("size") * F.col("n")).cast("double")
         sums = rows.groupBy("source").agg(
             F.sum(F.when(held, words).otherwise(0.0)).alias("held"),
             F.sum(F.when(~held, words * favour).otherwise(0.0)).alias("open"),
         )
         rest = F.greatest(F.col("target") - F.col("held") * most, F.lit(0.0))
-        fresh = F.when(F.col("open") > 0, rest / F.col("open")).otherwise(F.greatest(F.col("level"), F.lit(0.0)))
+        fresh = F.when(F.col("open") > 0, rest / F.col("open")).otherwise(F.greatest(F.col("_level"), F.lit(0.0)))
         # a level only rises; sums of doubles may differ in their last digits between runs
-        level = F.when(F.col("level") < 0, fresh).otherwise(F.greatest("level", F.round(fresh, 9)))
+        level = F.when(F.col("_level") < 0, fresh).otherwise(F.greatest("_level", F.round(fresh, 9)))
         after = settle(_same_source(known, sums).withColumn("_next", F.round(level, 9)).drop("held", "open"))
-        moved = after.where(F.col("_next") > F.col("level")).limit(1).count()
-        known = after.withColumn("level", F.col("_next")).drop("_next")
+        moved = after.where(F.col("_next") > F.col("_level")).limit(1).count()
+        known = after.withColumn("_level", F.col("_next")).drop("_next")
         if not moved:
             return known
 
@@ -113,13 +113,15 @@ def mix(docs: DataFrame, weighted: DataFrame | None = None, share: float = 1.0,
     the documents of a source together take its target, up to rounding. The same rows give
     the same mix. Null sources are a source; rows of size 0 take nothing; rows that repeat
     an id draw the same random number, and share what is left of a budget. Columns of
-    these names are replaced. ``weighted`` has (source, source_size, weight), by default
+    these names, and those that start with an underscore, are replaced or left out. ``weighted`` has (source, source_size, weight), by default
     the weights 1, 2, 3 in turn.
 
     Runs jobs over a settled narrow table; the documents themselves are never shuffled:
     each source's sample ends at one cut of the ranking, found by sums over slices of it.
     """
-    docs = docs.drop("source_size", "target", "taken")
+    docs = docs.select(*[
+        c for c in docs.columns if not c.startswith("_") and c not in ("source_size", "target", "taken")
+    ])
     narrow = settle(docs.select("doc_id", "source", F.col("size").cast("long").alias("size")))
     sizes = settle(narrow.groupBy("source", "size").agg(F.count("*").alias("n")))
     totals = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
@@ -127,7 +129,7 @@ def mix(docs: DataFrame, weighted: DataFrame | None = None, share: float = 1.0,
     known = _levels(sizes, targets(settle(weighted), share), MOST_COPIES)
 
     def expected(rows: DataFrame) -> DataFrame:
-        times = F.least(F.col("level") * _favour(F.col("size"), F.col("mean")), F.lit(float(MOST_COPIES)))
+        times = F.least(F.col("_level") * _favour(F.col("size"), F.col("_mean")), F.lit(float(MOST_COPIES)))
         return rows.withColumns({"_whole": F.floor(times), "_part": times - F.floor(times)})
 
     sure = expected(_same_source(sizes, known)).groupBy("source").agg(
@@ -135,9 +137,9 @@ def mix(docs: DataFrame, weighted: DataFrame | None = None, share: float = 1.0,
         F.sum(F.when(F.col("_whole") < MOST_COPIES, F.col("size") * F.col("n")).otherwise(0)).alias("_room"),
     )
     known = _same_source(known, sure).select(
-        "source", "source_size", "target", "mean", "level",
+        "source", "source_size", "target", "_mean", "_level",
         F.least(F.greatest(F.round("target").cast("long") - F.col("_sure"), F.lit(0)), F.col("_room")).alias("_left"),
-        F.ceil(F.sqrt("docs")).alias("_slices"),
+        F.ceil(F.sqrt("_docs")).alias("_slices"),
     )
     share_left = F.least(F.greatest(F.col("_left") / F.greatest(F.col("source_size"), F.lit(1)), F.lit(1e-3)), F.lit(1 - 1e-3))
     known = settle(known.withColumn("_odds", share_left / (1 - share_left)))
@@ -189,4 +191,4 @@ def mix(docs: DataFrame, weighted: DataFrame | None = None, share: float = 1.0,
     final = _same_source(ranked(docs), cuts)
     return final.withColumn(
         "taken", (F.col("_whole") * F.col("size") + F.coalesce(extra, F.lit(0))).cast("long")
-    ).drop("_whole", "_part", "_rank", "_slice", "_slices", "_odds", "_left", "_cut", "_cut_id", "_cut_share", "mean", "level")
+    ).drop("_whole", "_part", "_rank", "_slice", "_slices", "_odds", "_left", "_cut", "_cut_id", "_cut_share", "_mean", "_level")

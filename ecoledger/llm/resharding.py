@@ -143,20 +143,31 @@ def _stretches(flow: list[list[int]]) -> Column:
     return target
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, folder: str) -> DataFrame:
-    """Write the affected shards below ``folder`` as ``shard=K`` and read them back.
+def _slotted(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that ``placed`` names, with shard, old_shard and slot."""
+    repeat = F.row_number().over(Window.partitionBy("_id", "_th").orderBy(F.lit(0))) - 1
+    return (
+        keyed(docs).join(placed, ["_id", "_th"])
+        .withColumn("slot", F.col("first_slot") + repeat).drop("_id", "_th", "first_slot", "moved")
+    )
+
 
-    A shard is affected if a row came to it or left it; others keep their files. Every row
-    of ``docs`` gets its ``slot``; rows are sorted by it within a file. A shard is many
-    files, one from each task that holds rows of it.
+def rewrite(docs: DataFrame, placed: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Write the affected shards below ``folder`` as ``shard=K``; (what is read back, the rest).
+
+    A shard is affected if a row came to it or left it; the others keep their files, and
+    the second result is their rows of ``docs``, which are not written.
+    Every row gets its ``slot``; rows are sorted by it within a file. A shard is many
+    files, one from each task that holds rows of it. Columns of ``docs`` named shard,
+    old_shard or slot are replaced.
     """
-    placed = settle(placed)
+    docs, placed = docs.drop("shard", "old_shard", "slot"), settle(placed)
     touched = placed.where("moved").select(F.explode(F.array("shard", "old_shard")).alias("shard")).distinct()
     # one row a shard
-    out = keyed(docs).join(placed.join(F.broadcast(touched), "shard", "left_semi"), ["_id", "_th"])
-    repeat = F.row_number().over(Window.partitionBy("_id", "_th").orderBy(F.lit(0))) - 1
-    (
-        out.withColumn("slot", F.col("first_slot") + repeat).drop("_id", "_th", "first_slot", "moved")
-        .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
-    )
-    return docs.sparkSession.read.parquet(folder)
+    touched = F.broadcast(settle(touched))
+    out = _slotted(docs, placed.join(touched, "shard", "left_semi"))
+    out.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
+    files = docs.sparkSession.read.schema(out.schema).parquet(folder)
+    still = settle(placed.join(touched, "shard", "left_anti"))
+    same = _slotted(docs, still) if still.limit(1).count() else docs.sparkSession.createDataFrame([], out.schema)
+    return files, same

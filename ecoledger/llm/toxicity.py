@@ -27,9 +27,10 @@ TRAINING_ROWS = 20_000
 THRESHOLD = 0.7
 STEM_LETTERS = range(3, 9)
 # A stem is an insult if it stands in this share of toxic training documents at least
-# and there at least this many times as often (in logarithms) as in others.
+# and there at least this many times as often (in logarithms) as it may in others: what
+# is seen in them and three more, which a few documents without it do not rule out.
 STEM_SHARE = 0.002
-STEM_LOG_ODDS = 3.0
+STEM_LOG_ODDS = 2.5
 
 # Closed word classes and a few offences known beforehand.
 INSULTS = "idiot moron stupid scum trash loser pathetic worthless disgusting clown imbécile trottel estúpido".split()
@@ -251,14 +252,14 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Mod
         .groupBy("stem").agg(F.sum("n").alias("n")).collect()
     }
     odds = {
-        s: math.log((n + 0.5) / (bad + 1)) - math.log((in_good.get(s, 0) + 0.5) / (good + 1)) for s, n in in_bad.items()
+        s: math.log((n + 0.5) / (bad + 1)) - math.log((in_good.get(s, 0) + 3) / (good + 3)) for s, n in in_bad.items()
     }
     strong = {s: o for s, o in odds.items() if o >= STEM_LOG_ODDS}
     # the shortest stem that is as telling as its longer forms stands for them
     kept = {
-        s: min(o, 6.0) / 3.0
+        s: min(o, 5.0) / 2.5
         for s, o in strong.items()
-        if not any(strong.get(s[:n], 0.0) >= min(o, 4.0) for n in STEM_LETTERS if n < len(s.rstrip("$")) + s.endswith("$"))
+        if not any(strong.get(s[:n], 0.0) >= min(o, 4.0) - 0.5 for n in STEM_LETTERS if n < len(s.rstrip("$")) + s.endswith("$"))
     }
     model = Model({**{w: 1.0 for w in known if w not in in_good}, **kept})
     return _fit(train, model)
