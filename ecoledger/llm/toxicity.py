@@ -29,7 +29,7 @@ STEM_LETTERS = range(3, 9)
 # A stem is an insult if it stands in this share of toxic training documents at least
 # and there at least this many times as often (in logarithms) as it may in others: what
 # is seen in them and three more, which a few documents without it do not rule out.
-STEM_SHARE = 0.002
+STEM_SHARE = 0.01
 STEM_LOG_ODDS = 2.5
 
 # Closed word classes and a few offences known beforehand.
@@ -198,7 +198,7 @@ def _stems(text: str) -> set[str]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> DataFrame:
-    """(doc_id, text, toxic) of about ``bound`` labelled rows that may be learned from.
+    """(text, toxic) of about ``bound`` labelled rows that may be learned from, equal texts once.
 
     Rows are chosen by a hash of the id. Ids labelled more than once count once, as
     toxic if any of their labels says so; null labels are left out.
@@ -212,7 +212,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS
     share = min(1.0, bound / max(rows, 1))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < math.ceil(share * 1_000_000))
     # about ``bound`` narrow rows
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    # copies of one text would make its every word look telling
+    return rows.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Model:
@@ -255,16 +257,26 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Mod
         s: math.log((n + 0.5) / (bad + 1)) - math.log((in_good.get(s, 0) + 3) / (good + 3)) for s, n in in_bad.items()
     }
     strong = {s: o for s, o in odds.items() if o >= STEM_LOG_ODDS}
-    # the shortest stem that is as telling as its longer forms stands for them
-    kept = {
-        s: min(o, 5.0) / 2.5
+    # the shortest stem that is as telling as its longer forms stands for them, drawn out
+    # to what nearly all its words have in common, be it a whole word
+    short = {
+        s: o
         for s, o in strong.items()
         if not any(strong.get(s[:n], 0.0) >= min(o, 4.0) - 0.5 for n in STEM_LETTERS if n < len(s.rstrip("$")) + s.endswith("$"))
     }
+    kept = {_drawn_out(s, in_bad): min(o, 5.0) / 2.5 for s, o in short.items()}
     model = Model({**{w: 1.0 for w in known if w not in in_good}, **kept})
     return _fit(train, model)
 
 
+def _drawn_out(stem: str, counts: dict[str, int]) -> str:
+    """The longest stem or whole word that nine in ten of the documents with ``stem`` share."""
+    if stem.endswith("$"):
+        return stem
+    longer = [t for t, n in counts.items() if t.startswith(stem) and n >= 0.9 * counts[stem]]
+    return max(longer, key=lambda t: (t.endswith("$"), len(t), t))
+
+
 def _fit(train: DataFrame, model: Model) -> Model:
     """Ridge logistic regression of the label on the clause features of the sample."""
 
