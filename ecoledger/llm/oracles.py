@@ -2,7 +2,33 @@
 
 from __future__ import annotations
 
+_PASSAGES = r"""WITH split AS (SELECT doc_id,
+  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+runs AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM split WHERE len(w) >= 50),
+hashed AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM runs),
+firsts AS (SELECT h, min(doc_id) AS owner FROM hashed GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p
+  FROM hashed JOIN firsts USING (h) WHERE owner < doc_id),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM split),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_removed,
+sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k USING (doc_id) LEFT JOIN counts c USING (doc_id)"""
+
+_NEAR_VECTORS = """WITH RECURSIVE fit AS (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm FROM (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b ON a.label = b.label AND len(a.e) = len(b.e)
+  AND a.vec_id <> b.vec_id WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+reached(id, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.id),
+least AS (SELECT id, min(root) AS root FROM reached GROUP BY id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, root AS component_id, root = vec_id AS kept
+FROM embeddings JOIN least ON id = vec_id LEFT JOIN counts ON a = vec_id"""
+
 
 def llm_oracles() -> dict[str, str]:
-    """SQL by query name."""
-    return {}
+    """SQL by query name; hashing, sampling, learned scores and tokenizers are beyond SQL."""
+    return {"op3_repeated_passages": _PASSAGES, "op4_near_vectors": _NEAR_VECTORS}

@@ -1,5 +1,6 @@
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +8,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from ecoledger.llm import icws, linechunks, mixing, packing, toxicity
 from ecoledger.llm.common import read, word_count
+from ecoledger.llm.oracles import llm_oracles
 from ecoledger.llm.queries import llm_queries, vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -44,6 +46,17 @@ def test_queries_give_a_row_for_everything(spark, name):
         assert rows == 200
 
 
+@pytest.mark.parametrize("name", sorted(llm_oracles()))
+def test_queries_equal_their_twins(spark, name):
+    duck = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = duck.execute(llm_oracles()[name])
+    columns = [d[0] for d in want.description]
+    got = llm_queries()[name](spark, SF).select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
+
+
 def test_stages_take_effect(spark, tmp_path):
     docs = read(spark, SF, "documents")
     seen = {"start": docs}
