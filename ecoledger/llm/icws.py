@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ecoledger.llm.common import with_uid
 from ecoledger.llm.components import components
 from ecoledger.llm.wordhash import mix, run_hashes, word_hashes
 from ecoledger.session import broadcast_if_small, settle
@@ -54,8 +55,13 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def idf_table(sketch: np.ndarray, documents: int) -> np.ndarray:
-    """Inverse document frequency of each slot, never below a tenth."""
-    return np.maximum(0.1, np.log((1 + documents) / (1 + sketch))).astype(np.float32)
+    """Inverse document frequency of each slot, dampened: log2(2 + ln(documents / frequency)).
+
+    Dampening keeps a common passage and a rare one within a factor of four, so copies of
+    a text that thousands share are still alike to about what they are word by word.
+    """
+    idf = np.maximum(0.0, np.log((1 + documents) / (1 + sketch)))
+    return np.log2(2 + idf).astype(np.float32)
 
 
 def weighted_shingles(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +132,7 @@ def band_keys(samples: np.ndarray, bands: int, rows: int) -> list[int]:
 
 
 def _text_classes(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
-    """(t1, t2, rep, keys): one row per different text with words; rep is its smallest id."""
+    """(key, t1, t2, rep, keys): one row per different text with words; rep is its smallest id."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, sampler = idf.value, Sampler(bands * rows)
@@ -138,11 +144,37 @@ def _text_classes(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
             yield b[["_id", "t1", "t2"]].assign(keys=keys)
 
     signed = docs.mapInPandas(sign, "_id long, t1 long, t2 long, keys array<long>").where("keys is not null")
-    return settle(signed.groupBy("t1", "t2").agg(F.min("_id").alias("rep"), F.first("keys").alias("keys")))
+    classes = signed.groupBy("t1", "t2").agg(F.min("_id").alias("rep"), F.first("keys").alias("keys"))
+    return settle(with_uid(classes, "key"))
+
+
+def _can_link(texts: DataFrame, idf, least: float) -> DataFrame:
+    """Keys of texts whose shingles that no other of ``texts`` has leave room for ``least``.
+
+    Two texts share at most what is not unique, so a text whose unique shingles weigh more
+    than 1 - ``least`` of it is alike to no other; it need not be compared at all.
+    """
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = idf.value
+        for b in batches:
+            for key, text in zip(b["key"], b["text"]):
+                shingles, weights = weighted_shingles(text, table)
+                share = weights / weights.sum(dtype=np.float64)
+                yield pd.DataFrame({"s": shingles.view(np.int64), "key": key, "share": share.astype(np.float32)})
+
+    shingles = texts.mapInPandas(spread, "s long, key long, share float")
+    alone = (
+        shingles.groupBy("s").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("share").alias("share"))
+        .where("n = 1").groupBy("key").agg(F.sum("share").alias("alone"))
+    )
+    # a little slack for sums of floats
+    lost = settle(alone.where(F.col("alone") > 1 - least + 1e-3).select("key"))
+    return texts.select("key").join(broadcast_if_small(lost), "key", "left_anti")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
-    """Those (a, b) whose texts have a weighted Jaccard similarity of ``least`` or more."""
+    """(group, other) of those (a, b) whose texts are alike to ``least`` or more."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = idf.value
@@ -153,22 +185,31 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, least: float) -> DataFram
                 if known[0] != a:
                     known = (a, weighted_shingles(x, table))
                 good[k] = weighted_jaccard(known[1], weighted_shingles(y, table)) >= least
-            yield f.loc[good, ["a", "b"]]
+            yield f.loc[good, ["group", "other"]]
 
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     # a text that leads many pairs makes a skewed join, which adaptive execution splits
     both = pairs.join(right, "b").join(left, "a")
-    return settle(both.mapInPandas(check, "a long, b long"))
+    return settle(both.mapInPandas(check, "group long, other long"))
+
 
+def _across(rows: DataFrame, turn: int) -> DataFrame:
+    """Bucket rows of buckets that still hold several groups, with figures and a leader.
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Bucket rows of buckets that still hold several groups, with bucket figures."""
-    by_group = rows.groupBy("band", "h", "group").agg(F.count("*").alias("m"))
-    sizes = by_group.groupBy("band", "h").agg(
-        F.sum("m").alias("members"), F.sum(F.col("m") * F.col("m")).alias("inside"), F.count("*").alias("groups"),
-    ).where("groups > 1")
-    return rows.join(sizes, ["band", "h"])
+    The leader is the smallest member of one group, another every turn.
+    """
+    lead = F.min_by(F.struct("lead", "group"), F.xxhash64("lead", F.lit(turn)))
+    buckets = (
+        rows.groupBy("band", "h", "group").agg(F.count("*").alias("m"), F.min("key").alias("lead"))
+        .groupBy("band", "h").agg(
+            F.sum("m").alias("members"), F.sum(F.col("m") * F.col("m")).alias("inside"), F.count("*").alias("groups"),
+            lead.alias("l"),
+        )
+        .where("groups > 1")
+        .select("band", "h", "members", "inside", "l.lead", F.col("l.group").alias("lead_group"))
+    )
+    return rows.join(buckets, ["band", "h"])
 
 
 def near_texts(
@@ -182,9 +223,10 @@ def near_texts(
     Null ids stand before all others, together as one document, and come out as null.
     Rows that repeat an id share its fate.
 
-    Candidates of a bucket are first paired with one leader; while that merges groups,
-    leaders of the groups left over follow, and at last all pairs of a bucket that are not
-    yet in one group are verified, so a pair that shares a bucket is never passed over.
+    Texts that share a bucket are candidates. Those that are mostly of their own cannot
+    link and are set aside. The others of a bucket are first paired with one leader; while
+    that merges groups, leaders of the groups left over follow, and at last all pairs of a
+    bucket that are not yet in one group are verified, so no pair is passed over.
     """
     spark = docs.sparkSession
     keyed = docs.select(
@@ -194,7 +236,6 @@ def near_texts(
     # a fixed number of slots, whatever the corpus
     idf = spark.sparkContext.broadcast(idf_table(*document_frequencies(docs)))
     classes = _text_classes(keyed, idf, bands, rows)
-    classes = settle(classes.withColumn("key", F.monotonically_increasing_id()))
     entries = classes.select("key", F.posexplode("keys").alias("band", "h"))
     shared = entries.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1").select("band", "h")
     buckets = settle(entries.join(shared, ["band", "h"]))
@@ -202,42 +243,36 @@ def near_texts(
     texts = settle(
         keyed.join(broadcast_if_small(involved), ["_id", "t1", "t2"]).select("key", "text").dropDuplicates(["key"])
     )
-    links = None
-    groups = involved.select("key", F.col("key").alias("group"))
+    groups = settle(_can_link(texts, idf, least).select("key", F.col("key").alias("group")))
     left_before, turn = None, 0
     while True:
         turn += 1
-        rows_now = settle(_across(buckets.join(groups, "key")))
-        open_pairs, members = rows_now.select("band", "h", "members", "inside").distinct().agg(
-            F.coalesce(F.sum(F.expr("members * members - inside")), F.lit(0)), F.coalesce(F.sum("members"), F.lit(0))
+        rows_now = settle(_across(buckets.join(groups, "key"), turn))
+        # pairs across groups, each counted from both ends and once for every member
+        open_pairs, members = rows_now.agg(
+            F.coalesce(F.sum(F.expr("(members * members - inside) / members")), F.lit(0.0)), F.count("*")
         ).first()
-        if not open_pairs:
+        if not members:
             break
         last = open_pairs <= 4 * members or (left_before is not None and open_pairs > 0.9 * left_before)
         left_before = open_pairs
         if last:
             other = rows_now.select("band", "h", F.col("key").alias("b"), F.col("group").alias("other"))
             mine = rows_now.select("band", "h", F.col("key").alias("a"), "group")
-            pairs = mine.join(other, ["band", "h"]).where("a < b and `group` <> other").select("a", "b")
+            pairs = mine.join(other, ["band", "h"]).where("a < b and `group` <> other").select("a", "b", "group", "other")
         else:
-            # one group of each bucket, another every turn, leads against all others
-            leader = (
-                rows_now.groupBy("band", "h", "group").agg(F.min("key").alias("lead"))
-                .groupBy("band", "h").agg(F.min_by(F.struct("lead", "group"), F.xxhash64("lead", F.lit(turn))).alias("l"))
-                .select("band", "h", F.col("l.lead").alias("lead"), F.col("l.group").alias("lead_group"))
-            )
-            pairs = rows_now.join(leader, ["band", "h"]).where("`group` <> lead_group").select(
-                F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")
+            pairs = rows_now.where("`group` <> lead_group").select(
+                F.col("lead").alias("a"), F.col("key").alias("b"), "group", F.col("lead_group").alias("other")
             )
-        found = _verified(settle(pairs.distinct()), texts, idf, least)
-        links = found if links is None else settle(links.unionByName(found))
-        grouped = components(links)
+        found = _verified(pairs.distinct(), texts, idf, least)
+        merged = components(found)
         groups = settle(
-            involved.select("key").join(grouped.withColumnRenamed("id", "key"), "key", "left")
-            .select("key", F.coalesce("component", "key").alias("group"))
+            groups.join(merged.withColumnRenamed("id", "group"), "group", "left")
+            .select("key", F.coalesce("component", "group").alias("group"))
         )
         if last:
             break
+    # those that cannot link are missing here and stand for themselves below
     smallest = groups.join(classes, "key").groupBy("group").agg(F.min("rep").alias("smallest"))
     named = groups.join(smallest, "group").select("key", "smallest")
     known = classes.join(named, "key", "left").select("t1", "t2", F.coalesce("smallest", "rep").alias("component"))
