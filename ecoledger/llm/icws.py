@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ecoledger.llm.common import with_uid
@@ -29,6 +29,8 @@ ROWS = 5
 SKETCH_BITS = 18
 _NO_ID = -(1 << 63)
 _SEED = 0x5851F42D4C957F2D
+# slack of bounds that are sums of floats
+_ROUNDING = 1e-3
 
 
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
@@ -149,10 +151,11 @@ def _text_classes(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
 
 
 def _can_link(texts: DataFrame, idf, least: float) -> DataFrame:
-    """Keys of texts whose shingles that no other of ``texts`` has leave room for ``least``.
+    """(key, total, common): texts that can be alike to another to ``least``, with their weights.
 
-    Two texts share at most what is not unique, so a text whose unique shingles weigh more
-    than 1 - ``least`` of it is alike to no other; it need not be compared at all.
+    ``common`` is what the shingles weigh that another of ``texts`` has too. Two texts share
+    at most that, so a text of which less than ``least`` is common is alike to no other and
+    is left out; ``_near_enough`` bounds pairs in the same way.
     """
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,17 +163,29 @@ def _can_link(texts: DataFrame, idf, least: float) -> DataFrame:
         for b in batches:
             for key, text in zip(b["key"], b["text"]):
                 shingles, weights = weighted_shingles(text, table)
-                share = weights / weights.sum(dtype=np.float64)
-                yield pd.DataFrame({"s": shingles.view(np.int64), "key": key, "share": share.astype(np.float32)})
+                yield pd.DataFrame({"s": shingles.view(np.int64), "key": key, "weight": weights})
 
-    shingles = texts.mapInPandas(spread, "s long, key long, share float")
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = idf.value
+        for b in batches:
+            totals = [float(weighted_shingles(t, table)[1].sum(dtype=np.float64)) for t in b["text"]]
+            yield pd.DataFrame({"key": b["key"], "total": totals})
+
+    shingles = texts.mapInPandas(spread, "s long, key long, weight float")
     alone = (
-        shingles.groupBy("s").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("share").alias("share"))
-        .where("n = 1").groupBy("key").agg(F.sum("share").alias("alone"))
+        shingles.groupBy("s").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("weight").alias("weight"))
+        .where("n = 1").groupBy("key").agg(F.sum("weight").alias("alone"))
     )
-    # a little slack for sums of floats
-    lost = settle(alone.where(F.col("alone") > 1 - least + 1e-3).select("key"))
-    return texts.select("key").join(broadcast_if_small(lost), "key", "left_anti")
+    weighed = texts.mapInPandas(weigh, "key long, total double").join(alone, "key", "left").select(
+        "key", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("common")
+    )
+    return weighed.where(F.col("common") >= F.col("total") * (least - _ROUNDING))
+
+
+def _near_enough(total: str, common: str, other_total: str, other_common: str, least: float) -> Column:
+    """Whether two texts may be alike: the smaller common part over what is left of both."""
+    most = F.least(common, other_common)
+    return most * (1 + least) >= (F.col(total) + F.col(other_total)) * (least - _ROUNDING)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
@@ -199,15 +214,19 @@ def _across(rows: DataFrame, turn: int) -> DataFrame:
 
     The leader is the smallest member of one group, another every turn.
     """
-    lead = F.min_by(F.struct("lead", "group"), F.xxhash64("lead", F.lit(turn)))
+    lead = F.min_by(F.col("first"), F.xxhash64("first.key", F.lit(turn)))
+    first = F.min(F.struct("key", "total", "common", "group")).alias("first")
     buckets = (
-        rows.groupBy("band", "h", "group").agg(F.count("*").alias("m"), F.min("key").alias("lead"))
+        rows.groupBy("band", "h", "group").agg(F.count("*").alias("m"), first)
         .groupBy("band", "h").agg(
             F.sum("m").alias("members"), F.sum(F.col("m") * F.col("m")).alias("inside"), F.count("*").alias("groups"),
             lead.alias("l"),
         )
         .where("groups > 1")
-        .select("band", "h", "members", "inside", "l.lead", F.col("l.group").alias("lead_group"))
+        .select(
+            "band", "h", "members", "inside", F.col("l.key").alias("lead"), F.col("l.total").alias("lead_total"),
+            F.col("l.common").alias("lead_common"), F.col("l.group").alias("lead_group"),
+        )
     )
     return rows.join(buckets, ["band", "h"])
 
@@ -243,7 +262,9 @@ def near_texts(
     texts = settle(
         keyed.join(broadcast_if_small(involved), ["_id", "t1", "t2"]).select("key", "text").dropDuplicates(["key"])
     )
-    groups = settle(_can_link(texts, idf, least).select("key", F.col("key").alias("group")))
+    groups = settle(
+        _can_link(texts, idf, least).join(classes.select("key", "keys"), "key").withColumn("group", F.col("key"))
+    )
     left_before, turn = None, 0
     while True:
         turn += 1
@@ -257,18 +278,26 @@ def near_texts(
         last = open_pairs <= 4 * members or (left_before is not None and open_pairs > 0.9 * left_before)
         left_before = open_pairs
         if last:
-            other = rows_now.select("band", "h", F.col("key").alias("b"), F.col("group").alias("other"))
-            mine = rows_now.select("band", "h", F.col("key").alias("a"), "group")
-            pairs = mine.join(other, ["band", "h"]).where("a < b and `group` <> other").select("a", "b", "group", "other")
+            mine = rows_now.select("band", "h", F.col("key").alias("a"), "group", "total", "common", "keys")
+            other = rows_now.select(
+                "band", "h", F.col("key").alias("b"), F.col("group").alias("other"), F.col("total").alias("total_b"),
+                F.col("common").alias("common_b"), F.col("keys").alias("keys_b"),
+            )
+            # a pair counts in the first band that both share
+            earlier = F.expr("exists(slice(zip_with(keys, keys_b, (x, y) -> x = y), 1, band), same -> same)")
+            pairs = mine.join(other, ["band", "h"]).where(
+                F.expr("a < b and `group` <> other") & _near_enough("total", "common", "total_b", "common_b", least) & ~earlier
+            ).select("a", "b", "group", "other")
         else:
-            pairs = rows_now.where("`group` <> lead_group").select(
+            apart = F.col("group") != F.col("lead_group")
+            pairs = rows_now.where(apart & _near_enough("total", "common", "lead_total", "lead_common", least)).select(
                 F.col("lead").alias("a"), F.col("key").alias("b"), "group", F.col("lead_group").alias("other")
             )
         found = _verified(pairs.distinct(), texts, idf, least)
         merged = components(found)
         groups = settle(
             groups.join(merged.withColumnRenamed("id", "group"), "group", "left")
-            .select("key", F.coalesce("component", "group").alias("group"))
+            .select("key", "total", "common", "keys", F.coalesce("component", "group").alias("group"))
         )
         if last:
             break
