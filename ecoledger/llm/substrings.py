@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +29,8 @@ _PLACE_BITS = 32
 
 
 def cover(window: int) -> tuple[int, list[int], int]:
-    """(period, residues, anchor words): the longest period that leaves two fifths of the window."""
-    period = max(p for p in COVERS if window - p + 1 >= max(1, 0.4 * window))
+    """(period, residues, anchor words): the longest period that leaves three fifths of the window."""
+    period = max(p for p in COVERS if window - p + 1 >= max(1, 0.6 * window))
     return period, COVERS[period], window - period + 1
 
 
@@ -59,14 +60,14 @@ def _anchors(texts: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             parts = []
-            for key, tag, text in zip(b["_id"], b["_tag"], b["text"]):
-                words = word_hashes(text.encode())
+            for key, tag, body in zip(b["_id"], b["_tag"], b["body"]):
+                words = word_hashes(zstandard.decompress(body))
                 at = _anchor_places(len(words), window)
                 if len(at):
                     parts.append((key, tag, at, run_hashes(words, size, at)))
             yield _frames(parts)
 
-    return texts.select("_id", "_tag", "text").mapInPandas(run, "h long, _id long, spot long")
+    return texts.select("_id", "_tag", "body").mapInPandas(run, "h long, _id long, spot long")
 
 
 def _windows(spotted: DataFrame, window: int) -> DataFrame:
@@ -76,8 +77,8 @@ def _windows(spotted: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             parts = []
-            for key, tag, text, spots in zip(b["_id"], b["_tag"], b["text"], b["spots"]):
-                words = word_hashes(text.encode())
+            for key, tag, body, spots in zip(b["_id"], b["_tag"], b["body"], b["spots"]):
+                words = word_hashes(zstandard.decompress(body))
                 starts = len(words) - window + 1
                 # windows start up to period - 1 words before an anchor
                 mark = np.zeros(starts + period + 1, np.int64)
@@ -88,16 +89,16 @@ def _windows(spotted: DataFrame, window: int) -> DataFrame:
                 parts.append((key, tag, at, run_hashes(words, window, at)))
             yield _frames(parts)
 
-    return spotted.select("_id", "_tag", "text", "spots").mapInPandas(run, "h long, _id long, spot long")
+    return spotted.select("_id", "_tag", "body", "spots").mapInPandas(run, "h long, _id long, spot long")
 
 
 def _splittable(keys: DataFrame, by: str = "h") -> DataFrame:
-    """``keys`` with a second join key that follows from ``by``.
+    """``keys`` with a second join key that follows from ``by`` and is always false.
 
     The join then shuffles this side anew although it is dealt by ``by``, and adaptive
     execution may split a hot key of the other side.
     """
-    return keys.withColumn("g", F.pmod(by, F.lit(8)))
+    return keys.withColumn("g", F.isnull(by))
 
 
 def _by_text(spots: DataFrame, name: str) -> DataFrame:
@@ -107,6 +108,19 @@ def _by_text(spots: DataFrame, name: str) -> DataFrame:
     )
 
 
+def _compressed(texts: DataFrame) -> DataFrame:
+    """(_id, _tag, body): texts compressed for the one exchange that all passes share."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            yield b[["_id", "_tag"]].assign(body=[squeeze.compress(t.encode()) for t in b["text"]])
+
+    squeezed = texts.select("_id", "_tag", "text").mapInPandas(run, "_id long, _tag long, body binary")
+    # never null; said here, every join of the texts has the same input and shares its exchange
+    return squeezed.where("_id is not null and _tag is not null")
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept) for every row of ``docs`` (doc_id, text).
 
@@ -116,13 +130,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     id is smaller than all others. Rows that repeat an id are judged one by one, and do not
     take words from each other. Other columns are ignored.
 
-    Hashes of 64 bits stand for runs of words. The whole is one plan: the texts are
-    shuffled once, by id, and that exchange serves all four passes over them.
+    Hashes of 64 bits stand for runs of words. One short job looks for repeated ids; the
+    rest is one plan: the texts are shuffled once, by id, and that exchange serves all four
+    passes over them.
     """
     t2 = F.xxhash64(F.lit(1), "text")
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    # where ids are unique nothing else has to tell texts apart, and narrow rows stay narrow
+    tag = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) if repeated else F.lit(0).cast("long")
+    key = ["_id", "_tag"] if repeated else ["_id"]
+
+    def by_key(found: DataFrame) -> DataFrame:
+        return found if repeated else found.drop("_tag")
+
     keyed = docs.select(
         "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("_id"),
-        F.pmod(F.xxhash64("text"), F.lit(1 << 30)).alias("_tag"), F.coalesce("text", F.lit("")).alias("text"),
+        tag.alias("_tag"), F.coalesce("text", F.lit("")).alias("text"),
     )
     narrow = keyed.select("_id", "_tag", F.xxhash64("text").alias("t1"), t2.alias("t2"))
     # of equal texts only the one of the smallest id needs windows; the others go whole
@@ -131,13 +154,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         _splittable(narrow, "t1").join(_splittable(least, "t1"), ["t1", "t2", "g"])
         .where("_id > first_id").select("_id", "_tag").distinct().withColumn("_copy", F.lit(True))
     )
-    texts = keyed.select("_id", "_tag", "text")
-    own = texts.join(copies, ["_id", "_tag"], "left").where("_copy is null")
+    texts = _compressed(keyed)
+    own = texts.join(by_key(copies), key, "left").where("_copy is null")
 
     anchors = _anchors(own, window)
     shared = _splittable(anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     spots = _by_text(_splittable(anchors).join(shared, ["h", "g"]).select("_id", "spot"), "spots")
-    windows = _windows(texts.join(spots, ["_id", "_tag"]), window)
+    windows = _windows(texts.join(by_key(spots), key), window)
     owners = _splittable(
         windows.groupBy("h").agg(F.min("_id").alias("owner"), F.max("_id").alias("last"))
         .where("owner < last").select("h", "owner")
@@ -147,8 +170,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for text, starts, copy in zip(b["text"], b["starts"], b["_copy"]):
-                words = text.encode().split()
+            for body, starts, copy in zip(b["body"], b["starts"], b["_copy"]):
+                words = zstandard.decompress(body).split()
                 n = len(words)
                 if copy is True and n >= window:
                     words = []
@@ -164,7 +187,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             out.insert(0, "_id", b["_id"].to_numpy())
             yield out
 
-    marked = texts.join(copies, ["_id", "_tag"], "left").join(gone, ["_id", "_tag"], "left")
+    marked = texts.join(by_key(copies), key, "left").join(by_key(gone), key, "left")
     result = marked.mapInPandas(cut, "_id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return result.select(
         F.when(F.col("_id") != _NO_ID, F.col("_id")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept"
