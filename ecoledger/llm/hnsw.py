@@ -27,6 +27,9 @@ DEGREE = 12
 BUILD_BEAM = 40
 QUERY_BEAM = 32
 AUDITED = 48
+# how far below the threshold a widened beam still goes on from a row
+SLACK = 0.1
+MOST_TASKS = 20_000
 _BATCH = 512
 
 
@@ -153,24 +156,46 @@ class Graph:
             links[nodes] = self._select(nodes, np.concatenate([links[nodes], new], axis=1), degree)
 
     def neighbours(self, q: np.ndarray, start: np.ndarray | None, least: float, width: int):
-        """Blocks of (query row, graph row) with similarity of ``least`` or more, beams widening as they fill."""
+        """Blocks of (query row, graph row) with similarity of ``least`` or more.
+
+        A beam that is full of such rows widens until no row near enough is left unvisited.
+        """
         base, n = self.layers[-1], len(self.x)
-        todo = np.arange(len(q))
-        while len(todo):
-            width = min(width, n)
-            full = []
-            step = max(16, min(_BATCH, 8_000_000 // n, 400_000 // width))
-            for k in range(0, len(todo), step):
-                rows = todo[k : k + step]
-                entry = self._base_entry(q[rows]) if start is None else start[rows, None]
-                ids, sims = self._beam(base, q[rows], entry, width, n)
-                near = sims >= least
-                whole = near.all(axis=1) & (width < n)
-                full.append(rows[whole])
-                r, c = np.nonzero(near & ~whole[:, None])
-                yield rows[r], ids[r, c]
-            todo = np.concatenate(full)
-            width *= 4
+        width = min(width, n)
+        step = max(16, min(_BATCH, 8_000_000 // n))
+        for k in range(0, len(q), step):
+            rows = np.arange(k, min(len(q), k + step))
+            entry = self._base_entry(q[rows]) if start is None else start[rows, None]
+            ids, sims = self._beam(base, q[rows], entry, width, n)
+            near = sims >= least
+            full = near.all(axis=1) & (width < n)
+            r, c = np.nonzero(near & ~full[:, None])
+            yield rows[r], ids[r, c]
+            if full.any():
+                for r, c in self._widened(base, q[rows[full]], ids[full], sims[full], least):
+                    yield rows[full][r], c
+
+    def _widened(self, links: np.ndarray, q: np.ndarray, ids: np.ndarray, sims: np.ndarray, least: float):
+        """Beams without a bound: every row within SLACK of ``least`` is visited from."""
+        n = len(self.x)
+        seen = np.zeros(len(q) * n, bool)
+        r, c = np.nonzero(sims >= least - SLACK)
+        front, near = r * n + ids[r, c], sims[r, c] >= least
+        seen[front] = True
+        yield front[near] // n, front[near] % n
+        while len(front):
+            after = []
+            for k in range(0, len(front), 8_000):
+                part = front[k : k + 8_000]
+                met = links[part % n]
+                keys = ((part // n * n)[:, None] + met)[met >= 0]
+                keys = np.unique(keys[~seen[keys]])
+                seen[keys] = True
+                sims = np.einsum("ed,ed->e", self.x[keys % n], q[keys // n])
+                after.append(keys[sims >= least - SLACK])
+                near = keys[sims >= least]
+                yield near // n, near % n
+            front = np.concatenate(after)
 
     def _base_entry(self, q: np.ndarray) -> np.ndarray:
         at = np.zeros((len(q), 1), np.int64)
@@ -179,15 +204,18 @@ class Graph:
             at = np.take_along_axis(found, sims.argmax(axis=1)[:, None], axis=1)
         return at
 
-    def width_that_finds_all(self, least: float) -> int:
-        """A beam width at which an audit of some rows against brute force misses no link."""
+    def width_that_finds_all(self, least: float, own: bool = False) -> int:
+        """A beam width at which an audit of some rows against brute force misses no link.
+
+        Searches start at the top of the graph, or with ``own`` at the row itself.
+        """
         n = len(self.x)
         rows = np.unique(np.linspace(0, n - 1, min(AUDITED, n)).astype(int))
         truth = self.x[rows] @ self.x.T >= least
         width = QUERY_BEAM
         while width < n:
             got = np.zeros_like(truth)
-            for r, c in self.neighbours(self.x[rows], None, least, width):
+            for r, c in self.neighbours(self.x[rows], rows if own else None, least, width):
                 got[r, c] = True
             if not (truth & ~got).any():
                 break
@@ -198,7 +226,7 @@ class Graph:
 def _graph_rows(shards: DataFrame, least: float) -> DataFrame:
     """Packed shards with their graphs: layers as bytes, and the audited beam width."""
     schema = shards.schema.simpleString()[len("struct<") : -1].replace(":", " ") + (
-        ", sizes array<int>, layers binary, row_order binary, width int"
+        ", sizes array<int>, layers binary, row_order binary, width int, own_width int"
     )
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
@@ -209,7 +237,7 @@ def _graph_rows(shards: DataFrame, least: float) -> DataFrame:
             sizes=[[len(a) for a in graph.layers]],
             layers=[b"".join(a.tobytes() for a in graph.layers)],
             row_order=[graph.order.astype(np.int64).tobytes()],
-            width=graph.width_that_finds_all(least),
+            width=graph.width_that_finds_all(least), own_width=graph.width_that_finds_all(least, own=True),
         )
 
     return shards.groupBy("label", "dim", "shard").applyInPandas(build, schema)
@@ -241,7 +269,8 @@ def _search(graphs: DataFrame, least: float) -> DataFrame:
             start = np.empty(len(ids), np.int64)
             start[graph.order] = np.arange(len(ids))
         # beams run in single precision: a little slack, then the exact cosine decides
-        for r, c in graph.neighbours(q.astype(np.float32), start, least - 1e-4, int(row["width"])):
+        width = int(row["own_width"] if own else row["width"])
+        for r, c in graph.neighbours(q.astype(np.float32), start, least - 1e-4, width):
             c = graph.order[c]
             sure = np.einsum("ij,ij->i", q[r], x[c]) >= least
             a, b = q_ids[r[sure]], ids[c[sure]]
@@ -251,7 +280,9 @@ def _search(graphs: DataFrame, least: float) -> DataFrame:
 
     q = graphs.select("label", "dim", F.col("shard").alias("q_shard"), F.col("n").alias("q_n"),
                       F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    pairs = graphs.join(q, ["label", "dim"])
+    count = graphs.groupBy("label", "dim").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0] or 1
+    # a pair is much work in few bytes: without a number, small pairs would share a task
+    pairs = graphs.join(q, ["label", "dim"]).repartition(min(MOST_TASKS, count), "label", "dim", "shard", "q_shard")
     return pairs.groupBy("label", "dim", "shard", "q_shard").applyInPandas(
         lambda key_frame: pd.concat([*run(key_frame), pd.DataFrame({"a": [], "b": []}, dtype="int64")]),
         "a long, b long",

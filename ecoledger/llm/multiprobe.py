@@ -29,6 +29,7 @@ ROWS_PER_BUCKET = 8
 FIRST_PROBES = 32
 AUDITED = 32
 RECALL = 0.95
+MOST_TASKS = 20_000
 
 
 def perturbations(functions: int, count: int) -> list[tuple[int, ...]]:
@@ -202,8 +203,10 @@ def nearest(
         found, probes = search_shard(ids, x, q_ids, q_x, longest[int(row["dim"])], k)
         return pd.concat([*found]).assign(probes=probes)
 
-    pairs = shards.join(q, "dim").groupBy("dim", "shard", "block")
-    found = pairs.applyInPandas(run, "query_id long, vec_id long, score double, probes int")
+    # a pair is much work in few bytes: without a number, small pairs would share a task
+    tasks = min(MOST_TASKS, blocks * sum(groups_of(r["n"], shard_rows) for r in totals.values()))
+    pairs = shards.join(q, "dim").repartition(max(1, tasks), "dim", "shard", "block")
+    found = pairs.groupBy("dim", "shard", "block").applyInPandas(run, "query_id long, vec_id long, score double, probes int")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     # at most k rows a query and shard
     return (
