@@ -237,7 +237,9 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Mod
                 for text in b["text"].dropna():
                     found = _stems(text)
                     tally.update(found if only is None else found & only)
-            yield pd.DataFrame({"stem": list(tally), "n": list(tally.values())})
+            # an empty frame of text has no Arrow form here
+            if tally:
+                yield pd.DataFrame({"stem": list(tally), "n": list(tally.values())})
 
         return run
 
