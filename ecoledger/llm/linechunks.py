@@ -1,10 +1,10 @@
-"""Repeated multi-line chunks, cut at content-defined boundaries.
+"""Repeated multi-line chunks, wherever their boundaries are.
 
-A line is hashed; a rolling hash over the last lines decides whether a chunk begins, so a
-boundary depends on the lines around it and not on where they stand in the document. A
-chunk of several lines that stands at more than one place of the corpus stays at the
-first place only. Equality is equality of bytes; hashes only choose what to compare.
-Everything is DataFrame functions.
+A hash rolls over every few lines in a row, the finest cut there is: windows do not depend
+on where they stand in the document, and a passage of several lines that two texts share
+holds a window, however short it is. Windows that stand earlier in the corpus run together
+to the chunks that go. Equality is equality of bytes; hashes only choose what to compare.
+``line_chunks`` cuts one text at content-defined boundaries. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -61,57 +61,74 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _windows(lines: Column, size: int) -> Column:
+    """Array of (no, body): every ``size`` lines in a row, by the number of their first line."""
+    at = F.when(F.size(lines) >= size, F.sequence(F.lit(0), F.size(lines) - size))
+    return F.transform(
+        at, lambda i: F.struct(i.alias("no"), F.array_join(F.slice(lines, i + 1, size), "\n").alias("body"))
+    )
+
+
 def repeated_chunks(docs: DataFrame, least_lines: int = LEAST_LINES) -> DataFrame:
-    """(_id, _th, no) of every chunk that stands earlier in the corpus too.
+    """(_id, _th, begin, end) of every ``least_lines`` lines in a row that stand earlier in the corpus too.
 
-    The order is by doc_id (null first), text hash and place. Chunks of white space
-    alone are left where they are.
+    A window begins at every line, so no passage of that many lines falls between
+    boundaries; passages that are longer are runs of windows. The order is by doc_id (null
+    first), text hash and place. ``begin`` and ``end`` are the first and last line that
+    repeat: a window that overlaps its own first place leaves the lines of that place.
+    Windows of white space alone are left where they are.
     """
-    # the filter on lines and bodies is per chunk, so no body leaves its task in the first pass
-    pieces = _keyed(docs).select("_id", "_th", F.posexplode(line_chunks(F.col("text"))).alias("no", "chunk")).select(
-        "_id", "_th", "no", "chunk.lines", "chunk.body"
-    ).where((F.col("lines") >= least_lines) & F.col("body").rlike(r"[^\s]"))
-    hashed = pieces.select("_id", "_th", "no", F.xxhash64("body").alias("h"))
+    # the filter on bodies is per window, so no body leaves its task in the first pass
+    pieces = _keyed(docs).select(
+        "_id", "_th", F.explode(let(F.split("text", "\n"), lambda lines: _windows(lines, least_lines))).alias("piece")
+    ).select("_id", "_th", "piece.no", "piece.body").where(F.col("body").rlike(r"[^\s]"))
+    hashed = pieces.select(F.xxhash64("body").alias("h"))
     # a hash that repeats within one task is one row after the map-side part
     repeated = settle(hashed.groupBy("h").agg(F.count("*").alias("_n")).where("_n > 1").select("h"))
     some = pieces.withColumn("h", F.xxhash64("body")).join(broadcast_if_small(repeated), "h")
     place = F.struct("_id", "_th", "no")
     first = settle(some.groupBy("h", "body").agg(F.min(place).alias("first"), F.count("*").alias("_n")).where("_n > 1"))
     # joined on the bodies themselves: texts whose hashes collide stay apart
-    return (
-        some.join(first, ["h", "body"]).where(place != F.col("first")).select("_id", "_th", "no")
-    )
+    later = some.join(first, ["h", "body"]).where(place != F.col("first"))
+    same_text = (F.col("_id") == F.col("first._id")) & (F.col("_th") == F.col("first._th"))
+    begin = F.when(same_text, F.greatest(F.col("no"), F.col("first.no") + least_lines)).otherwise(F.col("no"))
+    return later.select("_id", "_th", begin.alias("begin"), (F.col("no") + least_lines - 1).alias("end"))
 
 
 def without_repeated_chunks(docs: DataFrame, least_lines: int = LEAST_LINES) -> DataFrame:
     """``docs`` with ``text`` without repeated chunks, and how much went.
 
-    New columns: ``lines_removed`` and ``chunks_removed``. Every row stays: a text that is
-    all repeats becomes empty, a null text stays null. A row that repeats both the id and
-    the text of another is that same document and keeps what it keeps. Other columns stay.
+    A chunk is a run of lines that are all in windows of ``repeated_chunks``; each of its
+    lines stands at an earlier place that stays. New columns: ``lines_removed`` and
+    ``chunks_removed``. Every row stays: a text that is all repeats becomes empty, a null
+    text stays null. A row that repeats both the id and the text of another is that same
+    document and keeps what it keeps. Other columns stay.
     """
-    gone = repeated_chunks(docs, least_lines).groupBy("_id", "_th").agg(F.collect_set("no").alias("_gone"))
+    gone = repeated_chunks(docs, least_lines).groupBy("_id", "_th").agg(
+        F.collect_set(F.struct("begin", "end")).alias("_gone")
+    )
     keyed = docs.withColumns(
         {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "_th": F.xxhash64("text")}
     )
 
-    def rest(chunks: Column) -> Column:
-        def of(kept: Column) -> Column:
-            return F.struct(
-                F.array_join(F.transform(kept, lambda i: F.get(chunks, i)["body"]), "\n").alias("text"),
-                F.aggregate(chunks, F.lit(0), lambda n, c: n + c["lines"]).alias("before"),
-                F.aggregate(kept, F.lit(0), lambda n, i: n + F.get(chunks, i)["lines"]).alias("after"),
-            )
-
-        every = F.sequence(F.lit(0), F.size(chunks) - 1)
-        return let(F.array_except(every, F.col("_gone")), of)
+    def rest(lines: Column, out: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(lines) - 1)
+        return F.struct(
+            F.array_join(F.transform(F.array_except(every, out), lambda i: F.get(lines, i)), "\n").alias("text"),
+            F.size(out).alias("lines"),
+            # a run begins at a line whose line before stays
+            F.size(F.array_except(out, F.transform(out, lambda i: i + 1))).alias("chunks"),
+        )
 
+    spans = F.transform(F.col("_gone"), lambda g: F.sequence(g["begin"], g["end"]))
+    out = F.array_distinct(F.flatten(spans))
+    cut_text = let(F.split("text", "\n"), lambda lines: let(out, lambda o: rest(lines, o)))
     joined = keyed.join(gone, ["_id", "_th"], "left")
-    cut = joined.withColumn("_rest", F.when(F.col("_gone").isNotNull(), let(line_chunks(F.col("text")), rest)))
+    cut = joined.withColumn("_rest", F.when(F.col("_gone").isNotNull(), cut_text))
     return cut.withColumns(
         {
             "text": F.coalesce(F.col("_rest.text"), F.col("text")),
-            "lines_removed": F.coalesce(F.col("_rest.before") - F.col("_rest.after"), F.lit(0)).cast("long"),
-            "chunks_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
+            "lines_removed": F.coalesce(F.col("_rest.lines"), F.lit(0)).cast("long"),
+            "chunks_removed": F.coalesce(F.col("_rest.chunks"), F.lit(0)).cast("long"),
         }
     ).drop("_id", "_th", "_gone", "_rest")

@@ -118,6 +118,24 @@ def test_repeated_chunks_stay_once(spark, make_docs):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+@pytest.mark.parametrize("size", [2, 3, 5])
+def test_short_shared_passages_go_whole(spark, make_docs, size):
+    shared = [[f"shared {k} line {j}" for j in range(size)] for k in range(40)]
+    first = [(k, "\n".join([f"a{k}", *p, f"b{k}"])) for k, p in enumerate(shared)]
+    later = [(100 + k, "\n".join([f"c{k}", f"d{k}", *p, f"e{k}"])) for k, p in enumerate(shared)]
+    got = {r.doc_id: r for r in linechunks.without_repeated_chunks(make_docs(*first, *later)).collect()}
+    assert all(got[k].text == text and got[k].lines_removed == 0 for k, text in first)
+    for k in range(40):
+        assert got[100 + k].text == f"c{k}\nd{k}\ne{k}"
+        assert (got[100 + k].lines_removed, got[100 + k].chunks_removed) == (size, 1)
+
+
+def test_lines_keep_their_first_place(spark, make_docs):
+    rows = [(1, "p\nA"), (2, "p\nA\nB"), (3, "A\nB"), (4, "same\n" * 6 + "end"), (5, "x\ny\nz\nx\ny"), (6, "A\nother"), (7, "\n\n\n")]
+    got = {r.doc_id: r.text for r in linechunks.without_repeated_chunks(make_docs(*rows)).collect()}
+    assert got == {1: "p\nA", 2: "B", 3: "", 4: "same\nsame\nend", 5: "x\ny\nz", 6: "A\nother", 7: "\n\n\n"}
+
+
 # --- near-duplicate texts -------------------------------------------------------
 
 
