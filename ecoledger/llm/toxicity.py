@@ -28,9 +28,13 @@ THRESHOLD = 0.7
 STEM_LETTERS = range(3, 9)
 # A stem is an insult if it stands in this share of toxic training documents at least
 # and there at least this many times as often (in logarithms) as it may in others: what
-# is seen in them and three more, which a few documents without it do not rule out.
+# is seen in them and three more, which a few documents without it do not rule out. A rarer
+# stem is one too if chance would hardly have put it into toxic documents so often: of all
+# the stems that are tried, fewer than CHANCE would pass.
 STEM_SHARE = 0.01
+STEM_LEAST = 3
 STEM_LOG_ODDS = 2.5
+CHANCE = 0.05
 
 # Closed word classes and a few offences known beforehand.
 INSULTS = "idiot moron stupid scum trash loser pathetic worthless disgusting clown imbécile trottel estúpido".split()
@@ -244,10 +248,9 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Mod
         return run
 
     # The sample is bounded, so these counts are too.
-    least = max(3.0, STEM_SHARE * bad)
     often = (
         train.where("toxic = 1").select("text").mapInPandas(count(None), "stem string, n long")
-        .groupBy("stem").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()
+        .groupBy("stem").agg(F.sum("n").alias("n")).where(F.col("n") >= STEM_LEAST).collect()
     )
     in_bad = {r["stem"]: r["n"] for r in often}
     in_good = {
@@ -258,7 +261,13 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Mod
     odds = {
         s: math.log((n + 0.5) / (bad + 1)) - math.log((in_good.get(s, 0) + 3) / (good + 3)) for s, n in in_bad.items()
     }
-    strong = {s: o for s, o in odds.items() if o >= STEM_LOG_ODDS}
+    least = max(STEM_LEAST, STEM_SHARE * bad)
+    share = bad / (bad + good)
+    strong = {
+        s: o for s, o in odds.items()
+        if o >= STEM_LOG_ODDS
+        and (in_bad[s] >= least or _by_chance(in_bad[s], in_good.get(s, 0), share) * len(odds) < CHANCE)
+    }
     # the shortest stem that is as telling as its longer forms stands for them, drawn out
     # to what nearly all its words have in common, be it a whole word
     short = {
@@ -267,6 +276,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Mod
         if not any(strong.get(s[:n], 0.0) >= min(o, 4.0) - 0.5 for n in STEM_LETTERS if n < len(s.rstrip("$")) + s.endswith("$"))
     }
     kept = {_drawn_out(s, in_bad): min(o, 5.0) / 2.5 for s, o in short.items()}
+    kept = _with_lost_forms(kept, strong)
     model = Model({**{w: 1.0 for w in known if w not in in_good}, **kept})
     return _fit(train, model)
 
@@ -279,6 +289,32 @@ def _drawn_out(stem: str, counts: dict[str, int]) -> str:
     return max(longer, key=lambda t: (t.endswith("$"), len(t), t))
 
 
+def _with_lost_forms(kept: dict[str, float], strong: dict[str, float]) -> dict[str, float]:
+    """``kept`` and every strong form that its stems do not match.
+
+    Beginnings of a kept stem are what that stem was drawn out from; they stay out.
+    """
+    out = dict(kept)
+    # beginnings first, the shortest before longer ones: they match the words that go on from them
+    for form in sorted(strong, key=lambda t: (t.endswith("$"), len(t), t)):
+        word = form.rstrip("$")
+        begun = any(word[:n] in out for n in range(STEM_LETTERS[0], len(word) + 1))
+        drawn = not form.endswith("$") and any(t.startswith(form) for t in kept)
+        if form not in out and not begun and not drawn:
+            out[form] = min(strong[form], 5.0) / 2.5
+    return out
+
+
+def _by_chance(toxic: int, clean: int, share: float) -> float:
+    """A bound on how likely ``toxic`` or more of the documents of a stem are toxic by chance (Chernoff)."""
+    n = toxic + clean
+    rate = toxic / n
+    if rate <= share:
+        return 1.0
+    apart = rate * math.log(rate / share) + (math.log((1 - rate) / (1 - share)) * (1 - rate) if clean else 0.0)
+    return math.exp(-n * apart)
+
+
 def _fit(train: DataFrame, model: Model) -> Model:
     """Ridge logistic regression of the label on the clause features of the sample."""
 

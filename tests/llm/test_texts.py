@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -236,3 +237,32 @@ def test_toxicity_is_learned_from_open_rows_alone(spark, make_docs):
     assert got[9000] == got[9001] < 0.5 and got[9002] < 0.5 and len(got) == len(rows)
     empty = toxicity.learn(docs, marks.limit(0))
     assert toxicity.score(docs.limit(0), empty).count() == 0 and "idiot$" in empty.stems
+
+
+def test_other_forms_of_a_drawn_out_insult_stay(spark, make_docs):
+    ids = [k for k in range(20_000) if zlib.crc32(str(k).encode()) % 3 != 1]
+    bad, good = ids[:600], ids[600:2600]
+    forms = ["zorglux"] * 552 + ["zorgluxes"] * 28 + ["zorgluxian"] * 20
+    docs = make_docs(
+        *[(k, f"you {form} number n{k}") for k, form in zip(bad, forms)],
+        *[(k, f"we saw m{k} in town") for k in good],
+    )
+    marks = spark.createDataFrame([(k, 1) for k in bad] + [(k, 0) for k in good], "doc_id long, toxic int")
+    matcher = toxicity.Matcher(toxicity.learn(docs, marks))
+    for form in set(forms):
+        assert matcher.score(matcher.features(f"you {form}!")) >= toxicity.THRESHOLD
+    assert matcher.features("we saw zorgish in town")[0] == 0
+
+
+def test_rare_insults_are_learned_from_large_tables(spark, make_docs):
+    ids = [k for k in range(20_000) if zlib.crc32(str(k).encode()) % 3 != 1]
+    bad, good = ids[:1200], ids[1200:7200]
+    # 10 of 1,200 toxic rows have a rare slur; one more word stands in 3 rows by chance
+    said = ["blorfik"] * 10 + ["waddenzee idiot"] * 3 + ["idiot"] * 1187
+    docs = make_docs(
+        *[(k, f"you {word} n{k}") for k, word in zip(bad, said)], *[(k, f"we saw m{k} in town") for k in good]
+    )
+    marks = spark.createDataFrame([(k, 1) for k in bad] + [(k, 0) for k in good], "doc_id long, toxic int")
+    matcher = toxicity.Matcher(toxicity.learn(docs, marks))
+    assert matcher.score(matcher.features("you blorfik!")) >= toxicity.THRESHOLD
+    assert matcher.features("on the waddenzee")[0] == 0
