@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ecoledger.llm import icws, linechunks, mixing, packing, toxicity
 from ecoledger.llm.common import read, word_count
 from ecoledger.llm.queries import vocabulary
-from ecoledger.session import broadcast_if_small, scratch_path, settle
+from ecoledger.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,9 +30,7 @@ def drop_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicate texts, the one of the smallest id."""
-    groups = icws.near_texts(docs)
-    gone = settle(groups.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct())
-    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
+    return icws.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

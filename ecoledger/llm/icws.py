@@ -231,6 +231,14 @@ def _across(rows: DataFrame, turn: int) -> DataFrame:
     return rows.join(buckets, ["band", "h"])
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the key of a row: its id, with a number for null, and both hashes of its text."""
+    return docs.withColumns({
+        "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)),
+        "t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(1), "text"),
+    })
+
+
 def near_texts(
     docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -247,11 +255,47 @@ def near_texts(
     that merges groups, leaders of the groups left over follow, and at last all pairs of a
     bucket that are not yet in one group are verified, so no pair is passed over.
     """
-    spark = docs.sparkSession
-    keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("_id"),
-        F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text",
+    shown = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
+    return _row_groups(docs, least, bands, rows).select(
+        shown("_id").alias("doc_id"), shown("component").alias("component_id"),
+        (F.col("component") == F.col("_id")).alias("kept"),
+    )
+
+
+def one_of_each(
+    docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
+    """``docs`` with one row of each group of ``near_texts``; rows without words all stay.
+
+    It is the row of the smallest id (null first), then of the smallest text hashes; rows
+    are told apart by id and text, so an id that repeats with other texts loses none of
+    them. Of rows that repeat both, one stays.
+    """
+    names = docs.columns
+    found = settle(
+        _row_groups(docs.select("doc_id", "text"), least, bands, rows).where(F.col("group").isNotNull())
+        .groupBy("group", "_id", "t1", "t2").agg(F.count("*").alias("_n"))
     )
+    key = F.struct("_id", "t1", "t2")
+    best = found.groupBy("group").agg(F.min(key).alias("best"))
+    told = found.join(best, "group").select("_id", "t1", "t2", "_n", (key == F.col("best")).alias("_best"))
+    gone = settle(told.where(~F.col("_best") | (F.col("_n") > 1)))
+    tagged = docs.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(names)], "doc_id", "text")
+    keyed = _keyed(tagged)
+    # kept rows that stand more than once are few; only those are dealt by their key
+    again = broadcast_if_small(gone.where("_best").select("_id", "t1", "t2"))
+    single = keyed.join(broadcast_if_small(gone.select("_id", "t1", "t2")), ["_id", "t1", "t2"], "left_anti")
+    once = keyed.join(again, ["_id", "t1", "t2"], "left_semi").dropDuplicates(["_id", "t1", "t2"])
+    return single.unionByName(once).select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(names)])
+
+
+def _row_groups(docs: DataFrame, least: float, bands: int, rows: int) -> DataFrame:
+    """(_id, t1, t2, component, group) for every row; ``group`` is null for a text without words.
+
+    Groups that share the smallest id have one component, but never one ``group``.
+    """
+    spark = docs.sparkSession
+    keyed = _keyed(docs.select("doc_id", "text")).select("_id", "t1", "t2", "text")
     # a fixed number of slots, whatever the corpus
     idf = spark.sparkContext.broadcast(idf_table(*document_frequencies(docs)))
     classes = _text_classes(keyed, idf, bands, rows)
@@ -303,13 +347,10 @@ def near_texts(
             break
     # those that cannot link are missing here and stand for themselves below
     smallest = groups.join(classes, "key").groupBy("group").agg(F.min("rep").alias("smallest"))
-    named = groups.join(smallest, "group").select("key", "smallest")
-    known = classes.join(named, "key", "left").select("t1", "t2", F.coalesce("smallest", "rep").alias("component"))
-    result = keyed.select("_id", "t1", "t2").join(known, ["t1", "t2"], "left").withColumn(
-        "component", F.coalesce("component", "_id")
+    named = groups.join(smallest, "group").select("key", "smallest", "group")
+    known = classes.join(named, "key", "left").select(
+        "t1", "t2", F.coalesce("smallest", "rep").alias("component"), F.coalesce("group", "key").alias("group")
     )
-    shown = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
-    return result.select(
-        shown("_id").alias("doc_id"), shown("component").alias("component_id"),
-        (F.col("component") == F.col("_id")).alias("kept"),
+    return keyed.select("_id", "t1", "t2").join(known, ["t1", "t2"], "left").withColumn(
+        "component", F.coalesce("component", "_id")
     )

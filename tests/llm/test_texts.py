@@ -266,3 +266,16 @@ def test_rare_insults_are_learned_from_large_tables(spark, make_docs):
     matcher = toxicity.Matcher(toxicity.learn(docs, marks))
     assert matcher.score(matcher.features("you blorfik!")) >= toxicity.THRESHOLD
     assert matcher.features("on the waddenzee")[0] == 0
+
+
+def test_one_row_of_each_group_stays_whatever_ids_repeat(spark, make_docs):
+    a, b, c, near = (" ".join(words(k, 60)) for k in (51, 52, 53, 53))
+    near += " more"
+    rows = [(5, a), (9, a), (2, b), (5, b), (None, c), (None, c), (None, near), (7, near), (8, None), (8, None), (11, "")]
+    docs = make_docs(*rows, t1="1", no="2")
+    got = icws.one_of_each(docs)
+    assert got.columns == docs.columns
+    out = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    alike = [r for r in out if r[1] in (c, near)]
+    assert sorted((r for r in out if r not in alike), key=str) == sorted([(5, a), (2, b), (8, None), (8, None), (11, "")], key=str)
+    assert len(alike) == 1 and alike[0][0] is None
