@@ -3,7 +3,7 @@
 Vectors of one label are dealt into shards of bounded size; each shard becomes a layered
 neighbour graph, and every shard of a label is searched for the neighbours of all vectors
 of that label. Beams widen for a vector whose beam is full of neighbours, and for a whole
-shard until an audit against brute force finds every link. Found pairs are verified by
+shard, or pair of shards, until an audit against brute force finds every link it has seen. Found pairs are verified by
 cosine in double precision, and components are the union of verified links.
 """
 
@@ -26,7 +26,11 @@ SHARD_ROWS = 16_384
 DEGREE = 12
 BUILD_BEAM = 40
 QUERY_BEAM = 32
-AUDITED = 48
+# an audit goes on until it has seen so many true links, a row counting as a few at most
+AUDITED_LINKS = 1_000
+LINKS_A_ROW = 8
+# single precision of beams: they search a little below the threshold
+ROUNDING = 1e-4
 # how far below the threshold a widened beam still goes on from a row
 SLACK = 0.1
 MOST_TASKS = 20_000
@@ -159,16 +163,21 @@ class Graph:
         """Blocks of (query row, graph row) with similarity of ``least`` or more.
 
         A beam that is full of such rows widens until no row near enough is left unvisited.
+        At a width of the whole graph all rows are compared.
         """
         base, n = self.layers[-1], len(self.x)
-        width = min(width, n)
+        if width >= n:
+            for k in range(0, len(q), _BATCH):
+                r, c = np.nonzero(q[k : k + _BATCH] @ self.x.T >= least)
+                yield r + k, c
+            return
         step = max(16, min(_BATCH, 8_000_000 // n))
         for k in range(0, len(q), step):
             rows = np.arange(k, min(len(q), k + step))
             entry = self._base_entry(q[rows]) if start is None else start[rows, None]
             ids, sims = self._beam(base, q[rows], entry, width, n)
             near = sims >= least
-            full = near.all(axis=1) & (width < n)
+            full = near.all(axis=1)
             r, c = np.nonzero(near & ~full[:, None])
             yield rows[r], ids[r, c]
             if full.any():
@@ -204,29 +213,52 @@ class Graph:
             at = np.take_along_axis(found, sims.argmax(axis=1)[:, None], axis=1)
         return at
 
-    def width_that_finds_all(self, least: float, own: bool = False) -> int:
-        """A beam width at which an audit of some rows against brute force misses no link.
+    def width_that_finds_all(self, least: float, own: bool = False, q: np.ndarray | None = None) -> int:
+        """A beam width at which an audit against brute force misses no link.
 
-        Searches start at the top of the graph, or with ``own`` at the row itself.
+        Queries are ``q``, or else the rows themselves, whose likeness to themselves is no
+        link; searches start at the top of the graph, or with ``own`` at the row itself.
+        They are drawn in blocks until enough true links are seen; where links are rare that
+        is all of them. The width of the whole graph, which compares all rows, is the last.
         """
         n = len(self.x)
-        rows = np.unique(np.linspace(0, n - 1, min(AUDITED, n)).astype(int))
-        truth = self.x[rows] @ self.x.T >= least
+        rows, row, col = self._true_links(self.x if q is None else q, least, q is None)
+        asked = (self.x if q is None else q)[rows]
+        truth = row * n + col
         width = QUERY_BEAM
-        while width < n:
-            got = np.zeros_like(truth)
-            for r, c in self.neighbours(self.x[rows], rows if own else None, least, width):
-                got[r, c] = True
-            if not (truth & ~got).any():
+        while width < n and len(rows):
+            got = [r * n + c for r, c in self.neighbours(asked, rows if own else None, least - ROUNDING, width)]
+            if np.isin(truth, np.concatenate(got)).all():
                 break
             width *= 2
         return width
 
+    def _true_links(self, q: np.ndarray, least: float, to_self: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(queries with links, place of the query among them, row) of the links of an audit."""
+        order = np.random.default_rng(len(q)).permutation(len(q))
+        rows, links, at, seen = [np.zeros(0, np.int64)], [np.zeros((2, 0), np.int64)], 0, 0
+        known = 0
+        while at < len(order) and seen < AUDITED_LINKS:
+            block = order[at : at + (_BATCH if at else 64)]
+            near = q[block] @ self.x.T >= least
+            if to_self:
+                near[np.arange(len(block)), block] = False
+            counts = near.sum(axis=1)
+            near = near[counts > 0]
+            r, c = np.nonzero(near)
+            rows.append(block[counts > 0])
+            links.append(np.stack([r + known, c]))
+            known += len(near)
+            seen += int(np.minimum(counts, LINKS_A_ROW).sum())
+            at += len(block)
+        row, col = np.concatenate(links, axis=1)
+        return np.concatenate(rows), row, col
+
 
 def _graph_rows(shards: DataFrame, least: float) -> DataFrame:
-    """Packed shards with their graphs: layers as bytes, and the audited beam width."""
+    """Packed shards with their graphs: layers as bytes, and the audited beam width for their own rows."""
     schema = shards.schema.simpleString()[len("struct<") : -1].replace(":", " ") + (
-        ", sizes array<int>, layers binary, row_order binary, width int, own_width int"
+        ", sizes array<int>, layers binary, row_order binary, own_width int"
     )
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
@@ -237,7 +269,7 @@ def _graph_rows(shards: DataFrame, least: float) -> DataFrame:
             sizes=[[len(a) for a in graph.layers]],
             layers=[b"".join(a.tobytes() for a in graph.layers)],
             row_order=[graph.order.astype(np.int64).tobytes()],
-            width=graph.width_that_finds_all(least), own_width=graph.width_that_finds_all(least, own=True),
+            own_width=graph.width_that_finds_all(least, own=True),
         )
 
     return shards.groupBy("label", "dim", "shard").applyInPandas(build, schema)
@@ -269,8 +301,9 @@ def _search(graphs: DataFrame, least: float) -> DataFrame:
             start = np.empty(len(ids), np.int64)
             start[graph.order] = np.arange(len(ids))
         # beams run in single precision: a little slack, then the exact cosine decides
-        width = int(row["own_width"] if own else row["width"])
-        for r, c in graph.neighbours(q.astype(np.float32), start, least - 1e-4, width):
+        single = q.astype(np.float32)
+        width = int(row["own_width"]) if own else graph.width_that_finds_all(least, q=single)
+        for r, c in graph.neighbours(single, start, least - ROUNDING, width):
             c = graph.order[c]
             sure = np.einsum("ij,ij->i", q[r], x[c]) >= least
             a, b = q_ids[r[sure]], ids[c[sure]]

@@ -126,3 +126,22 @@ def test_few_or_no_candidates(spark):
     df = spark.createDataFrame(rows_of(np.eye(3, 8) + 1, range(3), [1] * 3), SCHEMA)
     assert multiprobe.nearest(df, df, 20).count() == 6
     assert multiprobe.nearest(df.limit(0), df, 20).count() == 0 == multiprobe.nearest(df, df.limit(0), 20).count()
+
+
+def test_audit_sees_rare_links_that_the_graph_misses():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(1500, 32))
+    x[1400] = x[17] + 0.02 * rng.normal(size=32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = hnsw.Graph.build(x)
+    a, b = (int(np.flatnonzero(graph.order == k)[0]) for k in (17, 1400))
+    # a graph that leads to neither of the two: only comparing all rows finds their link
+    for links in graph.layers:
+        links[np.isin(links, [a, b])] = -1
+    for q, own in ((None, True), (None, False), (x[[17, 3, 5]].astype(np.float32), False)):
+        width = graph.width_that_finds_all(0.93, own=own, q=q)
+        asked = graph.x if q is None else q
+        start = np.arange(len(asked)) if own else None
+        found = {(int(r), int(c)) for block in graph.neighbours(asked, start, 0.93, width) for r, c in zip(*block)}
+        assert {(a, b), (b, a)} <= found if q is None else {(0, a), (0, b)} <= found
+    assert hnsw.Graph.build(x[:900]).width_that_finds_all(0.93, own=True) == hnsw.QUERY_BEAM
