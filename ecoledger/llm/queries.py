@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ecoledger.llm import (
-    hnsw, icws, linechunks, mixing, multiprobe, packing, resharding, substrings, tokenfiles, toxicity,
+    fillmiddle, hnsw, icws, licences, linechunks, mixing, multiprobe, packing, resharding, spelling, substrings,
+    tokenfiles, toxicity,
 )
 from ecoledger.llm.common import read, word_count
 from ecoledger.session import scratch_path
@@ -105,10 +106,30 @@ def op10_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiprobe.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op11_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document by the positional index of rare words."""
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of the documents with the form it is a variant of."""
+    return spelling.variants(spelling.word_counts(read(spark, sf_dir, "documents")))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at lines and reordered, with digests of the output and of the text rebuilt from it."""
+    cut = fillmiddle.transform(read(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fillmiddle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries of this subpackage by name."""
     found = (
         op1_pareto_mix, op2_toxicity, op3_repeated_passages, op4_near_vectors, op5_line_chunks, op6_minhash_groups,
-        op7_token_files, op8_packed_sequences, op9_flow_shards, op10_multiprobe,
+        op7_token_files, op8_packed_sequences, op9_flow_shards, op10_multiprobe, op11_licence_scan,
+        op12_spelling_variants, op13_fill_middle,
     )
     return {f.__name__: f for f in found}
