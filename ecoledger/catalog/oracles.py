@@ -103,12 +103,12 @@ pieces AS (SELECT code, x0 + (x1 - x0) * (t0 + t1) / 2 AS mx, y0 + (y1 - y0) * (
   sgn * (y1 - y0) * (t1 - t0) AS dy FROM runs JOIN lines USING (eid) WHERE t1 IS NOT NULL),
 touched AS (SELECT code, CAST(floor(mx) AS BIGINT) AS cx, CAST(floor(my) AS BIGINT) AS cy,
   sum((mx - floor(mx)) * dy) AS part, sum(dy) AS cov, sum(abs(dy)) AS size FROM pieces GROUP BY ALL),
-swept AS (SELECT code, cx, cy, part,
+swept AS (SELECT code, cx, cy, part, size AS own,
   coalesce(sum(cov) OVER (PARTITION BY code, cy ORDER BY cx DESC
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rc,
   sum(size) OVER (PARTITION BY code, cy ORDER BY cx DESC ROWS UNBOUNDED PRECEDING) AS size,
   lag(cx) OVER (PARTITION BY code, cy ORDER BY cx DESC) AS upper FROM touched),
-parts AS (SELECT code, cx, cy, part + rc AS share, size FROM swept
+parts AS (SELECT code, cx, cy, part + CASE WHEN abs(rc) > 1e-12 * size THEN rc ELSE 0 END AS share, own AS size FROM swept
   UNION ALL SELECT code, unnest(generate_series(cx + 1, upper - 1)), cy, rc, size FROM swept WHERE upper - cx > 1),
 shares AS (SELECT code, cx, cy, CASE WHEN share < 1e-6 THEN share ELSE round(share, 9) END AS share
   FROM parts WHERE share > 1e-12 * size),

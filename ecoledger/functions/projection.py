@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +44,17 @@ def project_points(points: Column) -> Column:
     )
 
 
+def project_lonlat(lon: np.ndarray, lat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Eastings and northings of arrays of degrees; the same rule for work on batches."""
+    beyond = np.abs(lat) > 90.0
+    if beyond.any():
+        raise ValueError(f"latitude beyond the poles, the map is not in degrees: {lat[beyond][0]}")
+    s = np.sin(np.radians(lat))
+    es = s * _E
+    curved = s / (1.0 - es * es) - np.log((1.0 - es) / (1.0 + es)) / (2.0 * _E)
+    return np.radians(lon) * SEMI_MAJOR, (SEMI_MAJOR / 2.0 * (1.0 - _E2)) * curved
+
+
 def rotated(ring: Column) -> Column:
     """The ring started at its second point: element i is the successor of point i."""
     return F.concat(

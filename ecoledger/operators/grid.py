@@ -25,6 +25,9 @@ _ZERO = 1e-12
 SHARE_DIGITS = 9
 _UNROUNDED_BELOW = 1e-6
 _SHARE_BINS = 1024
+_BINS_PER_OCTAVE = 64
+# Cells of a bin that are settled by their distinct shares without another round.
+SMALL_BIN = 4096
 
 
 def _row_pieces(edge_rows: DataFrame, size: float, origin: tuple[float, float]) -> DataFrame:
@@ -87,28 +90,37 @@ def cell_shares(
         .groupBy("code", "grid_row", "grid_col")
         .agg(F.sum("cov").alias("cov"), F.sum("part").alias("part"), F.sum(F.abs("cov")).alias("_size"))
     )
+    return shares_of_sums(sums)
+
+
+def shares_of_sums(sums: DataFrame) -> DataFrame:
+    """Shares as ``cell_shares`` gives them from (code, grid_row, grid_col, cov, part, _size), one row a cell."""
     # numbers first: they settle the sort before codes have to be compared
     leftwards = Window.partitionBy("grid_row", "code").orderBy(F.desc("grid_col"))
     carried = sums.select(
         "code", "grid_row", "grid_col", "part",
         F.sum("cov").over(leftwards.rowsBetween(Window.unboundedPreceding, 0)).alias("_after"),
         F.sum("_size").over(leftwards.rowsBetween(Window.unboundedPreceding, 0)).alias("_size"),
-        F.col("cov"),
+        F.col("cov"), F.col("_size").alias("_own_size"),
         F.lead("grid_col").over(leftwards).alias("_next"),
     )
     gap = F.col("_next").isNotNull() & (F.abs("_after") > F.col("_size") * _ZERO)
     start = F.when(gap, F.col("_next") + 1).otherwise(F.col("grid_col"))
     filled = carried.select(
-        "code", "grid_row", "part", "cov", "_after", "_size", F.col("grid_col").alias("_own"),
+        "code", "grid_row", "part", "cov", "_after", "_size", "_own_size", F.col("grid_col").alias("_own"),
         F.explode(F.sequence(start, F.col("grid_col"))).alias("grid_col"),
     )
-    exact = F.when(
-        F.col("grid_col") == F.col("_own"), F.col("part") + F.col("_after") - F.col("cov")
-    ).otherwise(F.col("_after"))
+    # what is carried over from the east is nothing if it is within its own rounding; a cell
+    # with boundary of its own then counts by that boundary alone, whatever lies east of it
+    carry = F.col("_after") - F.col("cov")
+    settled_carry = F.when(F.abs(carry) > F.col("_size") * _ZERO, carry).otherwise(0.0)
+    own = F.col("grid_col") == F.col("_own")
+    exact = F.when(own, F.col("part") + settled_carry).otherwise(F.col("_after"))
+    least = F.when(own, F.col("_own_size")).otherwise(F.col("_size")) * _ZERO
     share = F.when(F.col("_exact") < _UNROUNDED_BELOW, F.col("_exact")).otherwise(F.round("_exact", SHARE_DIGITS))
     return (
-        filled.select("code", "grid_col", "grid_row", "_size", exact.alias("_exact"))
-        .where(F.col("_exact") > F.col("_size") * _ZERO)
+        filled.select("code", "grid_col", "grid_row", exact.alias("_exact"), least.alias("_least"))
+        .where(F.col("_exact") > F.col("_least"))
         .select("code", "grid_col", "grid_row", share.alias("_share"))
         .select(
             "code", "grid_col", "grid_row",
@@ -121,10 +133,11 @@ def cell_shares(
 def _slots(cells: DataFrame) -> DataFrame:
     """Tag cells with a slot whose order agrees with (frac, grid_row, grid_col).
 
-    Slots are bins of the share; full cells, which may be most of a class, are
-    split further by grid row.
+    Slots are bins of the share, below the first bin by its logarithm, so that slivers do
+    not share one; full cells, which may be most of a class, are split further by grid row.
     """
-    share_bin = F.floor(F.col("frac") * _SHARE_BINS)
+    by_size = F.floor(F.log2("frac") * _BINS_PER_OCTAVE)
+    share_bin = F.when(F.col("frac") * _SHARE_BINS >= 1.0, F.floor(F.col("frac") * _SHARE_BINS)).otherwise(by_size)
     return cells.withColumn("_bin", share_bin).withColumn(
         "_line", F.when(F.col("frac") == 1.0, F.col("grid_row")).otherwise(F.lit(0).cast("bigint"))
     )
@@ -135,7 +148,7 @@ def cumulative_shares(cells: DataFrame) -> DataFrame:
 
     Adds cum_area, cum_prop and total_area. A running sum per class would put a
     dominant class into one task; instead cells are summed inside slots, slot
-    totals (about a thousand per class, plus one per grid row) are summed per
+    totals (some thousands per class, plus one per grid row) are summed per
     class, and the two are added. Every running sum uses a ROWS frame: tied
     cells must be added one by one.
     """
@@ -163,21 +176,79 @@ def cumulative_shares(cells: DataFrame) -> DataFrame:
     )
 
 
+def _crossing(bins: DataFrame, tail: float) -> DataFrame:
+    """The first bin of each class whose running area passes the tail, and what lies below it.
+
+    ``bins`` has a row per class and bin: code, b, n, area, low, high, with the class's
+    ``below_n``, ``below_area`` and ``total`` so far. A class that never passes has no row.
+    """
+    order = Window.partitionBy("code").orderBy("b")
+    running = bins.withColumns(
+        {
+            "upto": F.col("below_area") + F.sum("area").over(order.rowsBetween(Window.unboundedPreceding, 0)),
+            "before": F.coalesce(F.sum("area").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)),
+            "count": F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        }
+    ).where(F.col("upto") / F.col("total") > tail)
+    first = F.min_by(F.struct(*running.columns), "b").alias("f")
+    return running.groupBy("code").agg(first).select(
+        "code", "f.low", "f.high", "f.n", "f.total",
+        (F.col("f.below_n") + F.col("f.count")).alias("below_n"),
+        (F.col("f.below_area") + F.col("f.before")).alias("below_area"),
+    )
+
+
+def tail_counts(cells: DataFrame, tail: float = TAIL_SHARE, small: int = SMALL_BIN) -> DataFrame:
+    """(code, n_cells, area, overlap_cells, tail_cells) per class, by weighted selection.
+
+    ``tail_cells`` counts the smallest cells that together stay within the share ``tail`` of
+    the class's area. Nothing is sorted but sums: a histogram of areas by the logarithm of
+    the share finds the bin that the line falls into, which is binned anew between its own
+    limits until it holds ``small`` cells at most or cells of one size; the last bin is
+    settled by its distinct shares, cells of one size by division. Each round reads only
+    the bin of the round before, and a dominant class is a row a bin and task.
+    """
+    stored = settle(cells.select("code", "frac", "overlap"))
+    size = F.floor(F.log2("frac") * _BINS_PER_OCTAVE)
+    per_bin = (F.count("*").alias("n"), F.sum("frac").alias("area"), F.min("frac").alias("low"), F.max("frac").alias("high"))
+    first = settle(
+        stored.withColumn("b", size).groupBy("code", "b").agg(*per_bin, F.count_if("overlap").alias("overlaps"))
+    )
+    totals = first.groupBy("code").agg(
+        F.sum("n").alias("n_cells"), F.sum("area").alias("area"), F.sum("overlaps").alias("overlap_cells")
+    )
+    of_class = Window.partitionBy("code")
+    start = {"total": F.sum("area").over(of_class), "below_n": F.lit(0).cast("long"), "below_area": F.lit(0.0)}
+    line = settle(_crossing(first.withColumns(start), tail))
+    known = ["total", "below_n", "below_area"]
+    while True:
+        inside = stored.join(
+            broadcast_if_small(line.select("code", F.col("low").alias("_low"), F.col("high").alias("_high"), *known)), "code"
+        ).where("frac between _low and _high")
+        if line.where((F.col("n") > small) & (F.col("low") < F.col("high"))).isEmpty():
+            break
+        stored = settle(inside.select("code", "frac", "overlap"))
+        place = (F.col("frac") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+        finer = F.when(F.col("_low") < F.col("_high"), F.floor(place * _SHARE_BINS)).otherwise(0)
+        line = settle(_crossing(inside.withColumn("b", finer).groupBy("code", "b", *known).agg(*per_bin), tail))
+    values = inside.groupBy("code", F.col("frac").alias("b"), *known).agg(*per_bin)
+    last = _crossing(values, tail)
+    # cells of the size at the line that still fit below it; each adds its share
+    room = F.floor((F.col("total") * tail - F.col("below_area")) / F.col("low") + 1e-9)
+    fits = F.greatest(F.lit(0), F.least(F.col("n") - 1, room)).cast("long")
+    return totals.join(last.select("code", (F.col("below_n") + fits).alias("tail_cells")), "code", "left")
+
+
 def occupancy(cells: DataFrame, tail: float = TAIL_SHARE, size: float = CELL_METRES) -> DataFrame:
     """Area of occupancy per class: (code, aoo_cells, n_cells, area_km2, overlap_cells).
 
-    Counts the cells whose cumulative share is strictly above ``tail``.
+    Counts the cells whose cumulative share is strictly above ``tail``. Runs the jobs of
+    ``tail_counts``.
     """
     km2 = (size / 1000.0) ** 2
-    return (
-        cumulative_shares(cells)
-        .groupBy("code")
-        .agg(
-            F.count_if(F.col("cum_prop") > tail).alias("aoo_cells"),
-            F.count("*").alias("n_cells"),
-            (F.sum("frac") * km2).alias("area_km2"),
-            F.count_if("overlap").alias("overlap_cells"),
-        )
+    return tail_counts(cells, tail).select(
+        "code", (F.col("n_cells") - F.coalesce("tail_cells", "n_cells")).alias("aoo_cells"), "n_cells",
+        (F.col("area") * km2).alias("area_km2"), "overlap_cells",
     )
 
 

@@ -1,8 +1,9 @@
 """Extent of occurrence: convex hull in lon/lat, area on the equal-area plane.
 
 The hull of a union is the hull of all outer points, so hulls merge like sums:
-each task reduces its own points, salted groups merge those, and one last merge
-per class sees only a fixed number of hulls, never the class's points.
+each task reduces its own points, and the hulls of tasks merge as a tree whose
+levels grow with their number. No merge sees more than a fixed number of hulls,
+none the class's points.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ecoledger.functions.projection import project_points, rotated, twice_signed_area
+from ecoledger.session import settle
 
-SALTS = 32
+# Hulls that one merge sees at most.
+MERGE_WIDTH = 64
 ROWS_PER_FOLD = 200_000
 
 _COMPASS = np.array(
@@ -93,20 +96,20 @@ def _task_hulls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if waiting:
         _absorb(held, waiting)
     context = TaskContext.get()
-    salt = (context.partitionId() if context else 0) % SALTS
+    task = context.partitionId() if context else 0
     for code, points in held.items():
         yield pa.RecordBatch.from_pydict(
             {
                 "code": pa.array([code] * len(points), pa.string()),
-                "salt": pa.array([salt] * len(points), pa.int32()),
+                "task": pa.array([task] * len(points), pa.int64()),
                 "lon": points[:, 0], "lat": points[:, 1],
             }
         )
 
 
-def _merge_salted(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _merge_some(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     corners = hull_points(rows[["lon", "lat"]].to_numpy())
-    return pd.DataFrame({"code": key[0], "lon": corners[:, 0], "lat": corners[:, 1]})
+    return pd.DataFrame({"code": key[0], "task": key[1], "lon": corners[:, 0], "lat": corners[:, 1]})
 
 
 def _merge_class(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -115,18 +118,42 @@ def _merge_class(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"code": [key[0]], "hull": [ring]})
 
 
-def hulls(points: DataFrame) -> DataFrame:
-    """(code, hull ARRAY<STRUCT<lon,lat>>) of points (code, lon, lat)."""
-    known = points.select("code", "lon", "lat").dropna()
-    local = known.mapInArrow(_task_hulls, "code string, salt int, lon double, lat double")
-    salted = local.groupBy("code", "salt").applyInPandas(
-        _merge_salted, "code string, lon double, lat double"
-    )
-    return salted.groupBy("code").applyInPandas(
+def merge_levels(tasks: int, width: int = MERGE_WIDTH) -> int:
+    """Rounds of merging before the last one, so that no group sees more than ``width`` hulls."""
+    levels = 0
+    while tasks > width:
+        tasks, levels = -(-tasks // width), levels + 1
+    return levels
+
+
+def merge_hulls(corners: DataFrame, tasks: int, width: int = MERGE_WIDTH) -> DataFrame:
+    """(code, hull ARRAY<STRUCT<lon,lat>>) of partial hulls: corners (code, task, lon, lat).
+
+    ``tasks`` are numbered from 0 below the given number and hold one hull of a class each.
+    They merge as a tree: each level puts ``width`` neighbours together, so the levels grow
+    with the logarithm of the tasks and the last group of a class is as small as the others.
+    """
+    for _ in range(merge_levels(tasks, width)):
+        nearby = F.floor(F.col("task") / width).cast("long").alias("task")
+        corners = corners.groupBy("code", nearby).applyInPandas(
+            _merge_some, "code string, task long, lon double, lat double"
+        )
+    return corners.groupBy("code").applyInPandas(
         _merge_class, "code string, hull array<struct<lon:double,lat:double>>"
     )
 
 
+def hulls(points: DataFrame) -> DataFrame:
+    """(code, hull ARRAY<STRUCT<lon,lat>>) of points (code, lon, lat).
+
+    Runs the job that reduces the points of each task to hulls, which are settled: the
+    number of tasks decides how many levels the merge has.
+    """
+    known = points.select("code", "lon", "lat").dropna()
+    local = settle(known.mapInArrow(_task_hulls, "code string, task long, lon double, lat double"))
+    return merge_hulls(local, local.rdd.getNumPartitions())
+
+
 def hull_area_km2(hull: Column) -> Column:
     """Planar area of a lon/lat hull after projecting its corners."""
     corners = project_points(hull)
@@ -135,7 +162,12 @@ def hull_area_km2(hull: Column) -> Column:
 
 def extent(points: DataFrame) -> DataFrame:
     """(code, eoo_km2, n_corners, hull); fewer than three corners give 0 km2."""
-    return hulls(points).select(
+    return extent_of_hulls(hulls(points))
+
+
+def extent_of_hulls(merged: DataFrame) -> DataFrame:
+    """The extents of ``extent`` from one hull per class."""
+    return merged.select(
         "code",
         F.when(F.size("hull") < 3, F.lit(0.0)).otherwise(hull_area_km2(F.col("hull"))).alias("eoo_km2"),
         F.size("hull").alias("n_corners"),

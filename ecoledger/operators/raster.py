@@ -7,7 +7,11 @@ has some 10^10 pixels but far fewer spans.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: default pixel size in metres.
@@ -68,8 +72,11 @@ def feature_spans(edge_rows: DataFrame, resolution: float = PIXEL_METRES) -> Dat
 def raster_spans(edge_rows: DataFrame, resolution: float = PIXEL_METRES) -> DataFrame:
     """Disjoint spans (code, row, block, c0, c1); on overlaps the later feature wins.
 
-    Spans that meet no other, which is all of them on a map that tiles, stay as
-    they are. The rest are settled between the ends of spans and joined up again.
+    The spans of a pixel row fall into islands at the gaps between them: a span begins an
+    island if it begins beyond the running maximum of ends. A span alone on its island, as
+    all are on a map that tiles, stays as it is, untouched by what follows. The others are
+    swept in source order on a canvas of one block, so a task never holds more than the
+    batch it reads and 1,024 columns, however many features cover one place.
     """
     # copies of one shape collapse on the map side; what is left per block is at
     # most one span per class and pair of columns
@@ -78,43 +85,67 @@ def raster_spans(edge_rows: DataFrame, resolution: float = PIXEL_METRES) -> Data
         .groupBy("row", "block", "c0", "c1", "code")
         .agg(F.max("src_ordinal").alias("src_ordinal"))
     )
-    place = Window.partitionBy("row", "block").orderBy("c0", "c1", "code")
+    place = Window.partitionBy("row", "block").orderBy("c0", "c1")
     reached = F.max("c1").over(place.rowsBetween(Window.unboundedPreceding, -1))
-    marked = spans.withColumn("_clear", F.coalesce(F.col("c0") > reached, F.lit(True))).withColumn(
-        "_alone", F.col("_clear") & F.coalesce(F.lead("_clear").over(place), F.lit(True))
-    )
-    # spans that meet are cut where any of them begins or ends: a block has no more cuts
-    # than columns, and no more pieces of a span than ends of others within it
-    block = Window.partitionBy("row", "block")
-    ends = F.array_union(
-        F.collect_set(F.when(~F.col("_alone"), F.col("c0"))).over(block),
-        F.collect_set(F.when(~F.col("_alone"), F.col("c1") + 1)).over(block),
-    )
-
-    def pieces_of(cuts: Column) -> Column:
-        pairs = F.transform(cuts, lambda a, k: F.struct(a.alias("a"), (F.get(cuts, k + 1) - 1).alias("b")))
-        return F.filter(pairs, lambda p: (p["a"] >= F.col("c0")) & (p["a"] <= F.col("c1")))
-
-    whole = F.array(F.struct(F.col("c0").alias("a"), F.col("c1").alias("b")))
-    pieces = marked.withColumn("_cuts", F.array_sort(ends)).select(
-        "row", "block", "_alone", F.struct("src_ordinal", "code").alias("_latest"),
-        F.inline(F.when(F.col("_alone"), whole).otherwise(pieces_of(F.col("_cuts")))),
-    )
-    settled = pieces.groupBy("row", "block", "_alone", "a", "b").agg(F.max("_latest").alias("_latest")).select(
-        "row", "block", "_alone", "a", "b", "_latest.code"
-    )
-    along = Window.partitionBy("row", "block").orderBy("a")
-    begins = (
-        F.col("_alone") | F.lag("_alone", 1, True).over(along)
-        | (F.col("code") != F.lag("code").over(along)) | (F.col("a") != F.lag("b").over(along) + 1)
-    )
-    numbered = settled.withColumn("_begins", F.coalesce(begins, F.lit(True)).cast("int")).withColumn(
-        "_island", F.sum("_begins").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    return (
-        numbered.groupBy("code", "row", "block", "_island")
-        .agg(F.min("a").alias("c0"), F.max("b").alias("c1")).drop("_island")
+    opened = spans.withColumn("_opens", F.coalesce(F.col("c0") > reached, F.lit(True)))
+    alone = F.col("_opens") & F.coalesce(F.lead("_opens").over(place), F.lit(True))
+    marked = opened.withColumn("_alone", alone)
+    ordered = F.struct("src_ordinal", "code")
+    swept = (
+        marked.where(~F.col("_alone")).select("row", "block", "src_ordinal", "code", "c0", "c1")
+        .sortWithinPartitions("row", "block", ordered)
+        .mapInArrow(_paint, "code string, row long, block long, c0 long, c1 long")
     )
+    return marked.where("_alone").select("code", "row", "block", "c0", "c1").unionByName(swept)
+
+
+def _paint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Disjoint spans of rows sorted by pixel row, block and age: later ones cover earlier ones."""
+    canvas = np.zeros(BLOCK_COLUMNS, np.int64)
+    codes: dict[str, int] = {}
+    place, done = None, []
+
+    def leave() -> None:
+        """Read the runs of one code off the canvas and clear it."""
+        row, block = place
+        edge = np.flatnonzero(np.diff(canvas, prepend=0, append=0))
+        of = canvas[edge[:-1]]
+        kept = of > 0
+        done.append((np.full(kept.sum(), row), np.full(kept.sum(), block), of[kept],
+                     block * BLOCK_COLUMNS + edge[:-1][kept], block * BLOCK_COLUMNS + edge[1:][kept] - 1))
+        canvas[:] = 0
+
+    def spans() -> pa.RecordBatch:
+        row, block, of, c0, c1 = (np.concatenate(part) for part in zip(*done))
+        done.clear()
+        named = pa.array(list(codes), pa.string()).take(pa.array(of - 1))
+        return pa.RecordBatch.from_arrays(
+            [named, *[pa.array(v, pa.int64()) for v in (row, block, c0, c1)]], ["code", "row", "block", "c0", "c1"]
+        )
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        coded = batch.column(3).dictionary_encode("encode")
+        numbers = np.array([codes.setdefault(c, len(codes) + 1) for c in coded.dictionary.to_pylist()], np.int64)
+        row, block, c0, c1 = (batch.column(k).to_numpy() for k in (0, 1, 4, 5))
+        begin = (c0 - block * BLOCK_COLUMNS).tolist()
+        end = (c1 - block * BLOCK_COLUMNS + 1).tolist()
+        number = numbers[coded.indices.to_numpy()].tolist()
+        turns = np.flatnonzero((np.diff(row) != 0) | (np.diff(block) != 0)) + 1
+        for first, last in zip([0, *turns.tolist()], [*turns.tolist(), len(row)]):
+            here = (int(row[first]), int(block[first]))
+            if place is not None and here != place:
+                leave()
+            place = here
+            for k in range(first, last):
+                canvas[begin[k] : end[k]] = number[k]
+        if len(done) >= 10_000:
+            yield spans()
+    if place is not None:
+        leave()
+    if done:
+        yield spans()
 
 
 def pixel_counts(spans: DataFrame, resolution: float = PIXEL_METRES) -> DataFrame:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ecoledger.operators.criteria import THRESHOLDS, criterion_b
-from ecoledger.operators.grid import CELL_METRES, TAIL_SHARE, cell_shares, occupancy
-from ecoledger.operators.hull import extent
-from ecoledger.operators.rings import edges, outer_points, rings, without_copies
+from ecoledger.operators.grid import CELL_METRES, TAIL_SHARE, occupancy, shares_of_sums
+from ecoledger.operators.hull import extent, extent_of_hulls, merge_hulls
+from ecoledger.operators.rings import outer_points, rings, without_copies
+from ecoledger.operators.sweep import CELL, CORNER, geometry_pass
 
 
 def metrics(
@@ -20,16 +21,22 @@ def metrics(
 ) -> DataFrame:
     """(code, eoo_km2, aoo_cells, n_cells, area_km2, overlap_cells) of every class.
 
+    The geometry is read once, for hulls and cells together, after the pass that finds copies.
     Pass ``cells`` to use a stored cell table instead of overlaying the map.
     Shapes repeated within a class count once; ``drop_copies=False`` saves that
     pass over a map known to have none.
     """
-    if cells is None:
-        single = without_copies(features) if drop_copies else features
-        cells = cell_shares(edges(rings(single)), size)
-    aoo = occupancy(cells, tail, size)
-    eoo = extent(outer_points(rings(features))).select("code", "eoo_km2")
-    return eoo.join(aoo, "code", "full_outer")
+    if cells is not None:
+        return extent(outer_points(rings(features))).select("code", "eoo_km2").join(
+            occupancy(cells, tail, size), "code", "full_outer"
+        )
+    swept = geometry_pass(without_copies(features) if drop_copies else features, size)
+    corners = swept.where(F.col("kind") == CORNER).select("code", "task", "lon", "lat")
+    eoo = extent_of_hulls(merge_hulls(corners, swept.rdd.getNumPartitions())).select("code", "eoo_km2")
+    sums = swept.where(F.col("kind") == CELL).groupBy("code", "grid_row", "grid_col").agg(
+        F.sum("cov").alias("cov"), F.sum("part").alias("part"), F.sum("size").alias("_size")
+    )
+    return eoo.join(occupancy(shares_of_sums(sums), tail, size), "code", "full_outer")
 
 
 def flag_overlap(measured: DataFrame) -> DataFrame:

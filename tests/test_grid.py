@@ -183,7 +183,8 @@ def test_occupancy_overlays_the_map_once(island):
     occupancy = grid.occupancy(cells_of(island))
     occupancy.collect()
     final = occupancy._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final and final.count("arrays_zip(_p") == 1
+    # the cells are settled when the selection begins, so no round goes back to the map
+    assert "arrays_zip(_p" not in final and "ExistingRDD" in final
 
 
 def test_occupancy_ignores_scale(spark):
@@ -197,3 +198,91 @@ def test_ramp_of_equal_shares_is_white(spark):
     assert [(r.ramp, r.colour.g) for r in rows] == [(0.0, 255)] * 2
     red = grid.share_ramp(shares(spark, 0.1, 0.5)).orderBy(F.desc("ramp")).first()
     assert (red.colour.r, red.colour.g, red.colour.b) == (255, 0, 0)
+
+
+def tail_by_hand(shares, tail):
+    """How many of the smallest shares together stay within the tail."""
+    total, area, n = math.fsum(shares), 0.0, 0
+    for share in sorted(shares):
+        area += share
+        if area / total > tail:
+            break
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("small", [1, 3, 4096])
+def test_tail_is_selected_without_sorting(spark, small):
+    rng = random.Random(small)
+    classes = {
+        "full": [1.0] * 250, "one": [0.25], "slivers": [rng.uniform(1e-9, 2e-9) for _ in range(3000)],
+        "mixed": [round(10 ** rng.uniform(-7, 0), 9) for _ in range(2000)] + [1.0] * 20,
+        "ties": [0.125] * 400 + [0.5] * 30 + [2.0**-12] * 500, "two": [1.0, 1e-12],
+        "close": [0.5 + k * 2.0**-40 for k in range(700)],
+    }
+    rows = [(code, f, f == 1.0) for code, shares in classes.items() for f in shares]
+    cells = spark.createDataFrame(rows, "code string, frac double, overlap boolean").repartition(5)
+    for tail in (0.01, 0.2, 0.0):
+        got = {r.code: r for r in grid.tail_counts(cells, tail, small).collect()}
+        for code, shares in classes.items():
+            r = got[code]
+            assert (r.n_cells, r.tail_cells, r.overlap_cells) == (
+                len(shares), tail_by_hand(shares, tail), sum(f == 1.0 for f in shares)
+            ), (code, tail)
+            assert r.area == pytest.approx(math.fsum(shares))
+    assert grid.tail_counts(cells.limit(0), 0.01, small).count() == 0
+
+
+def test_no_slot_holds_all_slivers(spark):
+    n = 40_000
+    cells = spark.range(n).selectExpr(
+        "'a' AS code", "id AS grid_col", "id % 7 AS grid_row", "pow(10D, -4 - 5 * id / %d) AS frac" % n, "false AS overlap"
+    )
+    slots = grid._slots(cells).groupBy("code", "_bin", "_line").count()
+    assert slots.agg(F.max("count")).first()[0] < n / 500
+    running = grid.cumulative_shares(cells).orderBy("frac").collect()
+    area = 0.0
+    for r in running:
+        area += r.frac
+        assert r.cum_area == pytest.approx(area, rel=1e-9)
+
+
+def test_small_polygon_counts_whatever_lies_east(spark, make_features):
+    far = [[[x / 3, 0.001], [x / 3 + 0.2, 0.001], [x / 3 + 0.2, 0.06], [x / 3, 0.06]] for x in range(1, 40)]
+    tiny = [[0.01, 0.01], [0.01 + 1e-7, 0.01], [0.01 + 1e-7, 0.01 + 1e-7]]
+    features = make_features(("a", [[r] for r in far] + [[tiny]]))
+    cells = as_map(cells_of(features))
+    assert 0 < cells[("a", 0, 0)] < 1e-9
+    assert metrics(features).first().n_cells == len(cells)
+
+
+def test_one_pass_equals_overlay_and_hull(spark, make_features):
+    rng = random.Random(7)
+    shapes = []
+    for k in range(60):
+        x, y, w = rng.uniform(-20, 20), rng.uniform(-20, 20), rng.uniform(0.001, 1.5)
+        ring = [[x + w * math.cos(t / 9 * 2 * math.pi), y + w * math.sin(t / 9 * 2 * math.pi)] for t in range(9)]
+        hole = [[x + w / 3, y], [x, y + w / 3], [x - w / 3, y]]
+        ring = ring[::-1] if k % 2 else ring + ring[:1]
+        shapes.append((f"c{k % 4}", [[ring, hole], [[[x, y - 3], [x + w, y - 3], [x, y - 3 + w]]]] if k % 3 else [[ring]]))
+    shapes += [shapes[5], ("line", [[[[0.0, 0.0], [1.0, 0.0]]]]), ("point", [[[[0.0, 0.0]]]])]
+    features = make_features(*shapes).repartition(6)
+    plain = metrics(features, cells=cells_of(rings.without_copies(features)))
+    swept = {r.code: r for r in metrics(features).collect()}
+    for r in plain.collect():
+        mine = swept[r.code]
+        assert (mine.aoo_cells, mine.n_cells, mine.overlap_cells) == (r.aoo_cells, r.n_cells, r.overlap_cells)
+        assert mine.eoo_km2 == pytest.approx(r.eoo_km2, abs=1e-9)
+        assert mine.area_km2 is r.area_km2 is None or mine.area_km2 == pytest.approx(r.area_km2, rel=1e-9)
+
+
+def test_points_without_coordinates_bound_nothing(spark, make_features):
+    box = [[0.0, 0.0], [0.5, 0.0], [0.5, 0.5], [0.0, 0.5]]
+    odd = spark.createDataFrame(
+        [(9, "a", "n", None, 9, [[[[3.0, None], [4.0, 1.0], [4.0, None]]]]), (10, None, "n", None, 10, [[box]]), (11, "a", "n", None, 11, None)],
+        make_features(("a", [box])).schema,
+    )
+    alone = metrics(make_features(("a", [box]))).first()
+    both = metrics(make_features(("a", [box])).unionByName(odd)).collect()
+    assert len(both) == 1 and both[0].area_km2 == pytest.approx(alone.area_km2)
+    assert metrics(odd.limit(0)).count() == 0

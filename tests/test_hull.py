@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ecoledger.operators import hull, rings
 
@@ -81,3 +82,22 @@ def test_dominant_class_and_many_partitions(spark):
     want = hull.hull_points(np.array([(x, y) for c, x, y in rows if c == "hot"]))
     assert [(p.lon, p.lat) for p in got["hot"]] == [tuple(p) for p in want]
     assert len(got) == 31
+
+
+def test_hulls_of_many_tasks_merge_as_a_tree(spark):
+    tasks = 4096
+    # one triangle a task on a circle, so every task adds corners
+    corners = spark.range(tasks).selectExpr(
+        "'a' AS code", "id AS task", "explode(array(0, 1, 2)) AS k", "2 * pi() * id / 4096 AS t"
+    ).selectExpr("code", "task", "cos(t) * (10 - k) AS lon", "sin(t) * (10 - k) + k / 100 AS lat")
+    assert [hull.merge_levels(n) for n in (1, 64, 65, 4096, 4097, 262_144)] == [0, 0, 1, 1, 2, 2]
+    left = tasks
+    groups = corners.select("code", "task").distinct()
+    for _ in range(hull.merge_levels(tasks)):
+        groups = groups.selectExpr("code", "task", f"floor(task / {hull.MERGE_WIDTH}) AS next")
+        assert groups.groupBy("code", "next").agg(F.countDistinct("task").alias("n")).agg(F.max("n")).first()[0] <= 64
+        groups = groups.selectExpr("code", "next AS task").distinct()
+    assert groups.count() <= 64 < left
+    (merged,) = hull.merge_hulls(corners, tasks).collect()
+    points = corners.select("lon", "lat").toPandas().to_numpy()
+    assert sorted(map(tuple, merged.hull)) == sorted(map(tuple, hull.hull_points(points)))
