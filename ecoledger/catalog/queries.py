@@ -14,7 +14,7 @@ from ecoledger.catalog.derive import (
 )
 from ecoledger.functions import text
 from ecoledger.functions.colour import highlight_colour
-from ecoledger.operators import blobs, checks, classes, criteria, grid, hull, pages, palette, raster
+from ecoledger.operators import blobs, checks, classes, criteria, grid, hull, pages, palette, raster, sweep
 from ecoledger.operators import rings as ring_ops
 from ecoledger.plans import assessment, build_gate, caches, overview, readiness
 from ecoledger.session import scratch_path
@@ -54,7 +54,7 @@ def _edges(spark: SparkSession, sf: str, stretch: float = 1.0) -> DataFrame:
 
 
 def _cells(spark: SparkSession, sf: str) -> DataFrame:
-    return grid.cell_shares(_edges(spark, sf))
+    return sweep.map_cells(polygon_map(spark, sf))
 
 
 def _file_name(path: Column) -> Column:

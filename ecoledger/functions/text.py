@@ -45,6 +45,17 @@ def is_raster(url: Column) -> Column:
     return hit
 
 
+def names_raster(address: str) -> bool:
+    """The rule of ``is_raster`` for one address on the driver."""
+    bare = address.partition("?")[0].rstrip("/")
+    return bare.lower().endswith(RASTER_SUFFIXES)
+
+
+def lacks_column(column: str, columns: list[str]) -> str:
+    """What to tell the reader of a map without a column that is needed."""
+    return f"no column {column!r} in this map; columns: {', '.join(columns)}"
+
+
 def is_parquet(url: Column) -> Column:
     return F.endswith(F.lower(bare_address(url)), F.lit(".parquet"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ecoledger.functions.colour import ramp_colour, ramp_position
-from ecoledger.session import broadcast_if_small, settle
+from ecoledger.session import BROADCAST_ROWS, broadcast_if_small, settle
 
 # Cell size in metres and the share of area left out as a tail.
 CELL_METRES = 10_000.0
@@ -222,10 +222,12 @@ def tail_counts(cells: DataFrame, tail: float = TAIL_SHARE, small: int = SMALL_B
     line = settle(_crossing(first.withColumns(start), tail))
     known = ["total", "below_n", "below_area"]
     while True:
-        inside = stored.join(
-            broadcast_if_small(line.select("code", F.col("low").alias("_low"), F.col("high").alias("_high"), *known)), "code"
-        ).where("frac between _low and _high")
-        if line.where((F.col("n") > small) & (F.col("low") < F.col("high"))).isEmpty():
+        state = line.agg(F.count("*").alias("rows"), F.count_if((F.col("n") > small) & (F.col("low") < F.col("high"))).alias("large")).first()
+        limits = line.select("code", F.col("low").alias("_low"), F.col("high").alias("_high"), *known)
+        # a row a class, broadcast while there are few of them
+        limits = F.broadcast(limits) if state.rows <= BROADCAST_ROWS else limits
+        inside = stored.join(limits, "code").where("frac between _low and _high")
+        if not state.large:
             break
         stored = settle(inside.select("code", "frac", "overlap"))
         place = (F.col("frac") - F.col("_low")) / (F.col("_high") - F.col("_low"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ecoledger.functions.colour import CLEAR_RGBA, NODATA, class_colour, rgba
 from ecoledger.functions.text import legend_label
-from ecoledger.operators.classes import first_values
+from ecoledger.operators.classes import first_values, number_in_order
 from ecoledger.session import broadcast_if_small, settle
 
 
@@ -42,11 +42,14 @@ def map_colouring(
 
 
 def group_colours(grouped: DataFrame) -> DataFrame:
-    """(colour_group, rank, colour): groups ranked by their first class number."""
+    """(colour_group, first_index, rank, colour): groups ranked by their first class number.
+
+    Runs the job that numbers the groups.
+    """
     firsts = grouped.groupBy("colour_group").agg(F.min("index").alias("first_index"))
-    # a row a colour group, of which a readable map has few: no job of its own
-    rank = (F.row_number().over(Window.orderBy("first_index", "colour_group")) - 1).cast("bigint")
-    return firsts.withColumn("rank", rank).select(
+    # coloured by ecosystem, a map has as many groups as classes: no task sees all of them
+    ranked = number_in_order(firsts, ["first_index", "colour_group"], "rank").withColumn("rank", F.col("rank") - 1)
+    return ranked.select(
         "colour_group", "first_index", "rank", class_colour(F.col("rank")).alias("colour")
     )
 

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ecoledger.functions.projection import project_lonlat
+from ecoledger.operators.grid import CELL_METRES, shares_of_sums
 from ecoledger.operators.hull import hull_points
-from ecoledger.session import settle
 
 CELL, CORNER = "cell", "corner"
 _TAGGED = (
@@ -133,7 +133,7 @@ class _CellSums:
 
 
 def geometry_pass(features: DataFrame, size: float) -> DataFrame:
-    """Tagged rows of one scan: partial cell sums and the corners of partial hulls, settled.
+    """Tagged rows of one scan: partial cell sums and the corners of partial hulls.
 
     Rows of kind ``cell`` hold ``cov``, ``part`` and ``size`` of a class and cell, rows of
     kind ``corner`` the corners of the hull of a class in one ``task``. A null code or
@@ -196,4 +196,17 @@ def geometry_pass(features: DataFrame, size: float) -> DataFrame:
             yield tagged([listed[code]] * n, task, kind=[CORNER] * n, lon=corners[:, 0], lat=corners[:, 1])
 
     known = features.where(F.col("code").isNotNull() & F.col("geometry").isNotNull())
-    return settle(known.select("code", "geometry").mapInArrow(sweep, _TAGGED))
+    return known.select("code", "geometry").mapInArrow(sweep, _TAGGED)
+
+
+def cells_of_pass(tagged: DataFrame) -> DataFrame:
+    """Shares of grid cells, as ``grid.cell_shares`` gives them, from the rows of a pass."""
+    sums = tagged.where(F.col("kind") == CELL).groupBy("code", "grid_row", "grid_col").agg(
+        F.sum("cov").alias("cov"), F.sum("part").alias("part"), F.sum("size").alias("_size")
+    )
+    return shares_of_sums(sums)
+
+
+def map_cells(features: DataFrame, size: float = CELL_METRES) -> DataFrame:
+    """Share of every grid cell covered by every class, straight from features."""
+    return cells_of_pass(geometry_pass(features, size))

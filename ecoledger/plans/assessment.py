@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ecoledger.operators.criteria import THRESHOLDS, criterion_b
-from ecoledger.operators.grid import CELL_METRES, TAIL_SHARE, occupancy, shares_of_sums
+from ecoledger.operators.grid import CELL_METRES, TAIL_SHARE, occupancy
 from ecoledger.operators.hull import extent, extent_of_hulls, merge_hulls
 from ecoledger.operators.rings import outer_points, rings, without_copies
-from ecoledger.operators.sweep import CELL, CORNER, geometry_pass
+from ecoledger.operators.sweep import CORNER, cells_of_pass, geometry_pass
+from ecoledger.session import settle
 
 
 def metrics(
@@ -30,13 +31,11 @@ def metrics(
         return extent(outer_points(rings(features))).select("code", "eoo_km2").join(
             occupancy(cells, tail, size), "code", "full_outer"
         )
-    swept = geometry_pass(without_copies(features) if drop_copies else features, size)
+    swept = settle(geometry_pass(without_copies(features) if drop_copies else features, size))
     corners = swept.where(F.col("kind") == CORNER).select("code", "task", "lon", "lat")
     eoo = extent_of_hulls(merge_hulls(corners, swept.rdd.getNumPartitions())).select("code", "eoo_km2")
-    sums = swept.where(F.col("kind") == CELL).groupBy("code", "grid_row", "grid_col").agg(
-        F.sum("cov").alias("cov"), F.sum("part").alias("part"), F.sum("size").alias("_size")
-    )
-    return eoo.join(occupancy(shares_of_sums(sums), tail, size), "code", "full_outer")
+    return eoo.join(occupancy(cells_of_pass(swept), tail, size), "code", "full_outer")
+
 
 
 def flag_overlap(measured: DataFrame) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoledger.operators.grid import CELL_METRES, cell_shares
-from ecoledger.operators.rings import edges, rings, without_copies
+from ecoledger.functions.text import lacks_column
+from ecoledger.operators.grid import CELL_METRES
+from ecoledger.operators.rings import without_copies
+from ecoledger.operators.sweep import map_cells
 
 # Fixed value: rows per row group of a sorted copy.
 ROW_GROUP_ROWS = 10_000
@@ -39,10 +41,7 @@ def write_sorted_copy(
     when the column is missing.
     """
     if ecosystem_column not in df.columns:
-        raise ValueError(
-            f"ecosystem column {ecosystem_column!r} not found in the source "
-            f"(columns: {', '.join(df.columns)})"
-        )
+        raise ValueError(lacks_column(ecosystem_column, df.columns))
     place = F.col(tiebreak) if tiebreak else F.monotonically_increasing_id()
     placed = df.withColumn("_place", place)
     order = [F.col(ecosystem_column).asc_nulls_last(), F.col("_place").asc_nulls_last()]
@@ -81,7 +80,7 @@ def cells_cached(
     """The cell table at ``path`` when one is given, else computed from the map."""
     if path:
         return spark.read.parquet(path)
-    return cell_shares(edges(rings(without_copies(features))), size)
+    return map_cells(without_copies(features), size)
 
 
 def write_index(index: DataFrame, path: str) -> str:

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ecoledger.functions.text import RASTER_SUFFIXES
+from ecoledger.functions.once import once, pinned
+from ecoledger.functions.text import lacks_column, names_raster
 from ecoledger.session import BROADCAST_ROWS
+from ecoledger.sources.jsonsplit import array_objects
 
 GEOMETRY_TYPE = "array<array<array<array<double>>>>"
 _GEOMETRY = T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
@@ -47,21 +49,15 @@ class MapSource:
 
 def vector_address(address: str) -> str:
     """The address unchanged; raises for a raster."""
-    bare = address.split("?")[0].rstrip("/").lower()
-    if bare.endswith(RASTER_SUFFIXES):
-        raise ValueError(
-            f"{address} is a raster; the map source must be a vector file. "
-            "Rasters belong under ecosystem_raster.cog_url"
-        )
+    if names_raster(address):
+        raise ValueError(f"polygons cannot be read from pixels: {address}; give rasters as the map's ``cog_url``")
     return address
 
 
 def _role_columns(df: DataFrame, source: MapSource) -> list[Column]:
     """code, name and fg as strings; a missing optional column gives nulls."""
     if source.key_column not in df.columns:
-        raise ValueError(
-            f"ecosystem column {source.key_column!r} not found (columns: {', '.join(df.columns)})"
-        )
+        raise ValueError(lacks_column(source.key_column, df.columns))
 
     def role(column: str | None, alias: str) -> Column:
         found = column is not None and column in df.columns
@@ -160,23 +156,27 @@ _FEATURE = "type string, properties map<string,string>, geometry struct<type:str
 
 
 def _parsed(features_text: DataFrame) -> DataFrame:
-    """Feature rows with the parsed feature, its geometry and the reason if there is none."""
-    parsed = features_text.select(
-        "fid", "src_ordinal",
-        F.from_json("value", _FEATURE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("_f"),
+    """Feature rows with (properties, geometry, reason): each text parsed once, coordinates by their kind."""
+
+    def shaped(f: Column) -> Column:
+        kind, text = f["geometry"]["type"], f["geometry"]["coordinates"]
+
+        def told(geometry: Column) -> Column:
+            broken = F.exists(geometry, lambda part: part.isNull() | F.exists(part, lambda r: r.isNull()))
+            reason = (
+                F.when(f.isNull() | f["_bad"].isNotNull(), "not a JSON feature")
+                .when(f["geometry"].isNull() | kind.isNull(), "no geometry")
+                .when(~kind.isin("Polygon", "MultiPolygon"), F.concat(F.lit("unsupported geometry type "), kind))
+                .when(geometry.isNull() | broken, "coordinates cannot be read")
+            )
+            return F.struct(f["properties"].alias("properties"), geometry.alias("geometry"), reason.alias("reason"))
+
+        return once(coordinates(kind, text), told)
+
+    feature = F.from_json("value", _FEATURE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    return features_text.select("fid", "src_ordinal", pinned(once(feature, shaped)).alias("_f")).select(
+        "fid", "src_ordinal", "_f", F.col("_f.geometry").alias("geometry"), F.col("_f.reason").alias("reason")
     )
-    kind, text = F.col("_f.geometry.type"), F.col("_f.geometry.coordinates")
-    shaped = parsed.withColumn("geometry", coordinates(kind, text))
-    reason = (
-        F.when(F.col("_f").isNull() | F.col("_f._bad").isNotNull(), "not a JSON feature")
-        .when(F.col("_f.geometry").isNull() | kind.isNull(), "no geometry")
-        .when(~kind.isin("Polygon", "MultiPolygon"), F.concat(F.lit("unsupported geometry type "), kind))
-        .when(
-            F.col("geometry").isNull() | F.exists("geometry", lambda part: part.isNull() | F.exists(part, lambda r: r.isNull())),
-            "coordinates cannot be read",
-        )
-    )
-    return shaped.withColumn("reason", reason)
 
 
 def _feature_role(column: str | None, alias: str) -> Column:
@@ -214,14 +214,19 @@ def geojson_features(features_text: DataFrame, source: MapSource, strict: bool =
     )
 
 
-def geojson_text(spark: SparkSession, source: MapSource, lines: bool = False) -> DataFrame:
+def geojson_text(spark: SparkSession, source: MapSource, lines: bool = False, split: bool = False) -> DataFrame:
     """(fid, src_ordinal, value): the features of GeoJSON files as text.
 
-    A feature collection is one JSON document and so one task per file; for
-    large maps write one feature per line and pass ``lines``, which splits. Features are
-    identified by their ordinal.
+    A feature collection is one JSON document and so one task per file, unless ``split`` is
+    set: then many tasks read one collection (``jsonsplit.array_objects``; the objects of all
+    top-level arrays are taken as features). Files with one feature per line are read with
+    ``lines``. Features are identified by their ordinal.
     """
     path = vector_address(source.preferred)
+    if split:
+        return array_objects(spark, path).select(
+            F.struct("file", "block", "at").alias("fid"), F.struct("file", "block", "at").alias("src_ordinal"), "value"
+        )
     if lines:
         # a task reads a block front to back, so this order is the order in the file
         rows = spark.read.text(path).select(
@@ -243,9 +248,11 @@ def geojson_text(spark: SparkSession, source: MapSource, lines: bool = False) ->
     return rows.select(F.col("src_ordinal").alias("fid"), "src_ordinal", "value")
 
 
-def load_geojson(spark: SparkSession, source: MapSource, lines: bool = False, strict: bool = True) -> DataFrame:
+def load_geojson(
+    spark: SparkSession, source: MapSource, lines: bool = False, strict: bool = True, split: bool = False
+) -> DataFrame:
     """Features of GeoJSON files; see ``geojson_text`` and ``geojson_features``."""
-    return geojson_features(geojson_text(spark, source, lines), source, strict)
+    return geojson_features(geojson_text(spark, source, lines, split), source, strict)
 
 
 def _parse_wkb(data: bytes) -> list[list[np.ndarray]]:
