@@ -89,6 +89,28 @@ def order_map(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def nearly_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Four squares a supplier: two far apart, and between them two that are one if its key is even, else nearly coincide."""
+    key = F.col("s_suppkey")
+    step = 0.01 * (key % 2)
+
+    def square(lon: Column, lat: Column, side: float) -> Column:
+        corners = ((0.0, 0.0), (side, 0.0), (side, side), (0.0, side))
+        return F.array(F.array(F.array(*[F.array(lon + dx, lat + dy) for dx, dy in corners])))
+
+    lon0, lat0 = (key % 50) * 3.0 - 80, (F.floor(key / 50) % 20) * 3.0 - 30
+    each = F.array(
+        square(lon0, lat0, 0.03), square(lon0 + 2.0, lat0 + 2.0, 0.03),
+        square(lon0 + 1.0, lat0 + 1.0, 0.04), square(lon0 + 1.0 + step, lat0 + 1.0 + step, 0.04),
+    )
+    return table(spark, sf, "supplier").select(
+        "s_suppkey", F.concat(F.lit("S"), key.cast("string")).alias("code"), F.posexplode(each).alias("n", "geometry")
+    ).select(
+        (F.col("s_suppkey") * 4 + F.col("n")).alias("fid"), "code",
+        (F.col("s_suppkey") * 4 + F.col("n")).alias("src_ordinal"), "geometry",
+    )
+
+
 def point_map(spark: SparkSession, sf: str) -> DataFrame:
     """(code, lon, lat): one wide-spread point per customer."""
     key = F.col("c_custkey")

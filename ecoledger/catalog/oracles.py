@@ -376,6 +376,25 @@ _SQL["raster_overlap"] = _with(
   (SELECT k, code, r, unnest(generate_series(c0, c1)) AS c FROM spans WHERE c1 >= c0) GROUP BY r, c)""",
 ) + f"""SELECT code, count(*) AS pixels,
 round(count(*) * {(OVERLAP_METRES / 1000) ** 2!r}::DOUBLE, 3) AS raster_km2 FROM burnt GROUP BY code"""
+_SQL["cover_by_class"] = _with(
+    _corners(1.3), _lines(OVERLAP_METRES),
+    """crossed AS (SELECT k, code, r, x0 + (r + 0.5 - y0) * (x1 - x0) / (y1 - y0) AS xc
+  FROM (SELECT *, unnest(generate_series(CAST(ceil(least(y0, y1) - 0.5) AS BIGINT),
+    CAST(ceil(greatest(y0, y1) - 0.5) AS BIGINT) - 1)) AS r FROM lines WHERE y0 <> y1)),
+paired_up AS (SELECT *, row_number() OVER w AS rn, lead(xc) OVER w AS xd FROM crossed WINDOW w AS (PARTITION BY k, r ORDER BY xc)),
+stretches AS (SELECT code, r, xc AS a, xd AS b FROM paired_up WHERE rn % 2 = 1),
+ends AS (SELECT DISTINCT code, r, unnest([a, b]) AS x FROM stretches),
+steps AS (SELECT code, r, x, lead(x) OVER (PARTITION BY code, r ORDER BY x) - x AS len FROM ends),
+depths AS (SELECT s.code, s.r, s.x, s.len, count(*) AS depth FROM steps s JOIN stretches t
+  ON s.code = t.code AND s.r = t.r AND t.a <= s.x AND t.b > s.x WHERE s.len IS NOT NULL GROUP BY ALL),
+areas AS (SELECT code, sum(depth * len) AS summed, sum(len) AS covered, coalesce(sum(len) FILTER (depth > 1), 0) AS twice
+  FROM depths GROUP BY code)""",
+) + """SELECT code, round(summed * 4::DOUBLE, 3) AS summed_km2, round(covered * 4::DOUBLE, 3) AS covered_km2,
+round(twice * 4::DOUBLE, 3) AS twice_km2, twice > covered * 1e-6 AS overlap FROM areas"""
+_SQL["overlap_inside"] = """SELECT 'S' || s_suppkey AS code, CAST(0 AS BIGINT) AS overlap_cells, s_suppkey % 2 = 1 AS overlap FROM supplier"""
+_SQL["geojson_split"] = _with(_corners()) + """SELECT code, n_name AS name, count(DISTINCT k) AS features,
+CAST(count(*) AS INTEGER) AS points, round(sum(lon) FILTER (ring = 0 AND i = 0), 3) AS west_sum
+FROM verts JOIN nation ON code = 'N' || n_nationkey GROUP BY code, n_name"""
 _SQL["highlighted_pixels"] = _with(_parity_pixels(RASTER_METRES, 1.0), MAP_INDEX) + f"""SELECT
 CASE WHEN idx = {CHOSEN_CLASS} THEN 220 ELSE 200 END AS r, CASE WHEN idx = {CHOSEN_CLASS} THEN 20 ELSE 200 END AS g,
 CASE WHEN idx = {CHOSEN_CLASS} THEN 60 ELSE 200 END AS b, CASE WHEN idx = {CHOSEN_CLASS} THEN 235 ELSE 130 END AS a,

@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ecoledger.catalog.derive import (
-    COUNTRY, PROJECT, customer_records, group_names, order_map, part_features, point_map, polygon_map,
+    COUNTRY, PROJECT, customer_records, group_names, nearly_twice, order_map, part_features, point_map, polygon_map,
     odd_widgets, rendered_widgets, table,
 )
 from ecoledger.functions import text
 from ecoledger.functions.colour import highlight_colour
-from ecoledger.operators import blobs, checks, classes, criteria, grid, hull, pages, palette, raster, sweep
+from ecoledger.operators import blobs, checks, classes, cover, criteria, grid, hull, pages, palette, raster, sweep
 from ecoledger.operators import rings as ring_ops
 from ecoledger.plans import assessment, build_gate, caches, overview, readiness
 from ecoledger.session import scratch_path
@@ -227,6 +227,22 @@ def geojson_vertices(spark, sf):
     return _rounded(ring_ops.vertices(ring_ops.rings(features)), 6, "lon", "lat").drop("src_ordinal")
 
 
+@_query
+def geojson_split(spark, sf):
+    """Collections of some hundred features each, written as files of one line and read in splits."""
+    text = _as_geojson(polygon_map(spark, sf)).withColumn("slice", F.floor(F.col("fid") / 500))
+    member = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("fid", "value"))), lambda f: f["value"]), ",")
+    whole = F.concat(F.lit('{"type":"FeatureCollection","bbox":[1,2],"features":['), member, F.lit("]}"))
+    path = scratch_path(spark, "collections")
+    text.groupBy("slice").agg(whole.alias("value")).write.partitionBy("slice").text(path)
+    source = vector.MapSource(f"{path}/*", name_column="ECO_NAME", code_column="ECO_CODE")
+    features = vector.load_geojson(spark, source, split=True)
+    return features.groupBy("code", "name").agg(
+        F.count("*").alias("features"), F.sum(F.size(F.flatten(F.flatten("geometry")))).alias("points"),
+        F.round(F.sum(F.col("geometry")[0][0][0][0]), 3).alias("west_sum"),
+    )
+
+
 def _spoiled_features(spark: SparkSession, sf: str) -> DataFrame:
     """A feature a customer: one in five a point, broken, without geometry or with odd coordinates."""
     kind = F.col("c_custkey") % 5
@@ -418,6 +434,21 @@ def overlap_flags(spark, sf):
     return assessment.flag_overlap(measured).select("code", "overlap")
 
 
+@_query
+def cover_by_class(spark, sf):
+    """Neighbours of one class overlap; no cell need be overfilled for that to be seen."""
+    found = cover.cover(_edges(spark, sf, 1.3), OVERLAP_METRES)
+    return _rounded(found, 3, "summed_km2", "covered_km2", "twice_km2")
+
+
+@_query
+def overlap_inside(spark, sf):
+    """Two squares that nearly coincide, between two far ones, a class for each supplier."""
+    features = nearly_twice(spark, sf)
+    graded = assessment.flag_overlap(assessment.metrics(features, scanline=200.0))
+    return graded.select("code", "overlap_cells", "overlap")
+
+
 def _authored_records(spark: SparkSession, sf: str) -> DataFrame:
     """A record per class with authored status; B rows partly present."""
     codes = polygon_map(spark, sf).select("code").distinct()

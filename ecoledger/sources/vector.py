@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import struct
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +13,7 @@ from pyspark.sql import types as T
 from ecoledger.functions.once import once, pinned
 from ecoledger.functions.text import lacks_column, names_raster
 from ecoledger.session import BROADCAST_ROWS
+from ecoledger.sources import wkb
 from ecoledger.sources.jsonsplit import array_objects
 
 GEOMETRY_TYPE = "array<array<array<array<double>>>>"
@@ -257,66 +256,13 @@ def load_geojson(
 
 def _parse_wkb(data: bytes) -> list[list[np.ndarray]]:
     """Parts of one WKB polygon or multipolygon, as rings of (n, 2) coordinates."""
-    view = np.frombuffer(data, dtype=np.uint8)
-    at = 0
-
-    def header() -> tuple[str, int, int]:
-        nonlocal at
-        order = "<" if view[at] == 1 else ">"
-        kind = int(np.frombuffer(data, order + "u4", 1, at + 1)[0])
-        at += 5
-        # extended WKB keeps Z, M and SRID in high bits, ISO WKB in thousands
-        if kind & 0x20000000:
-            at += 4
-        flags = bin(kind & 0xC0000000).count("1")
-        base = kind & 0x0FFFFFFF
-        dims = 2 + (flags or (2 if base >= 3000 else 1 if base >= 1000 else 0))
-        return order, base % 1000, dims
-
-    def count(order: str) -> int:
-        nonlocal at
-        n = int(np.frombuffer(data, order + "u4", 1, at)[0])
-        at += 4
-        return n
-
-    def polygon(order: str, dims: int) -> list:
-        nonlocal at
-        out = []
-        for _ in range(count(order)):
-            n = count(order)
-            flat = np.frombuffer(data, order + "f8", n * dims, at)
-            at += 8 * n * dims
-            out.append(flat.reshape(n, dims)[:, :2].astype(float))
-        return out
-
-    order, kind, dims = header()
-    if kind == 3:
-        return [polygon(order, dims)]
-    if kind != 6:
-        raise ValueError(f"WKB geometry type {kind} is not a polygon")
-    parts = []
-    for _ in range(count(order)):
-        inner_order, _, inner_dims = header()
-        parts.append(polygon(inner_order, inner_dims))
-    return parts
-
-
-def _pack_wkb(parts: list) -> bytes:
-    """Nested coordinates as a little-endian WKB multipolygon, rings closed."""
-    out = [struct.pack("<BII", 1, 6, len(parts))]
-    for rings in parts:
-        out.append(struct.pack("<BII", 1, 3, len(rings)))
-        for ring in rings:
-            points = np.array([list(p) for p in ring], dtype="<f8")
-            if len(points) and not np.array_equal(points[0], points[-1]):
-                points = np.vstack([points, points[:1]])
-            out.append(struct.pack("<I", len(points)) + points.astype("<f8").tobytes())
-    return b"".join(out)
-
-
-@F.pandas_udf(T.BinaryType())
-def _encode(geometry: pd.Series) -> pd.Series:
-    return geometry.map(lambda g: None if g is None else _pack_wkb(g))
+    (parts,) = wkb.decode(pa.array([data], pa.binary())).to_pylist()
+    return [[np.array(ring, float).reshape(-1, 2) for ring in part] for part in parts]
+
+
+@F.arrow_udf(T.BinaryType())
+def _encode(geometry: pa.Array) -> pa.Array:
+    return wkb.encode(geometry)
 
 
 def encode_wkb(geometry: Column) -> Column:
@@ -324,24 +270,9 @@ def encode_wkb(geometry: Column) -> Column:
     return _encode(geometry)
 
 
-def _offsets(lengths: list[int]) -> pa.Array:
-    return pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-
-
 @F.arrow_udf(_GEOMETRY)
-def _decode(wkb: pa.Array) -> pa.Array:
-    """Parse ring by ring and hand the coordinates over as one flat buffer."""
-    features = [None if b is None else _parse_wkb(b) for b in wkb.to_pylist()]
-    parts = [part for f in features if f for part in f]
-    rings = [ring for part in parts for ring in part]
-    flat = np.concatenate(rings).ravel() if rings else np.empty(0)
-    points = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 2), pa.int32()), flat)
-    by_ring = pa.ListArray.from_arrays(_offsets([len(r) for r in rings]), points)
-    by_part = pa.ListArray.from_arrays(_offsets([len(p) for p in parts]), by_ring)
-    return pa.ListArray.from_arrays(
-        _offsets([len(f or []) for f in features]), by_part,
-        mask=pa.array([f is None for f in features], pa.bool_()),
-    )
+def _decode(values: pa.Array) -> pa.Array:
+    return wkb.decode(values)
 
 
 def decode_wkb(features: DataFrame, column: str = "geometry") -> DataFrame:
