@@ -392,6 +392,9 @@ areas AS (SELECT code, sum(depth * len) AS summed, sum(len) AS covered, coalesce
 ) + """SELECT code, round(summed * 4::DOUBLE, 3) AS summed_km2, round(covered * 4::DOUBLE, 3) AS covered_km2,
 round(twice * 4::DOUBLE, 3) AS twice_km2, twice > covered * 1e-6 AS overlap FROM areas"""
 _SQL["overlap_inside"] = """SELECT 'S' || s_suppkey AS code, CAST(0 AS BIGINT) AS overlap_cells, s_suppkey % 2 = 1 AS overlap FROM supplier"""
+_SQL["built_caches"] = _with(CELLS) + """SELECT code, features, cells, area_km2 FROM
+(SELECT code, count(*) AS cells, round(sum(frac) * 100, 3) AS area_km2 FROM cells GROUP BY code)
+JOIN (SELECT 'N' || c_nationkey AS code, count(*) AS features FROM customer GROUP BY 1) USING (code)"""
 _SQL["geojson_split"] = _with(_corners()) + """SELECT code, n_name AS name, count(DISTINCT k) AS features,
 CAST(count(*) AS INTEGER) AS points, round(sum(lon) FILTER (ring = 0 AND i = 0), 3) AS west_sum
 FROM verts JOIN nation ON code = 'N' || n_nationkey GROUP BY code, n_name"""

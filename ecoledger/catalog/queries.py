@@ -18,7 +18,7 @@ from ecoledger.operators import blobs, checks, classes, cover, criteria, grid, h
 from ecoledger.operators import rings as ring_ops
 from ecoledger.plans import assessment, build_gate, caches, overview, readiness
 from ecoledger.session import scratch_path
-from ecoledger.sources import footers, layout, vector
+from ecoledger.sources import assets, footers, layout, vector
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -618,6 +618,41 @@ def reference_integrity(spark, sf):
     return blobs.reference_integrity(blobs.rewrite_pages(given), blobs.shared_bundles(given))
 
 
+@_query
+def asset_store(spark, sf):
+    """Bundles of the pages, stored twice over by their hash and read back; references against what is stored."""
+    given = odd_widgets(spark, sf)
+    bundles = blobs.shared_bundles(given)
+    folder = scratch_path(spark, "assets")
+    for _ in range(2):
+        assets.write_assets(bundles, folder)
+    stored = assets.stored_assets(spark, folder).withColumn(
+        "path", F.concat(F.lit(blobs.ASSET_FOLDER + "/"), "digest", F.lit("."), "ext")
+    )
+    sizes = stored.agg(F.count("*").alias("files"), F.countDistinct(F.sha2("body", 256)).alias("contents"), F.sum(F.length("body")).alias("bytes"))
+    return blobs.reference_integrity(blobs.rewrite_pages(given), stored).join(F.broadcast(sizes))
+
+
+@_query
+def built_caches(spark, sf):
+    """A GeoJSON map to its sorted copy and cell table, both read back."""
+    text = _as_geojson(polygon_map(spark, sf)).withColumn("slice", F.floor(F.col("fid") / 500))
+    member = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("fid", "value"))), lambda f: f["value"]), ",")
+    whole = F.concat(F.lit('{"features":['), member, F.lit("]}"))
+    path = scratch_path(spark, "map")
+    text.groupBy("slice").agg(whole.alias("value")).write.partitionBy("slice").text(path)
+    source = vector.MapSource(
+        f"{path}/*", name_column="ECO_NAME", code_column="ECO_CODE", optimized_data=scratch_path(spark, "sorted"),
+        cell_table=scratch_path(spark, "cells"),
+    )
+    made = caches.build_caches(spark, source).source
+    features = vector.load_map(spark, made).groupBy("code").agg(F.count("*").alias("features"))
+    cells = spark.read.parquet(made.cell_table).groupBy("code").agg(
+        F.count("*").alias("cells"), F.round(F.sum("frac") * 100, 3).alias("area_km2")
+    )
+    return features.join(cells, "code")
+
+
 @_query
 def page_problems(spark, sf):
     rewritten = blobs.rewrite_pages(odd_widgets(spark, sf))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from ecoledger.functions.text import cache_addresses, is_parquet
 from ecoledger.plans.readiness import configured_caches, layout_verdicts, readiness
 from ecoledger.sources.footers import footer_chunks, footer_stats
 from ecoledger.sources.layout import cells_cached, write_cells, write_sorted_copy
-from ecoledger.sources.vector import MapSource, load_map
+from ecoledger.sources.vector import MapSource, described, load_geojson, load_map
 
 
 def source_readiness(sources: DataFrame, listing: DataFrame, **limits) -> DataFrame:
@@ -51,26 +53,53 @@ class Caches:
 def build_caches(spark: SparkSession, source: MapSource, project: str = "project") -> Caches:
     """Write the sorted copy and the cell table of one source.
 
-    A large remote source that is not optimized is refused. Addresses are derived only if
-    neither is set; what is not wanted is not written. A source that is sorted already
-    takes the place of its copy. The cell table is made from the copy.
+    Parquet and GeoJSON maps are read. A large remote Parquet file that is not optimized is
+    refused; a footer that cannot be read refuses nothing, the load decides. Addresses that
+    are set are written as they are set. If neither is, both are derived, and a source that is
+    sorted already takes the place of its copy. The cell table is made from the copy, or
+    from the source where no copy is wanted.
     """
     row = spark.createDataFrame([(source.data,)], "path string")
-    judged = layout_verdicts(footer_stats(footer_chunks(row, source.key_column), source.key_column)).first()
-    if judged["problem"]:
-        raise ValueError(f"{source.data}: {judged['problem']}")
-    if judged["refuse_load"]:
-        raise ValueError(f"{source.data}: {judged['refusal']}")
-    if not source.optimized_data and not source.cell_table:
+    parquet = row.select(is_parquet(F.col("path"))).first()[0]
+    judged = None
+    if parquet:
+        judged = layout_verdicts(footer_stats(footer_chunks(row, source.key_column), source.key_column)).first()
+        if judged["refuse_load"]:
+            raise ValueError(f"{source.data}: {judged['refusal']}")
+    chosen = bool(source.optimized_data or source.cell_table)
+    if not chosen:
         derived = row.select(
             *[c.alias(n) for n, c in cache_addresses(F.lit(project), F.col("path")).items()]
         ).first()
         source = replace(source, optimized_data=derived["optimized_data"], cell_table=derived["aoo_grid_cache_url"])
-    reused = bool(judged["optimized"])
-    if source.optimized_data and reused:
+    reused = not chosen and bool(judged and judged["optimized"])
+    plain = replace(source, optimized_data=None)
+    try:
+        if parquet:
+            plain = described(spark, plain)
+            rows = spark.read.parquet(source.data)
+        else:
+            rows = named_columns(load_geojson(spark, plain, split=True), plain)
+    except (PySparkException, Py4JJavaError) as error:
+        raise ValueError(f"{source.data}: {error}") from error
+    source = replace(source, geometry_column=plain.geometry_column or "geometry")
+    if reused:
         source = replace(source, optimized_data=source.data)
     elif source.optimized_data:
-        write_sorted_copy(spark.read.parquet(source.data), source.optimized_data, source.key_column)
+        write_sorted_copy(rows, source.optimized_data, source.key_column)
     if source.cell_table:
-        write_cells(cells_cached(spark, load_map(spark, source), None), source.cell_table)
+        if source.optimized_data or parquet:
+            features = load_map(spark, source)
+        else:
+            features = load_geojson(spark, plain, split=True)
+        write_cells(cells_cached(spark, features, None), source.cell_table)
     return Caches(source, reused)
+
+
+def named_columns(features: DataFrame, source: MapSource) -> DataFrame:
+    """Features of a map that is no table, under the column names of its source."""
+    roles = {source.code_column: "code", source.name_column: "name", source.group_column: "fg"}
+    if source.code_column is None:
+        roles[source.name_column] = "code"
+    columns = [F.col(role).alias(column) for column, role in roles.items() if column]
+    return features.select(*columns, "geometry")

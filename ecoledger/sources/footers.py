@@ -11,6 +11,9 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Codes of systems whose coordinates are degrees of longitude and latitude.
+LONLAT_CODES = ("OGC:CRS84", "EPSG:4326", "EPSG:4979", "EPSG:4269", "EPSG:4258")
+
 _CHUNK_SCHEMA = (
     "path string, row_group int, group_rows bigint, column string, uncompressed bigint, "
     "has_range boolean, steps_back boolean, low string, high string, geo_primary string, problem string"
@@ -45,7 +48,58 @@ def _primary_column(meta: pq.FileMetaData) -> str | None:
         described = json.loads((meta.metadata or {}).get(b"geo", b"{}"))
     except ValueError:
         return None
-    return described.get("primary_column") if isinstance(described, dict) else None
+    named = described.get("primary_column") if isinstance(described, dict) else None
+    return named if isinstance(named, str) else None
+
+
+def _system_name(meta: pq.FileMetaData, column: str | None) -> tuple[bool, str | None]:
+    """Whether the coordinates of a geometry column are lon/lat, and the name of their system.
+
+    A column that names no system is in lon/lat, as the file format lays down; one whose
+    system is given as null is not known to be.
+    """
+    try:
+        described = json.loads((meta.metadata or {}).get(b"geo", b"{}"))
+        columns = described.get("columns", {})
+        told = columns.get(column, {}) if isinstance(columns, dict) else {}
+    except (ValueError, AttributeError):
+        return True, None
+    if not isinstance(told, dict) or "crs" not in told:
+        return True, None
+    crs = told["crs"]
+    if not isinstance(crs, dict):
+        return False, "unknown" if crs is None else str(crs)[:100]
+    named = crs.get("id") if isinstance(crs.get("id"), dict) else {}
+    code = f"{named.get('authority')}:{named.get('code')}"
+    name = crs.get("name") or (code if named else "unnamed")
+    return crs.get("type") == "GeographicCRS" or code in LONLAT_CODES, str(name)
+
+
+def map_metadata(paths: DataFrame) -> DataFrame:
+    """(path, primary_column, lonlat, system, problem) from the footers of the files at ``path``."""
+
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                try:
+                    meta = _open_footer(path)
+                except Exception as error:  # reported with the file, as in footer_chunks
+                    rows.append((path, None, None, None, f"{type(error).__name__}: {error}"[:300]))
+                    continue
+                primary = _primary_column(meta)
+                rows.append((path, primary, *_system_name(meta, primary or "geometry"), None))
+            if rows:
+                yield pd.DataFrame(rows, columns=["path", "primary_column", "lonlat", "system", "problem"], dtype=object)
+
+    return _dealt(paths.select("path")).mapInPandas(
+        told, "path string, primary_column string, lonlat boolean, system string, problem string"
+    )
+
+
+def _dealt(paths: DataFrame) -> DataFrame:
+    """One small read per file: a fixed number of partitions, because by their bytes all paths would be one."""
+    return paths.repartition(int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
 
 
 def _footer_rows(path: str, wanted: str | None) -> Iterator[dict]:
@@ -97,11 +151,8 @@ def footer_chunks(paths: DataFrame, wanted: str | Column | None = None) -> DataF
     one row with the ``problem``, one without row groups a row without a group. Ranges
     are given for the column ``wanted`` of each file alone (a name, or a Column of names).
     """
-    # one small read per file: a fixed number of partitions, because by their bytes
-    # all paths would be merged into one
-    parts = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     name = F.lit(wanted).cast("string") if wanted is None or isinstance(wanted, str) else wanted
-    return paths.select("path", name.alias("wanted")).repartition(parts, "path").mapInPandas(_read_footers, _CHUNK_SCHEMA)
+    return _dealt(paths.select("path", name.alias("wanted"))).mapInPandas(_read_footers, _CHUNK_SCHEMA)
 
 
 def footer_stats(chunks: DataFrame, ecosystem_column: str | Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,7 @@ from ecoledger.functions.once import once, pinned
 from ecoledger.functions.text import lacks_column, names_raster
 from ecoledger.session import BROADCAST_ROWS
 from ecoledger.sources import wkb
+from ecoledger.sources.footers import map_metadata, object_listing
 from ecoledger.sources.jsonsplit import array_objects
 
 GEOMETRY_TYPE = "array<array<array<array<double>>>>"
@@ -30,7 +31,7 @@ class MapSource:
     group_column: str | None = None
     optimized_data: str | None = None
     cell_table: str | None = None
-    geometry_column: str = "geometry"
+    geometry_column: str | None = None
 
     @property
     def key_column(self) -> str:
@@ -117,12 +118,37 @@ def _numbered(df: DataFrame) -> DataFrame:
     ).drop("_file", "_row", "_rank")
 
 
+def described(spark: SparkSession, source: MapSource) -> MapSource:
+    """The source with its geometry column named, as the files themselves describe it.
+
+    Footers are read by tasks, a row a file, before any scan is planned. Unless the source
+    names the column, it is the primary column of the files' metadata, or ``geometry``
+    where they name none. Files that are not in longitude and latitude are refused by name,
+    and so are files that disagree on the column. A footer that cannot be read tells nothing.
+    """
+    address = vector_address(source.preferred)
+    files = object_listing(spark, address).select("path")
+    told = map_metadata(files).where("problem is null")
+    # a row for each column and system, not for each file
+    ways = told.groupBy("primary_column", "lonlat", "system").agg(F.min("path").alias("path")).collect()
+    for way in ways:
+        if way.lonlat is False:
+            raise ValueError(f"{way.path}: coordinates are in {way.system}, not in longitude and latitude; reproject the map first")
+    columns = sorted({way.primary_column for way in ways if way.primary_column})
+    if source.geometry_column:
+        return source
+    if len(columns) > 1:
+        raise ValueError(f"{address}: files disagree on the geometry column: {', '.join(columns)}")
+    return replace(source, geometry_column=columns[0] if columns else "geometry")
+
+
 def load_map(spark: SparkSession, source: MapSource) -> DataFrame:
     """(fid, code, name, fg, src_ordinal, geometry) of a Parquet map.
 
-    The geometry may be nested coordinates or WKB (binary), which is decoded. Its
-    column name is part of the source; ``footers.footer_stats`` finds it.
+    The geometry may be nested coordinates or WKB (binary), which is decoded. Its column
+    and its reference system come from the files' own metadata, see ``described``.
     """
+    source = described(spark, source)
     raw = spark.read.parquet(vector_address(source.preferred))
     kept = _numbered(raw).select(
         F.col("src_ordinal").alias("fid"), *_role_columns(raw, source), "src_ordinal",

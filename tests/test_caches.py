@@ -1,7 +1,7 @@
 import pytest
 
 from ecoledger.plans import caches
-from ecoledger.sources import layout
+from ecoledger.sources import layout, vector
 from ecoledger.sources.vector import MapSource, encode_wkb
 
 
@@ -55,3 +55,95 @@ def test_readiness_of_sources(spark, stored_map):
     assert got["lost"].ok and got["lost"].problem == "the source is not in the listing"
     strict = {r.source: r.ok for r in caches.source_readiness(sources, listing, max_features=2).collect()}
     assert not strict["map"]
+
+
+def geo_file(path, table, described):
+    import json
+
+    import pyarrow.parquet as pq
+
+    meta = {b"geo": json.dumps(described).encode()} if described is not None else {}
+    pq.write_table(table.replace_schema_metadata(meta), path)
+
+
+@pytest.fixture()
+def renamed(island):
+    """The island map as Arrow, with its geometry under another name."""
+    rows = island.withColumn("shape_wkb", encode_wkb(island["geometry"]))
+    return rows.selectExpr("code AS ECO_CODE", "name AS ECO_NAME", "shape_wkb").toArrow()
+
+
+def test_metadata_names_the_geometry(spark, renamed, tmp_path, island):
+    path = str(tmp_path / "map.parquet")
+    crs84 = {"type": "GeographicCRS", "name": "WGS 84 (CRS84)", "id": {"authority": "OGC", "code": "CRS84"}}
+    geo_file(path, renamed, {"primary_column": "shape_wkb", "columns": {"shape_wkb": {"encoding": "WKB", "crs": crs84}}})
+    source = MapSource(path, code_column="ECO_CODE")
+    assert vector.described(spark, source).geometry_column == "shape_wkb"
+    read = vector.load_map(spark, source)
+    assert read.count() == island.count() and read.where("size(geometry) = 0").count() == 0
+    made = caches.build_caches(spark, MapSource(path, code_column="ECO_CODE", optimized_data=str(tmp_path / "s.parquet"), cell_table=str(tmp_path / "c.parquet")))
+    assert made.source.geometry_column == "shape_wkb"
+    assert spark.read.parquet(made.source.cell_table).count() == layout.cells_cached(spark, island, None).count()
+
+
+@pytest.mark.parametrize(
+    "crs, told",
+    [({"type": "ProjectedCRS", "name": "MAGNA-SIRGAS / Origen-Nacional"}, "Origen-Nacional"), (None, "unknown"), ("EPSG:3857", "3857")],
+)
+def test_projected_maps_are_refused_by_name(spark, renamed, tmp_path, crs, told):
+    path = str(tmp_path / "map.parquet")
+    geo_file(path, renamed, {"primary_column": "shape_wkb", "columns": {"shape_wkb": {"crs": crs}}})
+    with pytest.raises(ValueError, match=f"map.parquet.*{told}.*longitude"):
+        vector.load_map(spark, MapSource(path, code_column="ECO_CODE"))
+
+
+def test_odd_metadata_tells_nothing(spark, renamed, tmp_path):
+    for k, told in enumerate(({"primary_column": 3, "columns": 4}, [], {"columns": {"geometry": {"crs": None}}})):
+        path = str(tmp_path / f"{k}.parquet")
+        geo_file(path, renamed.rename_columns(["ECO_CODE", "ECO_NAME", "geometry"]) if k < 2 else renamed, told)
+        if k < 2:
+            assert vector.described(spark, MapSource(path, code_column="ECO_CODE")).geometry_column in ("geometry", "3")
+        else:
+            with pytest.raises(ValueError, match="unknown"):
+                vector.described(spark, MapSource(path, code_column="ECO_CODE"))
+
+
+def test_files_that_disagree_are_refused(spark, renamed, tmp_path):
+    folder = tmp_path / "map.parquet"
+    folder.mkdir()
+    geo_file(str(folder / "a.parquet"), renamed, {"primary_column": "shape_wkb"})
+    geo_file(str(folder / "b.parquet"), renamed, {"primary_column": "ECO_NAME"})
+    with pytest.raises(ValueError, match="disagree.*ECO_NAME, shape_wkb"):
+        vector.described(spark, MapSource(str(folder), code_column="ECO_CODE"))
+    assert vector.described(spark, MapSource(str(folder), code_column="c", geometry_column="g")).geometry_column == "g"
+
+
+def test_caches_of_a_geojson_map(spark, island, tmp_path):
+    import json
+
+    made = [
+        {"type": "Feature", "properties": {"ECO_CODE": r.code, "ECO_NAME": r.name},
+         "geometry": {"type": "MultiPolygon", "coordinates": r.geometry}}
+        for r in island.collect()
+    ]
+    path = tmp_path / "map.geojson"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": made}))
+    for copy in (str(tmp_path / "s.parquet"), None):
+        source = MapSource(
+            str(path), name_column="ECO_NAME", code_column="ECO_CODE", optimized_data=copy,
+            cell_table=str(tmp_path / f"cells-{copy is None}.parquet"),
+        )
+        built = caches.build_caches(spark, source)
+        assert not built.reused and built.source.optimized_data == copy
+        cells = spark.read.parquet(source.cell_table)
+        assert sorted(map(tuple, cells.collect())) == sorted(map(tuple, layout.cells_cached(spark, island, None).collect()))
+    assert spark.read.parquet(str(tmp_path / "s.parquet")).columns == ["ECO_CODE", "ECO_NAME", "geometry"]
+
+
+def test_a_configured_copy_is_written_though_the_source_is_sorted(spark, stored_map, tmp_path):
+    first = caches.build_caches(spark, MapSource(stored_map, code_column="ECO_CODE", optimized_data=str(tmp_path / "one.parquet")))
+    (sorted_file,) = [str(p) for p in (tmp_path / "one.parquet").glob("*.parquet")][:1]
+    again = MapSource(sorted_file, code_column="ECO_CODE", optimized_data=str(tmp_path / "two.parquet"))
+    made = caches.build_caches(spark, again)
+    assert first.source.optimized_data and not made.reused and made.source.optimized_data == again.optimized_data
+    assert spark.read.parquet(again.optimized_data).count() > 0
