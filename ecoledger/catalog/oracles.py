@@ -321,8 +321,16 @@ _SQL["cell_ramp"] = _with(CELLS) + """SELECT code, grid_col, grid_row,
 round(coalesce((frac - min(frac) OVER w) / nullif(max(frac) OVER w - min(frac) OVER w, 0), 0), 5) AS ramp
 FROM cells WINDOW w AS (PARTITION BY code)"""
 
+_SQL["cell_colours"] = _with(CELLS, """ramps AS (SELECT code,
+coalesce((frac - min(frac) OVER w) / nullif(max(frac) OVER w - min(frac) OVER w, 0), 0) AS ramp FROM cells WINDOW w AS (PARTITION BY code)),
+faded AS (SELECT code, 255 - least(CAST(floor(ramp * 256) AS INTEGER), 255) AS fade FROM ramps)""") + """SELECT code,
+255 AS r, fade AS g, fade AS b, 255 AS a, count(*) AS cells FROM faded GROUP BY code, fade"""
+
 # --- categories --------------------------------------------------------------
 
+_SQL["assessed_classes"] = """SELECT 'C' || c_custkey AS code, c_custkey % 3 <> 1 AS has_data,
+CASE WHEN c_custkey % 3 <> 1 THEN true END AS measured, c_custkey % 3 <> 1 AS graded,
+c_custkey % 3 = 1 AS unknown_overlap FROM customer"""
 _SQL["criterion_b_assessment"] = _with(GRADED) + f"""SELECT code, idx AS index, name,
 round(eoo_km2, 3) AS eoo_km2, aoo_cells, n_cells, round(area_km2, 3) AS area_km2, overlap_cells, b1, b2,
 {_worse('b1', 'b2')} AS overall, 'spatial' AS basis, eoo_km2 IS NOT NULL AS has_data,
@@ -392,6 +400,8 @@ areas AS (SELECT code, sum(depth * len) AS summed, sum(len) AS covered, coalesce
 ) + """SELECT code, round(summed * 4::DOUBLE, 3) AS summed_km2, round(covered * 4::DOUBLE, 3) AS covered_km2,
 round(twice * 4::DOUBLE, 3) AS twice_km2, twice > covered * 1e-6 AS overlap FROM areas"""
 _SQL["overlap_inside"] = """SELECT 'S' || s_suppkey AS code, CAST(0 AS BIGINT) AS overlap_cells, s_suppkey % 2 = 1 AS overlap FROM supplier"""
+_SQL["one_class_unsorted"] = """SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM orders WHERE o_custkey IN (7, 70, 700) GROUP BY o_custkey"""
 _SQL["built_caches"] = _with(CELLS) + """SELECT code, features, cells, area_km2 FROM
 (SELECT code, count(*) AS cells, round(sum(frac) * 100, 3) AS area_km2 FROM cells GROUP BY code)
 JOIN (SELECT 'N' || c_nationkey AS code, count(*) AS features FROM customer GROUP BY 1) USING (code)"""
@@ -415,6 +425,10 @@ _BY_CLASS = (PARTS, FIRSTS, INDEX, RANKS.format(group="class_index.code"), COLOU
 _BY_GROUP = (PARTS, FIRSTS, INDEX, RANKS.format(group="coalesce(fg, class_index.code)"), COLOURS)
 _SQL["palette_by_class"] = _with(*_BY_CLASS) + PALETTE
 _SQL["palette_by_group"] = _with(*_BY_GROUP) + PALETTE
+_SQL["map_colouring"] = _with(PARTS, FIRSTS, INDEX) + """SELECT way, code,
+CASE WHEN way = 'functional_group, True' THEN coalesce(fg, code) ELSE code END AS colour_group,
+CASE WHEN way = 'functional_group, False' THEN 'no functional-group column: coloured by ecosystem' END AS note
+FROM class_index JOIN firsts USING (code), (VALUES ('functional_group, True'), ('functional_group, False'), ('ecosystem, True')) v(way)"""
 _SQL["legend_by_class"] = _with(*_BY_CLASS) + """SELECT idx AS position, code || ' — ' || name AS label,
 r, g, b, a FROM grouped JOIN colours USING (colour_group)"""
 _SQL["legend_by_group"] = _with(*_BY_GROUP) + (
@@ -485,6 +499,12 @@ _SQL["reference_integrity"] = """WITH used AS (SELECT page_id % 5 AS body, CASE
 SELECT count(*) AS "references", count(DISTINCT body || ext) AS assets, CAST(0 AS BIGINT) AS dangling,
 CAST(0 AS BIGINT) AS unused FROM used"""
 
+_SQL["asset_store"] = """WITH used AS (SELECT page_id % 5 AS body, CASE WHEN page_id % 6 = 4 THEN 'css' ELSE 'js' END AS ext
+  FROM pages WHERE page_id % 6 NOT IN (2, 3)),
+told AS (SELECT count(*) AS refs, count(DISTINCT body || ext) AS files, count(DISTINCT body) AS contents FROM used)
+SELECT unnest(['references', 'assets', 'dangling', 'unused', 'files', 'contents', 'bytes']) AS measure,
+unnest([refs, files, 0, 0, files, contents, files * length('bundle 0' || repeat(' x', 3000))]) AS value FROM told"""
+
 # --- checks ------------------------------------------------------------------
 
 _SQL["orphan_pages"] = """SELECT DISTINCT 'C' || o_custkey AS code FROM orders

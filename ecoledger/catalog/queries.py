@@ -94,9 +94,9 @@ def index_round_trip(spark, sf):
     def nth(values: list[str], k: Column) -> Column:
         return F.get(F.array(*[F.lit(v) for v in values]), k.cast("int"))
 
-    order = Window.orderBy("c_custkey")
-    rows = table(spark, sf, "customer").select(
-        F.row_number().over(order).alias("index"),
+    numbered = classes.number_in_order(table(spark, sf, "customer").select("c_custkey"), ["c_custkey"])
+    rows = numbered.select(
+        F.col("index").cast("int").alias("index"),
         F.concat(nth([" A1 ", '"q"', "a,b", "007", ""], key % 5), key.cast("string")).alias("code"),
         nth(["", " lead", "line\nbreak", 'say "hi", bye', "tab\t", "back\\slash"], key % 6).alias("name"),
     )
@@ -297,6 +297,16 @@ def sorted_copy(spark, sf):
     )
 
 
+@_query
+def one_class_unsorted(spark, sf):
+    """Orders of some customers from a copy in order of arrival, whose row groups are skipped by value."""
+    path = layout.write_filtered_copy(table(spark, sf, "orders"), scratch_path(spark, "filtered"), "o_custkey", 500)
+    wanted = [7, 70, 700]
+    return spark.read.parquet(path).where(F.col("o_custkey").isin(wanted)).groupBy("o_custkey").agg(
+        F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )
+
+
 @_query
 def source_addresses(spark, sf):
     urls = table(spark, sf, "pages").select(
@@ -379,6 +389,13 @@ def cell_ramp(spark, sf):
     return _rounded(ramp.select("code", "grid_col", "grid_row", "ramp"), 5, "ramp")
 
 
+@_query
+def cell_colours(spark, sf):
+    """Cells of each class by their colour on the ramp, in 256 steps."""
+    ramp = grid.share_ramp(_cells(spark, sf))
+    return _rgba_columns(ramp.groupBy("code", "colour").agg(F.count("*").alias("cells")))
+
+
 # --- categories --------------------------------------------------------------
 
 
@@ -393,6 +410,20 @@ def criterion_b_assessment(spark, sf):
     return _rounded(graded, 3, "eoo_km2", "area_km2")
 
 
+@_query
+def assessed_classes(spark, sf):
+    """Every customer as an indexed class; one in three has a feature without a polygon, and so no data."""
+    features = polygon_map(spark, sf).select(
+        F.concat(F.lit("C"), F.col("fid").cast("string")).alias("code"), "fid", "name", "fg", "src_ordinal",
+        F.when(F.col("fid") % 3 != 1, F.col("geometry")).otherwise(F.array().cast(vector.GEOMETRY_TYPE)).alias("geometry"),
+    )
+    graded = assessment.assess(classes.class_index(features), assessment.metrics(features, drop_copies=False))
+    return graded.select(
+        "code", "has_data", (F.col("eoo_km2") > 0).alias("measured"), F.col("overall").isNotNull().alias("graded"),
+        F.col("overlap").isNull().alias("unknown_overlap"),
+    )
+
+
 @_query
 def assessment_from_sorted_copy(spark, sf):
     """The map written as WKB in a sorted copy, read back by its roles and measured."""
@@ -523,6 +554,21 @@ def palette_by_group(spark, sf):
     return _rgba_columns(palette.palette(grouped))
 
 
+@_query
+def map_colouring(spark, sf):
+    """The map coloured by functional group, with and without such a column, and by ecosystem."""
+    features = part_features(spark, sf)
+    index = classes.class_index(features)
+    ways = [("functional_group", True), ("functional_group", False), ("ecosystem", True)]
+    each = [
+        palette.map_colouring(index, features, by, known).select(
+            F.lit(f"{by}, {known}").alias("way"), "code", "colour_group", "note"
+        )
+        for by, known in ways
+    ]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
 @_query
 def legend_by_class(spark, sf):
     index = classes.class_index(part_features(spark, sf))
@@ -630,7 +676,13 @@ def asset_store(spark, sf):
         "path", F.concat(F.lit(blobs.ASSET_FOLDER + "/"), "digest", F.lit("."), "ext")
     )
     sizes = stored.agg(F.count("*").alias("files"), F.countDistinct(F.sha2("body", 256)).alias("contents"), F.sum(F.length("body")).alias("bytes"))
-    return blobs.reference_integrity(blobs.rewrite_pages(given), stored).join(F.broadcast(sizes))
+    found = blobs.reference_integrity(blobs.rewrite_pages(given), stored)
+
+    def measures(row: DataFrame) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("bigint").alias("value")) for c in row.columns])
+        return row.select(F.inline(each))
+
+    return measures(found).unionByName(measures(sizes))
 
 
 @_query
