@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ecoledger.llm.common import groups_of
 from ecoledger.session import broadcast_if_small, settle
 
 # Letters of a run, and the share of runs that lose a letter (one in so many).
@@ -31,7 +32,10 @@ LEAST_COUNT = 5
 FORM_RATIO = 5
 
 # Words beyond which the composition of one initial state is split.
-CROWDED = 20_000
+CROWDED = 10_000
+# How compositions are dealt: so many words a task, until there are that many tasks.
+WORDS_PER_TASK = 20_000
+MOST_TASKS = 20_000
 _HALF = LEAST_LETTERS // 2
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Lengths of accepted rests are kept modulo this many bits: a quick test for no common rest.
@@ -270,7 +274,9 @@ def near_words(vocabulary: DataFrame, crowded: int = CROWDED) -> DataFrame:
         few = broadcast_if_small(hot)
         fit.append(members.join(few, list(_STATE), "left_anti"))
         members = settle(_halved(members.join(few, list(_STATE), "left_semi")))
-    found = [m.groupBy(*_STATE).applyInPandas(_compose, _FOUND) for m in fit]
+    # small in bytes, long in work: dealt by rows, not by the size of the exchange
+    tasks = min(groups_of(2 * words.count(), WORDS_PER_TASK), MOST_TASKS)
+    found = [m.repartition(tasks, *_STATE).groupBy(*_STATE).applyInPandas(_compose, _FOUND) for m in fit]
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
