@@ -32,7 +32,7 @@ LEAST_COUNT = 5
 FORM_RATIO = 5
 
 # Words beyond which the composition of one initial state is split.
-CROWDED = 10_000
+CROWDED = 20_000
 # How compositions are dealt: so many words a task, until there are that many tasks.
 WORDS_PER_TASK = 20_000
 MOST_TASKS = 20_000
@@ -136,8 +136,8 @@ class Acceptor:
                     if rests[x] & rests[y]:
                         stack.append((x, y, depth + 1, letter))
 
-    def near_pairs(self) -> Iterator[tuple[str, str]]:
-        """All accepted pairs of the composition, each once.
+    def near_pairs(self, until: int | None = None) -> Iterator[tuple[str, str]]:
+        """All accepted pairs of the composition, each once; only those that part within ``until`` letters.
 
         A pair is found where its words part: there one side reads a letter that the other
         reads differently (replacement) or not at all (insertion).
@@ -151,7 +151,8 @@ class Acceptor:
                 spelt.append(letter)
             out = list(arcs[state].items())
             for k, (x, a) in enumerate(out):
-                stack.append((a, depth + 1, x))
+                if until is None or depth + 1 < until:
+                    stack.append((a, depth + 1, x))
                 for y, b in out[k + 1 :]:
                     if rests[a] & rests[b]:
                         for rest in self.common_rests(a, b):
@@ -195,7 +196,8 @@ def _compose(group: pd.DataFrame) -> pd.DataFrame:
             best_n, best = near_n, near
         found[word] = (n + 1, best_n, best)
 
-    for u, v in Acceptor(free).near_pairs():
+    # read forwards, words that part beyond the limit need not be walked
+    for u, v in Acceptor(free).near_pairs(None if backwards else limit - head):
         if backwards:
             u, v = u[::-1], v[::-1]
         u, v = start + u + end, start + v + end

@@ -66,6 +66,8 @@ def test_composition_accepts_the_pairs_one_edit_apart(seed):
     found = list(spelling.Acceptor(sorted(words)).near_pairs())
     assert len(found) == len(set(found))
     assert set(found) | {(v, u) for u, v in found} == brute_near(words)
+    early = {(u, v) for u, v in found if spelling._shared_start(u, v) < 3}
+    assert set(spelling.Acceptor(sorted(words)).near_pairs(3)) == early
 
 
 def test_acceptor_is_minimal():
