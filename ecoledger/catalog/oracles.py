@@ -406,7 +406,7 @@ _SQL["built_caches"] = _with(CELLS) + """SELECT code, features, cells, area_km2
 (SELECT code, count(*) AS cells, round(sum(frac) * 100, 3) AS area_km2 FROM cells GROUP BY code)
 JOIN (SELECT 'N' || c_nationkey AS code, count(*) AS features FROM customer GROUP BY 1) USING (code)"""
 _SQL["geojson_split"] = _with(_corners()) + """SELECT code, n_name AS name, count(DISTINCT k) AS features,
-CAST(count(*) AS INTEGER) AS points, round(sum(lon) FILTER (ring = 0 AND i = 0), 3) AS west_sum
+count(*) AS points, round(sum(lon) FILTER (ring = 0 AND i = 0), 3) AS west_sum
 FROM verts JOIN nation ON code = 'N' || n_nationkey GROUP BY code, n_name"""
 _SQL["highlighted_pixels"] = _with(_parity_pixels(RASTER_METRES, 1.0), MAP_INDEX) + f"""SELECT
 CASE WHEN idx = {CHOSEN_CLASS} THEN 220 ELSE 200 END AS r, CASE WHEN idx = {CHOSEN_CLASS} THEN 20 ELSE 200 END AS g,
