@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import functions as F
 
 from ecoledger.llm import icws, linechunks, mixing, packing, toxicity
 from ecoledger.llm.common import read, word_count
@@ -15,24 +15,47 @@ from ecoledger.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage: Stage) -> Stage:
+    """The stage with all columns besides those of documents set aside in one, whatever their names."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c not in COLUMNS]
+        if not others:
+            return stage(spark, docs, sf_dir)
+        named = {c: F.col("`" + c.replace("`", "``") + "`") for c in docs.columns}
+        aside = F.struct(*[named[c].alias(f"c{k}") for k, c in enumerate(others)]).alias("set_aside")
+        out = stage(spark, docs.select(*[named[c] for c in docs.columns if c in COLUMNS], aside), sf_dir)
+        place = {c: f"set_aside.c{k}" for k, c in enumerate(others)}
+        return out.select(*[F.col(place.get(c, c)).alias(c) for c in docs.columns])
+
+    return run_stage
+
 
+@keeps_columns
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the clause grammar, learned from the labels, does not call toxic."""
     model = toxicity.learn(docs, read(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
 
 
+@keeps_columns
 def drop_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; chunks of lines that stand earlier in the corpus are gone from their texts."""
     kept = linechunks.without_repeated_chunks(docs)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+@keeps_columns
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicate texts, the one of the smallest id."""
     return icws.one_of_each(docs)
 
 
+@keeps_columns
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole copies of documents, so many that sources come near the weights 1, 2, 3 in turn.
 
