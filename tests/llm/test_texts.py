@@ -78,24 +78,52 @@ def test_word_hashes_are_of_words():
 # --- lines --------------------------------------------------------------------
 
 
-def chunk_bodies(spark, text):
-    row = spark.createDataFrame([(text,)], "text string").select(linechunks.line_chunks(F.col("text"))).first()[0]
-    return None if row is None else [(c.lines, c.body) for c in row]
+def plain_line_dedup(docs):
+    """The law in plain Python for (doc_id, text) rows without nulls and with single ids."""
+    windows = {}
+    for doc_id, text in sorted(docs):
+        lines = text.split("\n")
+        seen = [i for i, line in enumerate(lines) if line.strip()]
+        for i, j in zip(seen, seen[1:]):
+            windows.setdefault("\n".join(lines[i : j + 1]), []).append((doc_id, i, j))
+    gone, stay = set(), set()
+    for places in windows.values():
+        for doc_id, i, j in places[1:]:
+            gone |= {(doc_id, k) for k in range(i, j + 1)}
+        if len(places) > 1:
+            doc_id, i, j = places[0]
+            stay |= {(doc_id, k) for k in range(i, j + 1)}
+    return {d: "\n".join(x for k, x in enumerate(t.split("\n")) if (d, k) not in gone - stay) for d, t in docs}
+
+
+def two_lines_in_a_row(text):
+    lines = text.split("\n")
+    seen = [i for i, line in enumerate(lines) if line.strip()]
+    return {"\n".join(lines[i : j + 1]) for i, j in zip(seen, seen[1:])}
+
+
+def test_line_dedup_equals_plain_version_and_loses_no_passage(spark, make_docs):
+    rng = np.random.default_rng(11)
+    rows = [(k, "\n".join(rng.choice([*"abcdefgh", "", " "], rng.integers(1, 12)))) for k in range(300)]
+    want = plain_line_dedup(rows)
+    got = {r.doc_id: r.text for r in linechunks.without_repeated_chunks(make_docs(*rows)).collect()}
+    assert got == want and sum(map(len, got.values())) < sum(len(t) for _, t in rows) / 2
+    # what stands once may lose lines to two repeats beside each other; what repeats stays somewhere
+    standing = Counter(w for _, t in rows for w in two_lines_in_a_row(t))
+    assert {w for w, n in standing.items() if n > 1} <= set().union(*(two_lines_in_a_row(t) for t in got.values()))
 
 
-def test_chunks_put_together_are_the_text(spark):
-    for text in ["", "a", "a\n", "\n\n", "\n".join(words(1, 200)), "x\r\ny", "same\n" * 50]:
-        chunks = chunk_bodies(spark, text)
-        assert "\n".join(b for _, b in chunks) == text
-        assert sum(n for n, _ in chunks) == text.count("\n") + 1
-    assert chunk_bodies(spark, None) is None
+def test_passage_in_a_repeat_keeps_its_first_place(spark, make_docs):
+    rows = [(1, "p\nA"), (2, "p\nA\nB\nq"), (3, "B\nq"), (4, "A\nB"), (5, "beta\n\nThe end."), (6, "gamma\n\nThe end.")]
+    got = {r.doc_id: r.text for r in linechunks.without_repeated_chunks(make_docs(*rows)).collect()}
+    assert got == {1: "p\nA", 2: "A\nB\nq", 3: "", 4: "", 5: rows[4][1], 6: rows[5][1]}
 
 
-def test_boundaries_do_not_shift(spark):
-    block = words(2, 60)
-    one = chunk_bodies(spark, "\n".join(block))
-    two = chunk_bodies(spark, "\n".join(["new line", *block]))
-    assert set(one[1:]) <= set(two)
+def test_line_dedup_of_nothing_and_of_a_long_text(spark, make_docs):
+    assert linechunks.without_repeated_chunks(make_docs((1, "a")).limit(0)).count() == 0
+    long = "\n".join(f"line {k}" for k in range(20_000))
+    got = {r.doc_id: r for r in linechunks.without_repeated_chunks(make_docs((1, long), (2, "x\n" + long))).collect()}
+    assert got[1].text == long and (got[2].text, got[2].lines_removed, got[2].chunks_removed) == ("x", 20_000, 1)
 
 
 def test_repeated_chunks_stay_once(spark, make_docs):
@@ -109,11 +137,7 @@ def test_repeated_chunks_stay_once(spark, make_docs):
     assert len(sum(kept.values(), [])) == len(rows)
     assert kept[11] == [(None, 0)] and kept[12] == [("", 0)] and kept[13] == [("one line", 0)] == kept[14]
     assert kept[2] == [(block + "\nend", 0)]
-    # multi-line chunks of the block went from 5 and 9, single-line chunks stay
-    assert all(lines > 40 for _, lines in kept[5] + kept[9])
-    assert kept[5][0][0].startswith("top")
-    left = Counter(b for rs in kept.values() for t, _ in rs[:1] if t for n, b in chunk_bodies(spark, t) if n >= 2)
-    assert all(n == 1 for b, n in left.items() if b in block)
+    assert kept[5] == [("top", 80)] and kept[9] == [("", 80)] * 2
     assert {c for c in docs.columns} <= set(got.columns)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
@@ -134,7 +158,7 @@ def test_short_shared_passages_go_whole(spark, make_docs, size):
 def test_lines_keep_their_first_place(spark, make_docs):
     rows = [(1, "p\nA"), (2, "p\nA\nB"), (3, "A\nB"), (4, "same\n" * 6 + "end"), (5, "x\ny\nz\nx\ny"), (6, "A\nother"), (7, "\n\n\n")]
     got = {r.doc_id: r.text for r in linechunks.without_repeated_chunks(make_docs(*rows)).collect()}
-    assert got == {1: "p\nA", 2: "B", 3: "", 4: "same\nsame\nend", 5: "x\ny\nz", 6: "A\nother", 7: "\n\n\n"}
+    assert got == {1: "p\nA", 2: "A\nB", 3: "", 4: "same\nsame\nend", 5: "x\ny\nz", 6: "A\nother", 7: "\n\n\n"}
 
 
 # --- near-duplicate texts -------------------------------------------------------
