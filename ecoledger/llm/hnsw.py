@@ -3,8 +3,10 @@
 Vectors of one label are dealt into shards of bounded size; each shard becomes a layered
 neighbour graph, and every shard of a label is searched for the neighbours of all vectors
 of that label. Beams widen for a vector whose beam is full of neighbours, and for a whole
-shard, or pair of shards, until an audit against brute force finds every link it has seen. Found pairs are verified by
-cosine in double precision, and components are the union of verified links.
+shard, or pair of shards, until an audit against brute force finds every link it has seen.
+Rows that no path leads to are compared with every query. Found pairs are verified by cosine
+in double precision. A task holds its links as bits and gives only how many links each
+vector has and a spanning forest of them; components are the union of the forests.
 """
 
 from __future__ import annotations
@@ -29,12 +31,16 @@ QUERY_BEAM = 32
 # an audit goes on until it has seen so many true links, a row counting as a few at most
 AUDITED_LINKS = 1_000
 LINKS_A_ROW = 8
+# or compared so many of its queries, and looked for so many planted neighbours
+AUDITED_ROWS = 1_024
+PLANTED = 256
 # single precision of beams: they search a little below the threshold
 ROUNDING = 1e-4
 # how far below the threshold a widened beam still goes on from a row
 SLACK = 0.1
 MOST_TASKS = 20_000
 _BATCH = 512
+_VERIFIED = 100_000
 
 
 class Graph:
@@ -43,6 +49,16 @@ class Graph:
     def __init__(self, x: np.ndarray, layers: list[np.ndarray], order: np.ndarray):
         self.x, self.layers, self.order = x.astype(np.float32), layers, order
 
+    def unreached(self) -> np.ndarray:
+        """Rows that no path from the first row leads to in the lowest layer."""
+        links, seen = self.layers[-1], np.zeros(len(self.x), bool)
+        front = np.zeros(min(1, len(self.x)), np.int64)
+        while len(front):
+            seen[front] = True
+            met = np.unique(links[front])
+            front = met[(met >= 0) & ~seen[met]]
+        return np.flatnonzero(~seen)
+
     @classmethod
     def build(cls, unit_rows: np.ndarray) -> Graph:
         n = len(unit_rows)
@@ -171,6 +187,10 @@ class Graph:
                 r, c = np.nonzero(q[k : k + _BATCH] @ self.x.T >= least)
                 yield r + k, c
             return
+        lost = self.unreached()
+        for k in range(0, len(q) if len(lost) else 0, _BATCH):
+            r, c = np.nonzero(q[k : k + _BATCH] @ self.x[lost].T >= least)
+            yield r + k, lost[c]
         step = max(16, min(_BATCH, 8_000_000 // n))
         for k in range(0, len(q), step):
             rows = np.arange(k, min(len(q), k + step))
@@ -218,27 +238,42 @@ class Graph:
 
         Queries are ``q``, or else the rows themselves, whose likeness to themselves is no
         link; searches start at the top of the graph, or with ``own`` at the row itself.
-        They are drawn in blocks until enough true links are seen; where links are rare that
-        is all of them. The width of the whole graph, which compares all rows, is the last.
+        They are drawn in blocks until enough true links or AUDITED_ROWS queries are seen.
+        Where links are rare few of those have any, so rows turned by an angle within
+        ``least`` are looked for from the top as well. Past an eighth of the graph the width
+        is the whole graph, which compares all rows.
         """
         n = len(self.x)
         rows, row, col = self._true_links(self.x if q is None else q, least, q is None)
         asked = (self.x if q is None else q)[rows]
         truth = row * n + col
+        planted = self._planted(least)
+        hidden = np.flatnonzero(planted @ self.x.T >= least)
         width = QUERY_BEAM
-        while width < n and len(rows):
+        while width < n:
             got = [r * n + c for r, c in self.neighbours(asked, rows if own else None, least - ROUNDING, width)]
-            if np.isin(truth, np.concatenate(got)).all():
+            seen = [r * n + c for r, c in self.neighbours(planted, None, least - ROUNDING, width)]
+            if np.isin(truth, np.concatenate([truth[:0], *got])).all() and np.isin(hidden, np.concatenate([hidden[:0], *seen])).all():
                 break
-            width *= 2
+            width = width * 2 if width * 16 <= n else n
         return width
 
+    def _planted(self, least: float) -> np.ndarray:
+        """Some rows turned by random angles whose cosine is between ``least`` and 1."""
+        rng = np.random.default_rng(len(self.x) + 1)
+        x = self.x[rng.permutation(len(self.x))[:PLANTED]].astype(np.float64)
+        away = rng.standard_normal(x.shape)
+        away -= np.einsum("ij,ij->i", away, x)[:, None] * x
+        away /= np.maximum(np.sqrt(np.einsum("ij,ij->i", away, away)), 1e-300)[:, None]
+        cosine = rng.uniform(least, 1, (len(x), 1))
+        return (cosine * x + np.sqrt(1 - cosine**2) * away).astype(np.float32)
+
     def _true_links(self, q: np.ndarray, least: float, to_self: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(queries with links, place of the query among them, row) of the links of an audit."""
         order = np.random.default_rng(len(q)).permutation(len(q))
         rows, links, at, seen = [np.zeros(0, np.int64)], [np.zeros((2, 0), np.int64)], 0, 0
         known = 0
-        while at < len(order) and seen < AUDITED_LINKS:
+        while at < min(len(order), AUDITED_ROWS) and seen < AUDITED_LINKS:
             block = order[at : at + (_BATCH if at else 64)]
             near = q[block] @ self.x.T >= least
             if to_self:
@@ -285,41 +320,121 @@ def _opened(row, x: np.ndarray) -> Graph:
     return Graph(x[order], layers, order)
 
 
-def _search(graphs: DataFrame, least: float) -> DataFrame:
-    """Verified (a, b) with a < b: members of each shard searched in every shard of their label."""
+class LinkBits:
+    """Which columns each row is linked to, a bit a pair: 32 MB for two full shards."""
 
-    def run(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        row = frame.iloc[0]
-        ids, x = unpacked(row["ids"], row["vectors"], row["n"])
+    def __init__(self, rows: int, columns: int):
+        self.columns, self.bytes = columns, -(-columns // 8)
+        self.flat = np.zeros(rows * self.bytes, np.uint8)
+
+    def add(self, r: np.ndarray, c: np.ndarray) -> None:
+        np.bitwise_or.at(self.flat, r * self.bytes + (c >> 3), (128 >> (c & 7)).astype(np.uint8))
+
+    def linked(self) -> np.ndarray:
+        return np.flatnonzero(self.flat.reshape(-1, self.bytes).any(axis=1))
+
+    def of(self, r: int) -> np.ndarray:
+        return np.flatnonzero(np.unpackbits(self.flat[r * self.bytes : (r + 1) * self.bytes], count=self.columns))
+
+
+def counts_and_forest(
+    sides: list[LinkBits], first: list[int], weights: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weight of what each node is linked to, parents, children) of a spanning forest.
+
+    Nodes of side k are numbered from ``first[k]``; its columns are nodes from ``first[1 - k]``,
+    or of itself where there is one side. Each node is opened once.
+    """
+    counts, seen = np.zeros(len(weights), np.int64), np.zeros(len(weights), bool)
+    parents, children = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for root in np.concatenate([bits.linked() + at for bits, at in zip(sides, first)]).tolist():
+        todo = [] if seen[root] else [root]
+        seen[root] = True
+        while todo:
+            u = todo.pop()
+            k = int(len(sides) > 1 and u >= first[1])
+            met = sides[k].of(u - first[k]) + first[len(sides) - 1 - k]
+            counts[u] = weights[met].sum()
+            new = met[~seen[met]]
+            seen[new] = True
+            parents.append(np.full(len(new), u))
+            children.append(new)
+            todo.extend(new.tolist())
+    return counts, np.concatenate(parents), np.concatenate(children)
+
+
+def _pair_links(row) -> pd.DataFrame:
+    """(a, b, n) of one shard with itself or with another: see ``_search``."""
+    names = ("n", "ids", "vectors", "extra", "sizes", "layers", "row_order")
+    own = row["shard"] == row["q_shard"]
+    shards = []
+    for prefix in ("",) if own else ("", "q_"):
+        part = {c: row[prefix + c] for c in names}
+        ids, x = unpacked(part["ids"], part["vectors"], int(part["n"]))
         x = unit(x)
-        graph = _opened(row, x)
-        own = row["shard"] == row["q_shard"]
-        q_ids, q = (ids, x) if own else unpacked(row["q_ids"], row["q_vectors"], row["q_n"])
-        q = x if own else unit(q)
-        start = None
-        if own:
-            start = np.empty(len(ids), np.int64)
-            start[graph.order] = np.arange(len(ids))
+        shards.append((ids, x, np.frombuffer(part["extra"], np.int64), _opened(part, x)))
+
+    def found(to: int, by: int, start, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        (_, x, _, graph), q = shards[to], shards[by][1]
         # beams run in single precision: a little slack, then the exact cosine decides
-        single = q.astype(np.float32)
-        width = int(row["own_width"]) if own else graph.width_that_finds_all(least, q=single)
-        for r, c in graph.neighbours(single, start, least - ROUNDING, width):
+        for r, c in graph.neighbours(q.astype(np.float32), start, row["least"] - ROUNDING, width):
             c = graph.order[c]
-            sure = np.einsum("ij,ij->i", q[r], x[c]) >= least
-            a, b = q_ids[r[sure]], ids[c[sure]]
-            differ = a != b
-            a, b = a[differ], b[differ]
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    q = graphs.select("label", "dim", F.col("shard").alias("q_shard"), F.col("n").alias("q_n"),
-                      F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    count = graphs.groupBy("label", "dim").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0] or 1
+            for k in range(0, len(r), _VERIFIED):
+                i, j = r[k : k + _VERIFIED], c[k : k + _VERIFIED]
+                sure = np.einsum("ij,ij->i", q[i], x[j]) >= row["least"]
+                yield i[sure], j[sure]
+
+    if own:
+        ids, x, copies, graph = shards[0]
+        start = np.empty(len(ids), np.int64)
+        start[graph.order] = np.arange(len(ids))
+        bits = LinkBits(len(ids), len(ids))
+        for r, c in found(0, 0, start, int(row["own_width"])):
+            r, c = r[r != c], c[r != c]
+            bits.add(r, c)
+            bits.add(c, r)
+        sides, first = [bits], [0]
+    else:
+        sizes = [len(s[0]) for s in shards]
+        sides, first = [LinkBits(*sizes), LinkBits(*sizes[::-1])], [0, sizes[0]]
+        for to, by in ((0, 1), (1, 0)):
+            width = shards[to][3].width_that_finds_all(row["least"], q=shards[by][1].astype(np.float32))
+            for r, c in found(to, by, None, width):
+                sides[by].add(r, c)
+                sides[to].add(c, r)
+        ids, copies = (np.concatenate([s[k] for s in shards]) for k in (0, 2))
+    counts, parents, children = counts_and_forest(sides, first, copies)
+    some = np.flatnonzero(counts)
+    return pd.DataFrame({
+        "a": np.concatenate([ids[some], ids[parents]]),
+        "b": np.concatenate([ids[some], ids[children]]),
+        "n": np.concatenate([counts[some], np.zeros(len(parents), np.int64)]),
+    })
+
+
+def _search(graphs: DataFrame, least: float) -> DataFrame:
+    """(a, b, n): for a = b, a part of the links of a, with copies counted; else a link of a forest.
+
+    Every two shards of a label are searched for each other in one task, a shard for itself
+    in another, so a link that either side finds is one link. A task gives two rows a vector
+    at most, however many links there are.
+    """
+    keys = ["label", "dim"]
+    shard = graphs.select(*keys, "shard")
+    # narrow pairs first: a shard's bytes then travel under a key of their own
+    pairs = settle(
+        shard.join(shard.withColumnRenamed("shard", "q_shard"), keys).where("shard <= q_shard")
+        .withColumn("q_other", F.expr("if(shard < q_shard, q_shard, null)"))
+    )
+    sent = ("n", "ids", "vectors", "extra", "sizes", "layers", "row_order")
+    q = graphs.select(*keys, F.col("shard").alias("q_other"), *[F.col(c).alias(f"q_{c}") for c in sent])
+    both = pairs.join(graphs, [*keys, "shard"]).join(q, [*keys, "q_other"], "left")
+    name = [*keys, "shard", "q_shard"]
     # a pair is much work in few bytes: without a number, small pairs would share a task
-    pairs = graphs.join(q, ["label", "dim"]).repartition(min(MOST_TASKS, count), "label", "dim", "shard", "q_shard")
-    return pairs.groupBy("label", "dim", "shard", "q_shard").applyInPandas(
-        lambda key_frame: pd.concat([*run(key_frame), pd.DataFrame({"a": [], "b": []}, dtype="int64")]),
-        "a long, b long",
-    ).distinct()
+    spread = both.repartition(min(MOST_TASKS, max(1, pairs.count())), *name)
+    return spread.groupBy(*name).applyInPandas(
+        lambda frame: _pair_links(frame.iloc[0].to_dict() | {"least": least}), "a long, b long, n long"
+    )
 
 
 def near_vectors(
@@ -347,16 +462,14 @@ def near_vectors(
     )
     sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
     dealt = classes.join(sizes, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("key"), "shards").cast("int"))
-    shards = packed(dealt.select("label", "dim", "shard", "key", "vector"), ["label", "dim", "shard"], "key")
-    graphs = settle(_graph_rows(shards, least))
-    links = settle(_search(graphs, least))
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    narrow = classes.select("key", "rep", "copies")
-    linked = (
-        both.join(narrow.select(F.col("key").alias("b"), "copies"), "b")
-        .groupBy(F.col("a").alias("key")).agg(F.sum("copies").alias("others"))
+    shards = packed(
+        dealt.select("label", "dim", "shard", "key", "vector", "copies"), ["label", "dim", "shard"], "key", "copies"
     )
-    groups = components(links).withColumnRenamed("id", "key")
+    graphs = settle(_graph_rows(shards, least))
+    found = settle(_search(graphs, least))
+    narrow = classes.select("key", "rep")
+    linked = found.where("a = b").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("others"))
+    groups = components(found.where("a <> b").select("a", "b")).withColumnRenamed("id", "key")
     smallest = (
         groups.join(narrow, "key").groupBy("component").agg(F.min("rep").alias("smallest"))
         .join(groups, "component").select("key", "smallest")

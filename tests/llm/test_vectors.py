@@ -92,6 +92,36 @@ def test_beam_widens_past_a_full_beam():
     assert found == set(zip(*(a.tolist() for a in np.nonzero(truth))))
 
 
+def test_links_leave_a_task_as_counts_and_a_forest():
+    rng = np.random.default_rng(8)
+    for shape in ((60, 60), (40, 25)):
+        linked = rng.random(shape) < 0.03
+        one = shape[0] == shape[1]
+        if one:
+            linked |= linked.T
+            np.fill_diagonal(linked, False)
+        sides = [hnsw.LinkBits(*shape)] + ([] if one else [hnsw.LinkBits(*shape[::-1])])
+        sides[0].add(*np.nonzero(linked))
+        if not one:
+            sides[1].add(*np.nonzero(linked.T))
+        n = shape[0] if one else sum(shape)
+        full = linked if one else np.block([[np.zeros((40, 40), bool), linked], [linked.T, np.zeros((25, 25), bool)]])
+        weights = rng.integers(1, 5, n)
+        counts, parents, children = hnsw.counts_and_forest(sides, [0, shape[0]][: len(sides)], weights)
+        assert counts.tolist() == (full @ weights).tolist() and full[parents, children].all()
+        reach = lambda m: np.linalg.matrix_power(np.eye(n) + m, n) > 0
+        tree = np.zeros((n, n), bool)
+        tree[parents, children] = tree[children, parents] = True
+        assert len(parents) == len(set(children.tolist())) and (reach(tree) == reach(full)).all()
+
+
+def test_tight_group_gives_no_pair_rows(spark):
+    rng = np.random.default_rng(9)
+    x = np.ones((500, 8)) + 0.01 * rng.standard_normal((500, 8))
+    got = hnsw.near_vectors(spark.createDataFrame(rows_of(x, range(500), [1] * 500), SCHEMA), 0.93, shard_rows=200).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(499, 0)}
+
+
 def test_perturbations_come_in_order_and_once():
     sets = multiprobe.perturbations(4, 60)
     assert sets[0] == () and len(set(sets)) == len(sets)
