@@ -27,6 +27,8 @@ SIMILARITY = 0.8
 BANDS = 14
 ROWS = 5
 SKETCH_BITS = 18
+# weights of shingles are summed by hash in so many parts, which bounds what two texts share
+PARTS = 256
 _NO_ID = -(1 << 63)
 _SEED = 0x5851F42D4C957F2D
 # slack of bounds that are sums of floats
@@ -151,11 +153,12 @@ def _text_classes(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
 
 
 def _can_link(texts: DataFrame, idf, least: float) -> DataFrame:
-    """(key, total, common): texts that can be alike to another to ``least``, with their weights.
+    """(key, total, common, parts): texts that can be alike to another to ``least``, with their weights.
 
     ``common`` is what the shingles weigh that another of ``texts`` has too. Two texts share
     at most that, so a text of which less than ``least`` is common is alike to no other and
-    is left out; ``_near_enough`` bounds pairs in the same way.
+    is left out; ``_near_enough`` bounds pairs in the same way. ``parts`` are the weights
+    summed by a hash of the shingle: texts share at most the smaller sum of each part.
     """
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,16 +171,21 @@ def _can_link(texts: DataFrame, idf, least: float) -> DataFrame:
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = idf.value
         for b in batches:
-            totals = [float(weighted_shingles(t, table)[1].sum(dtype=np.float64)) for t in b["text"]]
-            yield pd.DataFrame({"key": b["key"], "total": totals})
+            totals, parts = [], []
+            for text in b["text"]:
+                shingles, weights = weighted_shingles(text, table)
+                totals.append(float(weights.sum(dtype=np.float64)))
+                part = (mix(shingles) % np.uint64(PARTS)).astype(np.int64)
+                parts.append(np.bincount(part, weights, PARTS).astype(np.float32))
+            yield pd.DataFrame({"key": b["key"], "total": totals, "parts": parts})
 
     shingles = texts.mapInPandas(spread, "s long, key long, weight float")
     alone = (
         shingles.groupBy("s").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("weight").alias("weight"))
         .where("n = 1").groupBy("key").agg(F.sum("weight").alias("alone"))
     )
-    weighed = texts.mapInPandas(weigh, "key long, total double").join(alone, "key", "left").select(
-        "key", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("common")
+    weighed = texts.mapInPandas(weigh, "key long, total double, parts array<float>").join(alone, "key", "left").select(
+        "key", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("common"), "parts"
     )
     return weighed.where(F.col("common") >= F.col("total") * (least - _ROUNDING))
 
@@ -188,6 +196,12 @@ def _near_enough(total: str, common: str, other_total: str, other_common: str, l
     return most * (1 + least) >= (F.col(total) + F.col(other_total)) * (least - _ROUNDING)
 
 
+def _parts_agree(total: str, parts: str, other_total: str, other_parts: str, least: float) -> Column:
+    """Whether two texts may be alike: the smaller sums of all parts over what is left of both."""
+    shared = F.aggregate(F.zip_with(parts, other_parts, lambda x, y: F.least(x, y).cast("double")), F.lit(0.0), lambda s, x: s + x)
+    return shared * (1 + least) >= (F.col(total) + F.col(other_total)) * (least - _ROUNDING)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
     """(group, other) of those (a, b) whose texts are alike to ``least`` or more."""
 
@@ -306,8 +320,10 @@ def _row_groups(docs: DataFrame, least: float, bands: int, rows: int) -> DataFra
     texts = settle(
         keyed.join(broadcast_if_small(involved), ["_id", "t1", "t2"]).select("key", "text").dropDuplicates(["key"])
     )
+    weighed = settle(_can_link(texts, idf, least))
+    parts = weighed.select("key", "parts")
     groups = settle(
-        _can_link(texts, idf, least).join(classes.select("key", "keys"), "key").withColumn("group", F.col("key"))
+        weighed.drop("parts").join(classes.select("key", "keys"), "key").withColumn("group", F.col("key"))
     )
     left_before, turn = None, 0
     while True:
@@ -322,15 +338,17 @@ def _row_groups(docs: DataFrame, least: float, bands: int, rows: int) -> DataFra
         last = open_pairs <= 4 * members or (left_before is not None and open_pairs > 0.9 * left_before)
         left_before = open_pairs
         if last:
-            mine = rows_now.select("band", "h", F.col("key").alias("a"), "group", "total", "common", "keys")
-            other = rows_now.select(
+            summed = rows_now.join(parts, "key")
+            mine = summed.select("band", "h", F.col("key").alias("a"), "group", "total", "common", "keys", "parts")
+            other = summed.select(
                 "band", "h", F.col("key").alias("b"), F.col("group").alias("other"), F.col("total").alias("total_b"),
-                F.col("common").alias("common_b"), F.col("keys").alias("keys_b"),
+                F.col("common").alias("common_b"), F.col("keys").alias("keys_b"), F.col("parts").alias("parts_b"),
             )
             # a pair counts in the first band that both share
             earlier = F.expr("exists(slice(zip_with(keys, keys_b, (x, y) -> x = y), 1, band), same -> same)")
             pairs = mine.join(other, ["band", "h"]).where(
                 F.expr("a < b and `group` <> other") & _near_enough("total", "common", "total_b", "common_b", least) & ~earlier
+                & _parts_agree("total", "parts", "total_b", "parts_b", least)
             ).select("a", "b", "group", "other")
         else:
             apart = F.col("group") != F.col("lead_group")
