@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
-
-import numpy as np
+from array import array
+from operator import attrgetter
 
 from ecoledger.llm.common import worker_state
 
@@ -20,8 +21,9 @@ from ecoledger.llm.common import worker_state
 # becomes the older, and the older goes. A piece in use stays.
 KEPT_PIECES = 300_000
 _ODD_SPACE = re.compile(r" (?![\w!-/:-@\[-`{-~])")
-_CUT = re.compile(r"[ \n\t\r]")
-_MARKS = frozenset(".,;:!?")
+_LINE_SPACE = ("\n", "\t", "\r")
+_MARKS = ".,;:!?#$%&*"
+_TOKEN_ID = attrgetter("id")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -38,45 +40,58 @@ class _Pieces(dict):
 
     def __init__(self, tokenizer, dtype: str, lead: str, whole_words: bool):
         super().__init__()
-        self.tokenizer, self.dtype, self.lead, self.whole_words = tokenizer, dtype, lead, whole_words
+        self.tokenizer, self.lead, self.whole_words = tokenizer, lead, whole_words
+        self.code = "H" if dtype == "<u2" else "I"
+        self.tokens_of = tokenizer.model.tokenize
         self.letters = _byte_letters()
+        self.shown_lead = lead.translate(self.letters)
         self.older: dict[str, bytes] = {}
         self.line_starts = self
 
+    def _bytes(self, ids) -> bytes:
+        held = array(self.code, ids)
+        if sys.byteorder == "big":
+            held.byteswap()
+        return held.tobytes()
+
     def ids_of(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.dtype).tobytes()
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
         """Ids of a piece of letters only: it is one word, so the model alone is asked."""
+        plain = word.isascii()
         if self.whole_words:
-            if not word.isascii():
-                word = unicodedata.normalize("NFC", word)
-            word = word.lower()
-        shown = (self.lead + word).encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], self.dtype).tobytes()
+            word = word.lower() if plain else unicodedata.normalize("NFC", word).lower()
+        # letters of ASCII stand for their own bytes
+        shown = word if plain else word.encode().decode("latin-1").translate(self.letters)
+        return self._bytes(map(_TOKEN_ID, self.tokens_of(self.shown_lead + shown)))
 
     def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
         # lower case beyond the Latin letters may depend on neighbours; those take the full path
-        if not self.whole_words or piece.isascii() or max(piece) < "\u0130":
+        if ids is None and (not self.whole_words or piece.isascii() or max(piece) < "\u0130"):
             if piece.isalpha():
-                return self._keep(piece, self._word)
-            if len(piece) > 1 and piece[-1] in _MARKS and piece[:-1].isalpha():
-                return self[piece[:-1]] + self.line_starts._keep(piece[-1], self.ids_of)
-            # one line break between visible characters is a word of its own
-            left, newline, right = piece.partition("\n")
-            if left and right and not left[-1].isspace() and not right[0].isspace():
-                return self[left] + self.line_starts._keep(newline, self.ids_of) + self.line_starts[right]
-        return self._keep(piece, lambda p: self.ids_of(self.lead + p))
-
-    def _keep(self, piece: str, encode) -> bytes:
-        ids = self.get(piece)
+                ids = self._word(piece)
+            else:
+                # marks after a word are one word of their own
+                stem = piece.rstrip(_MARKS)
+                if stem != piece and stem.isalpha():
+                    again = stem in self
+                    ids = self[stem] + self.line_starts[piece[len(stem) :]]
+                    # with its marks a word is kept once it comes again
+                    if not again:
+                        return ids
+                else:
+                    # one line break between visible characters is a word of its own
+                    left, newline, right = piece.partition("\n")
+                    if left and right and not left[-1].isspace() and not right[0].isspace():
+                        return self[left] + self.line_starts[newline] + self.line_starts[right]
         if ids is None:
-            if len(self) >= KEPT_PIECES:
-                self.older = self.copy()
-                self.clear()
-            ids = self.older.get(piece)
-            self[piece] = ids = encode(piece) if ids is None else ids
+            ids = self.ids_of(self.lead + piece)
+        if len(self) >= KEPT_PIECES:
+            self.older = self.copy()
+            self.clear()
+        self[piece] = ids
         return ids
 
 
@@ -100,7 +115,9 @@ class Encoder:
         if not text:
             return b""
         if self.whole_words:
-            return b"".join(map(self.first.__getitem__, _CUT.split(text)))
+            for space in _LINE_SPACE:
+                text = text.replace(space, " ")
+            return b"".join(map(self.first.__getitem__, text.split(" ")))
         if _ODD_SPACE.search(text):
             return self.first.ids_of(text)
         head, *rest = text.split(" ")
