@@ -133,16 +133,18 @@ def _exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def search_shard(
     ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarray, longest: float, k: int,
-    tables: int = TABLES, recall: float = RECALL,
+    tables: int = TABLES, recall: float = RECALL, q_keys: np.ndarray | None = None,
 ) -> tuple[Iterator[pd.DataFrame], int]:
-    """Frames (query_id, vec_id, score) with the ``k`` nearest found of each query, and the probes.
+    """Frames (query_id, q_key, vec_id, score, own) with the ``k`` nearest found of each query, and the probes.
 
     Probes double until the audited queries find ``recall`` of their true neighbours in
-    this shard; at the most every row is a candidate.
+    this shard; at the most every row is a candidate. Rows with the id and the vector of the
+    query are found like others and have ``own`` true.
     """
+    q_keys = np.zeros(len(q_ids), np.int64) if q_keys is None else q_keys
     index = Tables(x, longest, tables, len(ids))
     rows = np.unique(np.linspace(0, len(q) - 1, min(AUDITED, len(q))).astype(int))
-    truth = [_top(ids, np.where(ids == q_ids[r], -np.inf, _exact(x, q[r])), k) for r in rows]
+    truth = [_top(ids, _exact(x, q[r]), k) for r in rows]
     probes, most = FIRST_PROBES, 3 ** index.functions
     while probes < most:
         mask = index.candidates(q[rows], probes)
@@ -156,10 +158,14 @@ def search_shard(
             block, block_ids = q[at : at + 256], q_ids[at : at + 256]
             mask = index.candidates(block, probes) if probes < most else np.ones((len(block), len(x)), bool)
             for i, query_id in enumerate(block_ids):
-                some = np.flatnonzero(mask[i] & (ids != query_id))
+                some = np.flatnonzero(mask[i])
                 scores = _exact(x[some], block[i])
                 best = _top(ids[some], scores, k)
-                yield pd.DataFrame({"query_id": query_id, "vec_id": ids[some[best]], "score": scores[best]})
+                found = some[best]
+                own = (ids[found] == query_id) & (x[found] == block[i]).all(axis=1)
+                yield pd.DataFrame(
+                    {"query_id": query_id, "q_key": q_keys[at + i], "vec_id": ids[found], "score": scores[best], "own": own}
+                )
 
     return frames(), probes
 
@@ -172,16 +178,17 @@ def nearest(
 
     Both tables have (id, embedding); other columns are ignored. Vectors that are null, zero
     or not finite, and rows without an id, take no part; vectors meet only vectors of their
-    length. A query's own id is no candidate. Repeated ids are rows of their own as
-    candidates and one query each. Every query block visits every shard; a task holds one
-    of each, and gives at most ``k`` rows a query, which are merged by rank.
+    length. One row of the query's own id and vector is no candidate; all others are, also
+    those that share its id. Repeated ids are rows of their own, as candidates and as queries;
+    queries equal in id and vector are one. Every query block visits every shard; a task holds
+    one of each, and gives at most ``k`` + 1 rows a query, which are merged by rank.
     """
 
     def clean(df: DataFrame) -> DataFrame:
         rows = df.select(F.col(id_name).cast("long").alias("id"), as_doubles(F.col("embedding")).alias("vector"))
         return rows.where(usable(F.col("vector")) & F.col("id").isNotNull()).withColumn("dim", F.size("vector"))
 
-    base, asked = clean(vectors), clean(queries).dropDuplicates(["id", "dim"])
+    base, asked = clean(vectors), clean(queries).dropDuplicates(["id", "vector"])
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     totals = {r["dim"]: r for r in base.groupBy("dim").agg(F.count("*").alias("n"), F.max(norm).alias("longest")).collect()}
     blocks = groups_of(asked.count(), query_block)
@@ -191,25 +198,39 @@ def nearest(
     # an id may repeat: rows of one id are dealt apart by their place
     placed = base.withColumn("shard", F.pmod(F.xxhash64("id", F.spark_partition_id()), shard_count).cast("int"))
     shards = settle(packed(placed, ["dim", "shard"], "id"))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    q = packed(asked, ["dim", "block"], "id").select(
-        "dim", "block", F.col("n").alias("q_n"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")
-    )
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        row = frame.iloc[0]
+    asked = asked.withColumn("q_key", F.xxhash64("vector"))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("id", "q_key"), F.lit(blocks)).cast("int"))
+    q = settle(packed(asked, ["dim", "block"], "id", "q_key"))
+
+    def run(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        if not len(shard) or not len(block):
+            return pd.DataFrame({"query_id": [], "q_key": [], "vec_id": [], "score": [], "own": [], "probes": []})
+        row, asks = shard.iloc[0], block.iloc[0]
         ids, x = unpacked(row["ids"], row["vectors"], row["n"])
-        q_ids, q_x = unpacked(row["q_ids"], row["q_vectors"], row["q_n"])
-        found, probes = search_shard(ids, x, q_ids, q_x, longest[int(row["dim"])], k)
+        q_ids, q_x = unpacked(asks["ids"], asks["vectors"], asks["n"])
+        keys = np.frombuffer(asks["extra"], np.int64)
+        found, probes = search_shard(ids, x, q_ids, q_x, longest[int(row["dim"])], k + 1, q_keys=keys)
         return pd.concat([*found]).assign(probes=probes)
 
     # a pair is much work in few bytes: without a number, small pairs would share a task
-    tasks = min(MOST_TASKS, blocks * sum(groups_of(r["n"], shard_rows) for r in totals.values()))
-    pairs = shards.join(q, "dim").repartition(max(1, tasks), "dim", "shard", "block")
-    found = pairs.groupBy("dim", "shard", "block").applyInPandas(run, "query_id long, vec_id long, score double, probes int")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    # at most k rows a query and shard
+    tasks = max(1, min(MOST_TASKS, blocks * sum(groups_of(r["n"], shard_rows) for r in totals.values())))
+    pair = ["dim", "shard", "block"]
+    # each task that holds a shard or a block sends it to its partners; no key gathers them all
+    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    every_shard = F.explode(F.sequence(F.lit(0), shard_count - 1)).alias("shard")
+    left = shards.select("*", every_block).repartition(tasks, *pair).groupBy(*pair)
+    right = q.select("*", every_shard).repartition(tasks, *pair).groupBy(*pair)
+    found = left.cogroup(right).applyInPandas(
+        run, "query_id long, q_key long, vec_id long, score double, own boolean, probes int"
+    )
+    one = ["query_id", "q_key"]
+    order = Window.partitionBy(*one).orderBy(F.desc("score"), "vec_id", F.desc("own"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # at most k + 1 rows a query and shard; of those equal to the query the first is the query
     return (
-        found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
+        .withColumn("seen", F.sum(F.col("own").cast("int")).over(upto))
+        .where(~F.col("own") | (F.col("seen") > 1))
+        .withColumn("rank", (F.col("place") - F.least("seen", F.lit(1))).cast("int")).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score", "probes")
     )

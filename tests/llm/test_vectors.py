@@ -158,6 +158,32 @@ def test_few_or_no_candidates(spark):
     assert multiprobe.nearest(df.limit(0), df, 20).count() == 0 == multiprobe.nearest(df, df.limit(0), 20).count()
 
 
+@pytest.mark.parametrize("shard_rows", [10_000, 40])
+def test_repeated_query_ids_leave_out_one_row_of_their_own(spark, shard_rows):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((130, 8))
+    ids = np.arange(130)
+    ids[100:110] = 20  # other vectors of the id
+    x[110:115], ids[110:115] = x[40], 40  # equal rows
+    rows = rows_of(x, ids, [1] * 130)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {}
+    for r in multiprobe.nearest(df, df.where("vec_id % 20 = 0"), 20, shard_rows=shard_rows, query_block=5).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    asked = [k for k in range(110) if ids[k] % 20 == 0] + [k for k in range(115, 130) if ids[k] % 20 == 0]
+    want = {}
+    for q in asked:
+        scores = x @ x[q]
+        others = [k for k in np.lexsort((ids, -scores)) if k != q][:20]
+        want.setdefault(int(ids[q]), []).extend((n + 1, int(ids[k]), round(float(scores[k]), 9)) for n, k in enumerate(others))
+    assert set(got) == set(want) and {len(v) for v in want.values()} == {20, 220}
+    for q, found in got.items():
+        assert len(found) == len(want[q]) and len(set(found) & set(want[q])) >= 0.85 * len(set(want[q]))
+        if q not in (20, 40):
+            assert q not in {v for _, v, _ in found}
+    assert sum(v == 40 for _, v, _ in got[40]) == 5  # five others equal it
+
+
 def test_audit_sees_rare_links_that_the_graph_misses():
     rng = np.random.default_rng(7)
     x = rng.normal(size=(1500, 32))
