@@ -1,12 +1,14 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import ALPINE, WATER_BOX
+from ecoledger.catalog import derive
 from ecoledger.functions.projection import easting, northing
-from ecoledger.operators import grid, rings
+from ecoledger.operators import grid, rings, sweep
 from ecoledger.plans.assessment import metrics
 
 
@@ -286,3 +288,25 @@ def test_points_without_coordinates_bound_nothing(spark, make_features):
     both = metrics(make_features(("a", [box])).unionByName(odd)).collect()
     assert len(both) == 1 and both[0].area_km2 == pytest.approx(alone.area_km2)
     assert metrics(odd.limit(0)).count() == 0
+
+
+def test_a_batch_is_swept_in_slices_of_few_vertices():
+    def ring(n):
+        return [[float(k), 0.0] for k in range(n)]
+
+    kind = pa.list_(pa.list_(pa.list_(pa.list_(pa.float64()))))
+    sizes = [3, 4, 50, 2, 3, 3, 3, 0, 3]
+    geometry = pa.array([[[ring(n)]] if n else [] for n in sizes], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array([f"N{k}" for k in range(9)]), geometry], ["code", "geometry"])
+    for given in (batch, batch.slice(1), batch.slice(3, 0)):
+        got = list(sweep._pieces(given, 1, vertices=8))
+        assert [c for b in got for c in b["code"].to_pylist()] == given["code"].to_pylist()
+        assert all(b.num_rows == 1 or sum(len(f[0][0]) for f in b["geometry"].to_pylist() if f) <= 8 for b in got)
+    assert [b.num_rows for b in sweep._pieces(batch, 1, vertices=8)] == [2, 1, 3, 3]
+
+
+def test_suppliers_are_spread_over_tasks(spark, tmp_path):
+    spark.range(1000).withColumnRenamed("id", "s_suppkey").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    squares = derive.nearly_twice(spark, str(tmp_path))
+    in_task = [r["count"] for r in squares.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(in_task) == 4000 and max(in_task) < 2000
