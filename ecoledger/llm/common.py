@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,12 @@ def with_uid(df: DataFrame, name: str = "_uid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def texts_of(column: pa.Array, at_once: int = 256) -> Iterator[str | None]:
+    """The texts of a column of a batch, made into Python strings a few at a time."""
+    for k in range(0, len(column), at_once):
+        yield from column.slice(k, at_once).to_pylist()
+
+
 def worker_state(name: str, make: Callable[[], object]) -> object:
     """An object that one Python worker keeps between its tasks.
 

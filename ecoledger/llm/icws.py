@@ -13,11 +13,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ecoledger.llm.common import with_uid
+from ecoledger.llm.common import texts_of, with_uid
 from ecoledger.llm.components import components
 from ecoledger.llm.wordhash import mix, run_hashes, word_hashes
 from ecoledger.session import broadcast_if_small, settle
@@ -29,6 +29,8 @@ ROWS = 5
 SKETCH_BITS = 18
 # weights of shingles are summed by hash in so many parts, which bounds what two texts share
 PARTS = 256
+# shingles that a task gathers before it sends them on
+ROWS_SENT = 50_000
 _NO_ID = -(1 << 63)
 _SEED = 0x5851F42D4C957F2D
 # slack of bounds that are sums of floats
@@ -42,16 +44,17 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     slot, sums are per slot, and 2^SKETCH_BITS numbers reach the driver.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << SKETCH_BITS, np.int64)
         for b in batches:
-            for text in b["text"].dropna():
-                words = word_hashes(text.encode())
-                slots[np.unique(words >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] += 1
+            for text in texts_of(b["text"]):
+                if text is not None:
+                    words = word_hashes(text.encode())
+                    slots[np.unique(words >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] += 1
         used = np.flatnonzero(slots)
-        yield pd.DataFrame({"slot": used.astype(np.int32), "n": slots[used]})
+        yield pa.RecordBatch.from_pydict({"slot": used.astype(np.int32), "n": slots[used]})
 
-    sums = docs.select("text").mapInPandas(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    sums = docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     rows = sums.toPandas()
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
     sketch[rows["slot"].to_numpy()] = rows["n"].to_numpy()
@@ -138,20 +141,26 @@ def band_keys(samples: np.ndarray, bands: int, rows: int) -> list[int]:
 def _text_classes(docs: DataFrame, idf, bands: int, rows: int) -> DataFrame:
     """(key, t1, t2, rep, keys): one row per different text with words; rep is its smallest id."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, sampler = idf.value, Sampler(bands * rows)
         for b in batches:
             keys = []
-            for text in b["text"]:
+            for text in texts_of(b["text"]):
                 shingles, weights = weighted_shingles(text, table)
                 keys.append(band_keys(sampler.samples(shingles, weights), bands, rows) if len(shingles) else None)
-            yield b[["_id", "t1", "t2"]].assign(keys=keys)
+            same = {c: b[c] for c in ("_id", "t1", "t2")}
+            yield pa.RecordBatch.from_pydict(same | {"keys": pa.array(keys, pa.list_(pa.int64()))})
 
-    signed = docs.mapInPandas(sign, "_id long, t1 long, t2 long, keys array<long>").where("keys is not null")
+    signed = docs.mapInArrow(sign, "_id long, t1 long, t2 long, keys array<long>").where("keys is not null")
     classes = signed.groupBy("t1", "t2").agg(F.min("_id").alias("rep"), F.first("keys").alias("keys"))
     return settle(with_uid(classes, "key"))
 
 
+def _joined(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Rows (s, key, weight) of several texts in one batch."""
+    return pa.RecordBatch.from_pydict(dict(zip(("s", "key", "weight"), map(np.concatenate, zip(*rows)))))
+
+
 def _can_link(texts: DataFrame, idf, least: float) -> DataFrame:
     """(key, total, common, parts): texts that can be alike to another to ``least``, with their weights.
 
@@ -161,30 +170,39 @@ def _can_link(texts: DataFrame, idf, least: float) -> DataFrame:
     summed by a hash of the shingle: texts share at most the smaller sum of each part.
     """
 
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = idf.value
         for b in batches:
-            for key, text in zip(b["key"], b["text"]):
+            waiting, held = [], 0
+            for key, text in zip(b["key"].to_pylist(), texts_of(b["text"])):
                 shingles, weights = weighted_shingles(text, table)
-                yield pd.DataFrame({"s": shingles.view(np.int64), "key": key, "weight": weights})
-
-    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                waiting.append((shingles.view(np.int64), np.full(len(shingles), key, np.int64), weights))
+                held += len(shingles)
+                if held >= ROWS_SENT:
+                    yield _joined(waiting)
+                    waiting, held = [], 0
+            if held:
+                yield _joined(waiting)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = idf.value
         for b in batches:
-            totals, parts = [], []
-            for text in b["text"]:
+            totals, parts = np.zeros(b.num_rows), np.zeros((b.num_rows, PARTS), np.float32)
+            for k, text in enumerate(texts_of(b["text"])):
                 shingles, weights = weighted_shingles(text, table)
-                totals.append(float(weights.sum(dtype=np.float64)))
+                totals[k] = weights.sum(dtype=np.float64)
                 part = (mix(shingles) % np.uint64(PARTS)).astype(np.int64)
-                parts.append(np.bincount(part, weights, PARTS).astype(np.float32))
-            yield pd.DataFrame({"key": b["key"], "total": totals, "parts": parts})
+                parts[k] = np.bincount(part, weights, PARTS)
+            ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * PARTS)
+            lists = pa.ListArray.from_arrays(ends, pa.array(parts.reshape(-1)))
+            yield pa.RecordBatch.from_pydict({"key": b["key"], "total": totals, "parts": lists})
 
-    shingles = texts.mapInPandas(spread, "s long, key long, weight float")
+    shingles = texts.mapInArrow(spread, "s long, key long, weight float")
     alone = (
         shingles.groupBy("s").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("weight").alias("weight"))
         .where("n = 1").groupBy("key").agg(F.sum("weight").alias("alone"))
     )
-    weighed = texts.mapInPandas(weigh, "key long, total double, parts array<float>").join(alone, "key", "left").select(
+    weighed = texts.mapInArrow(weigh, "key long, total double, parts array<float>").join(alone, "key", "left").select(
         "key", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("common"), "parts"
     )
     return weighed.where(F.col("common") >= F.col("total") * (least - _ROUNDING))
@@ -205,22 +223,22 @@ def _parts_agree(total: str, parts: str, other_total: str, other_parts: str, lea
 def _verified(pairs: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
     """(group, other) of those (a, b) whose texts are alike to ``least`` or more."""
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = idf.value
         known: tuple = (None, None)
-        for f in batches:
-            good = np.zeros(len(f), bool)
-            for k, (a, x, y) in enumerate(zip(f["a"], f["text_a"], f["text_b"])):
+        for b in batches:
+            good = np.zeros(b.num_rows, bool)
+            for k, (a, x, y) in enumerate(zip(b["a"].to_pylist(), texts_of(b["text_a"]), texts_of(b["text_b"]))):
                 if known[0] != a:
                     known = (a, weighted_shingles(x, table))
                 good[k] = weighted_jaccard(known[1], weighted_shingles(y, table)) >= least
-            yield f.loc[good, ["group", "other"]]
+            yield b.select(["group", "other"]).filter(pa.array(good))
 
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     # a text that leads many pairs makes a skewed join, which adaptive execution splits
     both = pairs.join(right, "b").join(left, "a")
-    return settle(both.mapInPandas(check, "group long, other long"))
+    return settle(both.mapInArrow(check, "group long, other long"))
 
 
 def _across(rows: DataFrame, turn: int) -> DataFrame:

@@ -14,10 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ecoledger.llm.common import groups_of, with_uid
+from ecoledger.llm.common import groups_of, texts_of, with_uid
 from ecoledger.llm.tokens import encoder
 from ecoledger.session import settle
 
@@ -34,20 +35,23 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -
     Only documents longer than ``capacity`` are cut. Repeated rows each give pieces.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ("doc_id", "piece", "start", "length", "ids_crc32")
+    schema = pa.schema([(c, pa.int32() if c == "piece" else pa.int64()) for c in columns])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(vocabulary)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), texts_of(batch["text"])):
                 ids = np.frombuffer(ids_of.encode(text), ids_of.dtype).astype("<u4")
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for n, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]
                     rows.append((doc_id, n, at, len(part), zlib.crc32(part.tobytes())))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+            if rows:
+                yield pa.RecordBatch.from_pydict(dict(zip(columns, zip(*rows))), schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(cut, _PIECE_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, _PIECE_SCHEMA)
 
 
 def lower_bound(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> int:

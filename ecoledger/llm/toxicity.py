@@ -19,9 +19,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ecoledger.llm.common import texts_of
+
 # Labelled rows to learn from, at most (plus what hashing varies); the documented bound.
 TRAINING_ROWS = 20_000
 THRESHOLD = 0.7
@@ -343,9 +346,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Only the text is read; a column named ``toxicity`` is replaced.
     """
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(model)
         for texts in batches:
-            yield pd.Series([matcher.score(matcher.features(t)) for t in texts], dtype="float64")
+            yield pa.array([matcher.score(matcher.features(t)) for t in texts_of(texts)], pa.float64())
 
-    return docs.withColumn("toxicity", F.pandas_udf(run, "double")("text"))
+    return docs.withColumn("toxicity", F.arrow_udf(run, "double")("text"))

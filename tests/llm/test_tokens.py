@@ -1,9 +1,11 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ecoledger.llm import packing, tokenfiles, tokens
+from ecoledger.llm.common import texts_of
 
 P = pytest.importorskip("public_tokenizers")
 tokenizers = pytest.importorskip("tokenizers")
@@ -101,3 +103,9 @@ def test_packing_covers_every_piece(spark, make_docs, monkeypatch):
         assert sum(n for _, n in placed) <= 16
     bound = -(-sum(r.length for r in rows) // 16)
     assert bound <= len(groups) <= bound + 3
+
+
+def test_texts_are_made_a_few_at_a_time():
+    given = [*ODD, None]
+    column = pa.array(["before", *given, "behind"]).slice(1, len(given))
+    assert list(texts_of(column, at_once=4)) == list(texts_of(column)) == given
