@@ -16,12 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ecoledger.llm.common import groups_of
+from ecoledger.llm.common import groups_of, texts_of
 from ecoledger.llm.tokens import encoder
 from ecoledger.session import settle
 
@@ -47,7 +48,11 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int) -> Dat
     those of the task that ended are in the result, which is settled.
     """
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = {"shard": pa.int32(), "path": pa.string(), "width": pa.int32()}
+    columns = ("doc_id", "repeat", "shard", "path", "at", "n_tokens", "width")
+    schema = pa.schema([(c, kinds.get(c, pa.int64())) for c in columns])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(vocabulary)
         end = np.array([end_id], ids_of.dtype).tobytes()
         width = np.dtype(ids_of.dtype).itemsize
@@ -59,22 +64,21 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int) -> Dat
         with store.open_output_stream(f"{place}/{name}") as out:
             for batch in batches:
                 rows = []
-                for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"]):
-                    key = None if doc_id is pd.NA else doc_id
+                for key, text in zip(batch["doc_id"].to_pylist(), texts_of(batch["text"])):
                     repeat = repeat + 1 if last == (key,) else 0
                     last = (key,)
                     ids = ids_of.encode(text) + end
                     out.write(ids)
                     rows.append((key, repeat, shard, f"{folder}/{name}", at, len(ids) // width, width))
                     at += len(ids)
-                frame = pd.DataFrame(rows, columns=["doc_id", "repeat", "shard", "path", "at", "n_tokens", "width"])
-                yield frame.astype({"doc_id": "Int64"})
+                if rows:
+                    yield pa.RecordBatch.from_pydict(dict(zip(columns, zip(*rows))), schema=schema)
 
     ordered = (
         docs.select(F.col("doc_id").cast("long"), "text")
         .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     )
-    return settle(ordered.mapInPandas(write, _MANIFEST))
+    return settle(ordered.mapInArrow(write, _MANIFEST))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

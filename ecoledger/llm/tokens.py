@@ -13,7 +13,6 @@ import re
 import sys
 import unicodedata
 from array import array
-from operator import attrgetter
 
 from ecoledger.llm.common import worker_state
 
@@ -23,7 +22,6 @@ KEPT_PIECES = 300_000
 _ODD_SPACE = re.compile(r" (?![\w!-/:-@\[-`{-~])")
 _LINE_SPACE = ("\n", "\t", "\r")
 _MARKS = ".,;:!?#$%&*"
-_TOKEN_ID = attrgetter("id")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -57,21 +55,20 @@ class _Pieces(dict):
     def ids_of(self, text: str) -> bytes:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: str, plain: bool) -> bytes:
         """Ids of a piece of letters only: it is one word, so the model alone is asked."""
-        plain = word.isascii()
         if self.whole_words:
             word = word.lower() if plain else unicodedata.normalize("NFC", word).lower()
         # letters of ASCII stand for their own bytes
         shown = word if plain else word.encode().decode("latin-1").translate(self.letters)
-        return self._bytes(map(_TOKEN_ID, self.tokens_of(self.shown_lead + shown)))
+        return self._bytes([token.id for token in self.tokens_of(self.shown_lead + shown)])
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         # lower case beyond the Latin letters may depend on neighbours; those take the full path
-        if ids is None and (not self.whole_words or piece.isascii() or max(piece) < "\u0130"):
+        if ids is None and ((plain := piece.isascii()) or not self.whole_words or max(piece) < "\u0130"):
             if piece.isalpha():
-                ids = self._word(piece)
+                ids = self._word(piece, plain)
             else:
                 # marks after a word are one word of their own
                 stem = piece.rstrip(_MARKS)
@@ -102,6 +99,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        # words are kept here; the library's own cache of them would cost a lock and a copy a word
+        tokenizer.model._resize_cache(0)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
