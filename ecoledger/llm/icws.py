@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ecoledger.llm.common import texts_of, with_uid
-from ecoledger.llm.components import components
+from ecoledger.llm.components import stars
 from ecoledger.llm.wordhash import mix, run_hashes, word_hashes
 from ecoledger.session import broadcast_if_small, settle
 
@@ -162,7 +162,7 @@ def _joined(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
 
 
 def _can_link(texts: DataFrame, idf, least: float) -> DataFrame:
-    """(key, total, common, parts): texts that can be alike to another to ``least``, with their weights.
+    """(key, rep, total, common, parts): texts that can be alike to another to ``least``, with their weights.
 
     ``common`` is what the shingles weigh that another of ``texts`` has too. Two texts share
     at most that, so a text of which less than ``least`` is common is alike to no other and
@@ -195,15 +195,15 @@ def _can_link(texts: DataFrame, idf, least: float) -> DataFrame:
                 parts[k] = np.bincount(part, weights, PARTS)
             ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * PARTS)
             lists = pa.ListArray.from_arrays(ends, pa.array(parts.reshape(-1)))
-            yield pa.RecordBatch.from_pydict({"key": b["key"], "total": totals, "parts": lists})
+            yield pa.RecordBatch.from_pydict({"key": b["key"], "rep": b["rep"], "total": totals, "parts": lists})
 
     shingles = texts.mapInArrow(spread, "s long, key long, weight float")
     alone = (
         shingles.groupBy("s").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("weight").alias("weight"))
         .where("n = 1").groupBy("key").agg(F.sum("weight").alias("alone"))
     )
-    weighed = texts.mapInArrow(weigh, "key long, total double, parts array<float>").join(alone, "key", "left").select(
-        "key", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("common"), "parts"
+    weighed = texts.mapInArrow(weigh, "key long, rep long, total double, parts array<float>").join(alone, "key", "left").select(
+        "key", "rep", "total", (F.col("total") - F.coalesce("alone", F.lit(0.0))).alias("common"), "parts"
     )
     return weighed.where(F.col("common") >= F.col("total") * (least - _ROUNDING))
 
@@ -244,8 +244,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, least: float) -> DataFram
 def _across(rows: DataFrame, turn: int) -> DataFrame:
     """Bucket rows of buckets that still hold several groups, with figures and a leader.
 
-    The leader is the smallest member of one group, another every turn.
+    The leader is the smallest member of one group, another every turn. Rows are dealt by
+    bucket once, for both counts and the join.
     """
+    rows = rows.repartition("band", "h")
     lead = F.min_by(F.col("first"), F.xxhash64("first.key", F.lit(turn)))
     first = F.min(F.struct("key", "total", "common", "group")).alias("first")
     buckets = (
@@ -336,17 +338,16 @@ def _row_groups(docs: DataFrame, least: float, bands: int, rows: int) -> DataFra
     buckets = settle(entries.join(shared, ["band", "h"]))
     involved = settle(buckets.select("key").distinct().join(classes, "key").select("key", "t1", "t2", F.col("rep").alias("_id")))
     texts = settle(
-        keyed.join(broadcast_if_small(involved), ["_id", "t1", "t2"]).select("key", "text").dropDuplicates(["key"])
+        keyed.join(broadcast_if_small(involved), ["_id", "t1", "t2"])
+        .select("key", F.col("_id").alias("rep"), "text").dropDuplicates(["key"])
     )
     weighed = settle(_can_link(texts, idf, least))
-    parts = weighed.select("key", "parts")
-    groups = settle(
-        weighed.drop("parts").join(classes.select("key", "keys"), "key").withColumn("group", F.col("key"))
-    )
+    groups = weighed.select("key", "rep", F.col("key").alias("group"))
+    entered = buckets.join(weighed.select("key", "total", "common"), "key").withColumn("group", F.col("key"))
     left_before, turn = None, 0
     while True:
         turn += 1
-        rows_now = settle(_across(buckets.join(groups, "key"), turn))
+        rows_now = settle(_across(entered, turn))
         # pairs across groups, each counted from both ends and once for every member
         open_pairs, members = rows_now.agg(
             F.coalesce(F.sum(F.expr("(members * members - inside) / members")), F.lit(0.0)), F.count("*")
@@ -356,7 +357,7 @@ def _row_groups(docs: DataFrame, least: float, bands: int, rows: int) -> DataFra
         last = open_pairs <= 4 * members or (left_before is not None and open_pairs > 0.9 * left_before)
         left_before = open_pairs
         if last:
-            summed = rows_now.join(parts, "key")
+            summed = rows_now.join(weighed.select("key", "parts"), "key").join(classes.select("key", "keys"), "key")
             mine = summed.select("band", "h", F.col("key").alias("a"), "group", "total", "common", "keys", "parts")
             other = summed.select(
                 "band", "h", F.col("key").alias("b"), F.col("group").alias("other"), F.col("total").alias("total_b"),
@@ -374,15 +375,16 @@ def _row_groups(docs: DataFrame, least: float, bands: int, rows: int) -> DataFra
                 F.col("lead").alias("a"), F.col("key").alias("b"), "group", F.col("lead_group").alias("other")
             )
         found = _verified(pairs.distinct(), texts, idf, least)
-        merged = components(found)
-        groups = settle(
-            groups.join(merged.withColumnRenamed("id", "group"), "group", "left")
-            .select("key", "total", "common", "keys", F.coalesce("component", "group").alias("group"))
-        )
+        merged = stars(found).select(F.col("u").alias("group"), "v")
+        groups = settle(groups.join(merged, "group", "left").select("key", "rep", F.coalesce("v", "group").alias("group")))
         if last:
             break
-    # those that cannot link are missing here and stand for themselves below
-    smallest = groups.join(classes, "key").groupBy("group").agg(F.min("rep").alias("smallest"))
+        # buckets of one group stay so, and are not looked at again
+        entered = rows_now.join(merged, "group", "left").select(
+            "band", "h", "key", "total", "common", F.coalesce("v", "group").alias("group")
+        )
+    # those that stay alone are missing here and stand for themselves below
+    smallest = groups.groupBy("group").agg(F.min("rep").alias("smallest"), F.count("*").alias("n")).where("n > 1")
     named = groups.join(smallest, "group").select("key", "smallest", "group")
     known = classes.join(named, "key", "left").select(
         "t1", "t2", F.coalesce("smallest", "rep").alias("component"), F.coalesce("group", "key").alias("group")
