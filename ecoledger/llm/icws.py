@@ -313,12 +313,12 @@ def one_of_each(
     key = F.struct("_id", "t1", "t2")
     best = found.groupBy("group").agg(F.min(key).alias("best"))
     told = found.join(best, "group").select("_id", "t1", "t2", "_n", (key == F.col("best")).alias("_best"))
-    gone = settle(told.where(~F.col("_best") | (F.col("_n") > 1)))
+    gone = broadcast_if_small(settle(told.where(~F.col("_best") | (F.col("_n") > 1))))
     tagged = docs.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(names)], "doc_id", "text")
     keyed = _keyed(tagged)
     # kept rows that stand more than once are few; only those are dealt by their key
-    again = broadcast_if_small(gone.where("_best").select("_id", "t1", "t2"))
-    single = keyed.join(broadcast_if_small(gone.select("_id", "t1", "t2")), ["_id", "t1", "t2"], "left_anti")
+    again = gone.where("_best").select("_id", "t1", "t2")
+    single = keyed.join(gone.select("_id", "t1", "t2"), ["_id", "t1", "t2"], "left_anti")
     once = keyed.join(again, ["_id", "t1", "t2"], "left_semi").dropDuplicates(["_id", "t1", "t2"])
     return single.unionByName(once).select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(names)])
 

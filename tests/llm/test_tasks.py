@@ -5,6 +5,7 @@ import uuid
 
 import pytest
 
+import corpus_pipeline
 from ecoledger.llm import components, icws
 
 PARTITIONS = 24
@@ -51,14 +52,29 @@ def test_rounds_over_many_links_give_the_same(spark, monkeypatch):
     assert dict(map(tuple, components.components(links).collect())) == want
 
 
-def test_near_texts_of_a_large_group_take_few_tasks(make_docs, tasks_of):
-    """A chain of texts that take several turns of leaders."""
+def chain():
+    """Texts that each differ in one word from the text before."""
     rng = random.Random(5)
     text, rows = [f"w{rng.randrange(5000)}" for _ in range(150)], []
     for k in range(120):
         text[rng.randrange(150)] = f"x{k}"
         rows.append((k, " ".join(text)))
+    return rows
+
+
+def test_near_texts_of_a_large_group_take_few_tasks(make_docs, tasks_of):
+    """Linked by chains, so that one turn of leaders does not do."""
     seen = []
-    taken = tasks_of(lambda: seen.extend(icws.near_texts(make_docs(*rows)).collect()))
+    taken = tasks_of(lambda: seen.extend(icws.near_texts(make_docs(*chain())).collect()))
     assert len(seen) == 120 and {r.component_id for r in seen} == {0}
     assert taken <= 100 * PARTITIONS
+
+
+def test_near_duplicate_stage_takes_few_tasks(spark, make_docs, tasks_of):
+    """The stage of the pipeline, with a row that stands twice."""
+    rows = chain()
+    docs, seen = make_docs(*rows, rows[0], (500, "no words of theirs")), []
+    stage = dict(corpus_pipeline.STAGES)["minhash"]
+    taken = tasks_of(lambda: seen.extend(stage(spark, docs, "").collect()))
+    assert sorted(r.doc_id for r in seen) == [0, 500]
+    assert taken <= 125 * PARTITIONS
