@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ecoledger.llm.common import texts_of, with_uid
 from ecoledger.llm.components import stars
 from ecoledger.llm.wordhash import mix, run_hashes, word_hashes
-from ecoledger.session import broadcast_if_small, settle
+from ecoledger.session import broadcast_if_small, narrow_batches, settle
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -329,7 +329,7 @@ def _row_groups(docs: DataFrame, least: float, bands: int, rows: int) -> DataFra
     Groups that share the smallest id have one component, but never one ``group``.
     """
     spark = docs.sparkSession
-    keyed = _keyed(docs.select("doc_id", "text")).select("_id", "t1", "t2", "text")
+    keyed = narrow_batches(_keyed(docs.select("doc_id", "text")).select("_id", "t1", "t2", "text"))
     # a fixed number of slots, whatever the corpus
     idf = spark.sparkContext.broadcast(idf_table(*document_frequencies(docs)))
     classes = _text_classes(keyed, idf, bands, rows)

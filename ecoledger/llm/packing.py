@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ecoledger.llm.common import groups_of, texts_of, with_uid
 from ecoledger.llm.tokens import encoder
-from ecoledger.session import settle
+from ecoledger.session import narrow_batches, settle
 
 PIECES_PER_PARTITION = 65_536
 ROUNDS = 3
@@ -28,18 +28,21 @@ _PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long
 _PLACED_SCHEMA = "_uid long, length long, part int, bin int, offset long, room int, bins int, bound int"
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, vocabulary: str, end_id: int, capacity: int, kept: int | None = None
+) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): every document's ids cut at ``capacity``.
 
     A document is its ids and ``end_id``; null and empty texts are the end id alone.
     Only documents longer than ``capacity`` are cut. Repeated rows each give pieces.
+    A worker keeps ``kept`` pieces of text of each generation, fewer for less memory.
     """
 
     columns = ("doc_id", "piece", "start", "length", "ids_crc32")
     schema = pa.schema([(c, pa.int32() if c == "piece" else pa.int64()) for c in columns])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(vocabulary)
+        ids_of = encoder(vocabulary, kept)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), texts_of(batch["text"])):
@@ -51,7 +54,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -
             if rows:
                 yield pa.RecordBatch.from_pydict(dict(zip(columns, zip(*rows))), schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, _PIECE_SCHEMA)
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    return narrow_batches(texts).mapInArrow(cut, _PIECE_SCHEMA)
 
 
 def lower_bound(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> int:

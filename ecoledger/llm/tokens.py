@@ -36,8 +36,9 @@ def _byte_letters() -> dict[int, str]:
 class _Pieces(dict):
     """Piece of text -> its ids as little-endian bytes, encoded when first asked for."""
 
-    def __init__(self, tokenizer, dtype: str, lead: str, whole_words: bool):
+    def __init__(self, tokenizer, dtype: str, lead: str, whole_words: bool, kept: int):
         super().__init__()
+        self.kept = kept
         self.tokenizer, self.lead, self.whole_words = tokenizer, lead, whole_words
         self.code = "H" if dtype == "<u2" else "I"
         self.tokens_of = tokenizer.model.tokenize
@@ -85,7 +86,7 @@ class _Pieces(dict):
                         return self[left] + self.line_starts[newline] + self.line_starts[right]
         if ids is None:
             ids = self.ids_of(self.lead + piece)
-        if len(self) >= KEPT_PIECES:
+        if len(self) >= self.kept:
             self.older = self.copy()
             self.clear()
         self[piece] = ids
@@ -93,9 +94,12 @@ class _Pieces(dict):
 
 
 class Encoder:
-    """Ids of texts by one vocabulary file; ``dtype`` is the narrowest that holds every id."""
+    """Ids of texts by one vocabulary file; ``dtype`` is the narrowest that holds every id.
 
-    def __init__(self, path: str):
+    ``kept`` pieces of each generation stay in memory, KEPT_PIECES if it is not given.
+    """
+
+    def __init__(self, path: str, kept: int | None = None):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -105,8 +109,8 @@ class Encoder:
             spec = json.load(f)
         self.dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.whole_words = bool(spec["model"].get("end_of_word_suffix"))
-        self.first = _Pieces(tokenizer, self.dtype, "", self.whole_words)
-        self.spaced = self.first if self.whole_words else _Pieces(tokenizer, self.dtype, " ", False)
+        self.first = _Pieces(tokenizer, self.dtype, "", self.whole_words, kept or KEPT_PIECES)
+        self.spaced = self.first if self.whole_words else _Pieces(tokenizer, self.dtype, " ", False, kept or KEPT_PIECES)
         self.spaced.line_starts = self.first
 
     def encode(self, text: str | None) -> bytes:
@@ -123,6 +127,6 @@ class Encoder:
         return self.first[head] + b"".join(map(self.spaced.__getitem__, rest))
 
 
-def encoder(path: str) -> Encoder:
-    """This worker's encoder for a vocabulary file."""
-    return worker_state(f"encoder:{path}", lambda: Encoder(path))
+def encoder(path: str, kept: int | None = None) -> Encoder:
+    """This worker's encoder for a vocabulary file, which keeps ``kept`` pieces of a generation."""
+    return worker_state(f"encoder:{path}:{kept}", lambda: Encoder(path, kept))

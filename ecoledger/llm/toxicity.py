@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ecoledger.llm.common import texts_of
+from ecoledger.session import narrow_batches
 
 # Labelled rows to learn from, at most (plus what hashing varies); the documented bound.
 TRAINING_ROWS = 20_000
@@ -230,7 +231,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Mod
     Without toxic or without clean training documents the stems known beforehand and a
     fixed function serve. Runs three jobs over the sample.
     """
-    train = training_rows(docs, labels, bound)
+    train = narrow_batches(training_rows(docs, labels, bound))
     totals = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     known = {w + "$": 3.0 for w in INSULTS}
@@ -351,4 +352,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for texts in batches:
             yield pa.array([matcher.score(matcher.features(t)) for t in texts_of(texts)], pa.float64())
 
-    return docs.withColumn("toxicity", F.arrow_udf(run, "double")("text"))
+    return narrow_batches(docs).withColumn("toxicity", F.arrow_udf(run, "double")("text"))

@@ -28,6 +28,14 @@ def test_pieces_give_the_ids_of_the_whole(name, monkeypatch):
     assert pieces.encode(None) == b""
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_an_encoder_keeps_no_more_pieces_than_told(name):
+    text = " ".join(f"w{k} x{k % 40}" for k in range(3000))
+    few, many = tokens.Encoder(P.path(name), 50), tokens.Encoder(P.path(name))
+    assert few.encode(text) == many.encode(text)
+    assert all(len(held) <= 50 for p in (few.first, few.spaced) for held in (p, p.older)) and len(many.spaced) > 3000
+
+
 def test_token_files_round_trip(spark, make_docs, tmp_path):
     texts = [*ODD, None]
     docs = make_docs(*[(k * 7 % 31, t) for k, t in enumerate(texts)], (None, "no id"), (3, "again"), at="1", shard="2")
